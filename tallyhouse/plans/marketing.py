@@ -70,8 +70,9 @@ def customer_ltv(customers: DataFrame, as_of=None) -> DataFrame:
     """Every customer with projected annual value and churn state as of a day."""
     age = F.col("customer_age_days")
     idle = F.datediff(D.as_date(as_of), F.col("last_order_date"))
-    per_year = F.col("completed_orders").cast("double") / F.nullif(age, F.lit(0)) * F.lit(365) * F.col("avg_order_value").cast("double")
-    projected = F.when((age > 30) & (F.col("completed_orders") > 1), F.round(per_year, 2).cast("decimal(18,6)"))
+    # Orders per day times 365 times their mean value, in exact arithmetic.
+    yearly = ratio(F.col("completed_orders").cast("decimal(10,0)") * F.lit(365) * F.col("avg_order_value"), age.cast("decimal(10,0)"))
+    projected = F.when((age > 30) & (F.col("completed_orders") > 1), yearly.cast("decimal(18,6)"))
     state = F.when(F.col("last_order_date").isNull(), NEVER_PURCHASED).otherwise(bands(idle, CHURN_STATES, CHURN_REST))
     return customers.select(
         "customer_id", "full_name", "customer_segment", "state", "registration_date", "rfm_segment",

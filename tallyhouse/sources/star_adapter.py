@@ -16,6 +16,21 @@ from tallyhouse.functions.numbers import ratio
 from tallyhouse.plans import generated
 
 
+# Declared, so that reading a table costs no schema inference job.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def key(prefix: str, col: Column | str) -> Column:
     col = F.col(col) if isinstance(col, str) else col
     return F.concat(F.lit(f"{prefix}-"), F.lpad(col.cast("string"), 9, "0"))
@@ -27,7 +42,7 @@ class StarTables:
     folder: str
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def customers(self) -> DataFrame:
