@@ -205,7 +205,7 @@ ltv AS (
  SELECT customer_id, full_name, customer_segment, state, registration_date, rfm_segment, customer_tier, total_orders, completed_orders,
   lifetime_value, avg_order_value, first_order_date, last_order_date, customer_age_days,
   CASE WHEN customer_age_days > 30 AND completed_orders > 1
-   THEN CAST({quotient('completed_orders * 365 * CAST(avg_order_value * 1000000 AS HUGEINT)', 'customer_age_days * 1000000', 2)} AS DECIMAL(18,6))
+   THEN CAST({quotient('completed_orders * 365 * CAST(avg_order_value * 1000000 AS HUGEINT)', 'CAST(customer_age_days AS HUGEINT) * 1000000', 2)} AS DECIMAL(18,6))
    ELSE avg_order_value END AS projected_annual_value,
   CASE WHEN last_order_date IS NULL THEN 'Never Purchased' WHEN idle > 365 THEN 'Churned' WHEN idle > 180 THEN 'At Risk of Churn'
    WHEN idle > 90 THEN 'Needs Attention' ELSE 'Active' END AS churn_status,
