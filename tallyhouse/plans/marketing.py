@@ -23,14 +23,10 @@ def top_category(fact: DataFrame) -> DataFrame:
     return counts.groupBy("order_date").agg(best.getField("category").alias("top_category"))
 
 
-def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """One row per day with a completed order.
-
-    The windows run over this per-day result, not over the lines. Names and labels of the day join
-    afterwards and are NULL for days outside ``dates``.
-    """
+def day_totals(fact: DataFrame) -> DataFrame:
+    """Additive and distinct measures and the top category per day with a completed order."""
     revenue = F.col("gross_revenue")
-    per_day = sales_rollup(
+    totals = sales_rollup(
         fact.filter("is_completed"), ["order_date"],
         {
             "units_sold": F.col("quantity"),
@@ -42,30 +38,56 @@ def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
         },
         orders="total_orders", customers="unique_customers",
     )
+    return totals.join(top_category(fact), "order_date", "left").select(
+        "order_date", "total_orders", "unique_customers", "units_sold",
+        money(F.col("revenue")).alias("gross_revenue"),
+        money(F.col("cogs")).alias("total_cogs"),
+        money(F.col("profit")).alias("gross_profit"),
+        money(F.col("b2c")).alias("b2c_revenue"),
+        money(F.col("b2b")).alias("b2b_revenue"),
+        "top_category",
+    )
+
+
+def with_running_measures(totals: DataFrame, dates: DataFrame) -> DataFrame:
+    """Day totals with calendar labels, year-to-date revenue and the seven-row mean.
+
+    The windows run over one row per day, not over the lines. Labels are NULL for days outside ``dates``.
+    """
+    revenue, day = F.col("gross_revenue"), F.col("order_date")
     so_far = Window.partitionBy("year").orderBy("order_date").rowsBetween(Window.unboundedPreceding, 0)
     last_seven = Window.orderBy("order_date").rowsBetween(-6, 0)
-    day = F.col("order_date")
     labels = dates.select(F.col("date").alias("order_date"), "month_name", "quarter_label", "is_weekend")
     return (
-        per_day.join(top_category(fact), "order_date", "left")
-        .join(labels, "order_date", "left")
+        totals.join(labels, "order_date", "left")
         .withColumns({"year": F.year(day), "month": F.month(day), "week": D.week_start(day)})
         .select(
             "order_date", "year", "month", "month_name", "week", "quarter_label", "is_weekend",
-            "total_orders", "unique_customers", "units_sold",
-            money(F.col("revenue")).alias("gross_revenue"),
-            money(F.col("cogs")).alias("total_cogs"),
-            money(F.col("profit")).alias("gross_profit"),
-            mean(F.col("revenue"), F.col("total_orders")).alias("avg_order_value"),
-            money(F.sum("revenue").over(so_far)).alias("ytd_revenue"),
-            ratio(F.sum("revenue").over(last_seven), counted(F.count("revenue").over(last_seven))).cast(MONEY).alias("revenue_7d_avg"),
-            money(F.col("b2c")).alias("b2c_revenue"),
-            money(F.col("b2b")).alias("b2b_revenue"),
-            "top_category",
+            "total_orders", "unique_customers", "units_sold", "gross_revenue", "total_cogs", "gross_profit",
+            mean(revenue, F.col("total_orders")).alias("avg_order_value"),
+            money(F.sum(revenue).over(so_far)).alias("ytd_revenue"),
+            ratio(F.sum(revenue).over(last_seven), counted(F.count(revenue).over(last_seven))).cast(MONEY).alias("revenue_7d_avg"),
+            "b2c_revenue", "b2b_revenue", "top_category",
         )
     )
 
 
+def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row per day with a completed order."""
+    return with_running_measures(day_totals(fact), dates)
+
+
+def refresh_days(daily: DataFrame, fact: DataFrame, dates: DataFrame, touched: DataFrame) -> DataFrame:
+    """``daily`` with the days in ``touched`` recomputed from ``fact`` and all running measures renewed.
+
+    Only lines of touched days are read again; the running measures come from the per-day rows.
+    """
+    days = touched.select("order_date").distinct()
+    fresh = day_totals(fact.join(days, "order_date", "left_semi"))
+    kept = daily.select(*fresh.columns).join(days, "order_date", "left_anti")
+    return with_running_measures(kept.unionByName(fresh), dates)
+
+
 def customer_ltv(customers: DataFrame, as_of=None) -> DataFrame:
     """Every customer with projected annual value and churn state as of a day."""
     age = F.col("customer_age_days")
