@@ -19,6 +19,8 @@ def local_session(cpus: int | str = 8, app: str = "tallyhouse", **extra: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Tables of a few megabytes: let small partitions stay apart, so that all cores have work.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         # Call sites per column expression are for debugging and double the time to build a plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -106,14 +106,23 @@ class StarTables:
             F.lit(None).cast("timestamp").alias("_updated_at"),
         )
 
+    def _spread(self, df: DataFrame, key: str) -> DataFrame:
+        """Partition by key when the files give fewer splits than there are cores; else leave as is.
+
+        The line work after it then runs on all cores, and the order join needs no other shuffle.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
     @cached_property
     def order_items(self) -> DataFrame:
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         quantity = F.col("l_quantity").cast("int")
         parts = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        return self.raw("lineitem").select(
+        lines = self.raw("lineitem").withColumn("order_id", key("ORD", "l_orderkey"))
+        return self._spread(lines, "order_id").select(
             F.concat(F.lit("ITEM-"), F.concat_ws("-", *[F.col(p).cast("string") for p in parts])).alias("item_id"),
-            key("ORD", "l_orderkey").alias("order_id"),
+            "order_id",
             key("PROD", "l_partkey").alias("product_id"),
             quantity.alias("quantity"),
             ratio(price, quantity.cast("decimal(10,0)")).cast("decimal(10,2)").alias("unit_price"),
