@@ -218,10 +218,12 @@ def ltv_sample(top: DataFrame, n: int = 300, seed: int = 0) -> DataFrame:
 def ltv_histogram(top: DataFrame, bins: int = 40) -> DataFrame:
     """Customers per equal-width value bin and tier. The top bin includes the maximum."""
     value = F.col("lifetime_value").cast("double")
-    everyone = Window.partitionBy(F.lit(1))
-    low, high = F.min(value).over(everyone), F.max(value).over(everyone)
-    # width_bucket puts the upper bound into bin + 1 and needs a width.
-    bin_no = F.when(low == high, F.lit(1)).otherwise(F.least(F.width_bucket(value, low, high, F.lit(bins)), F.lit(bins)))
+    low, high = top.agg(F.min(value), F.max(value)).first()
+    if low is None or low == high:
+        bin_no = F.lit(1)
+    else:
+        # width_bucket puts the upper bound itself into bin + 1.
+        bin_no = F.least(F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
     return top.select("customer_tier", bin_no.cast("int").alias("bin")).groupBy("bin", "customer_tier").agg(
         F.count(F.lit(1)).alias("customers")).orderBy("bin", "customer_tier")
 
