@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import scratch
@@ -49,14 +50,15 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
 
 
 def global_running_sum(df: DataFrame, order: Sequence[Column], value: str, name: str = "running_sum") -> DataFrame:
-    """Running total over a total order: sum inside each range partition plus the sum of those before."""
-    from pyspark.sql import Window
+    """Running total of a whole-number or decimal column over a total order.
 
+    The sum inside each range partition plus the sum of those before it.
+    """
     rows, _ = _arranged(df, order, "running")
     sizes = rows.groupBy("_part").agg(F.sum(value).alias("s")).orderBy("_part").collect()
     starts, total = [], 0
     for r in sizes:
-        starts.append((r["_part"], total))
+        starts.append((r["_part"], Decimal(total)))
         total += r["s"] or 0
     offsets = df.sparkSession.createDataFrame(starts, "_part int, _start decimal(38,6)")
     inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
