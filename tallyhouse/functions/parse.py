@@ -36,7 +36,7 @@ STATUS_SYNONYMS = {
 
 
 def _number_text(col: Column) -> Column:
-    text = strip(F.regexp_replace(col.cast("string"), ",", ""))
+    text = strip(F.replace(col.cast("string"), F.lit(","), F.lit("")))
     return F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tallyhouse.functions.parse import _NUMBER, DATE_FORMATS, STATUS_SYNONYMS
-from tallyhouse.functions.text import _EDGE_SPACE, EMAIL_SHAPE
+from tallyhouse.functions.text import EMAIL_SHAPE, WHITE_SPACE
 
 
 def _raw(pattern: str) -> str:
@@ -17,7 +17,7 @@ def _raw(pattern: str) -> str:
 
 def register(spark: SparkSession) -> None:
     """Create ``clean_email``, ``clean_numeric``, ``clean_date`` and ``standardize_status``."""
-    strip = f"regexp_replace({{0}}, {_raw(_EDGE_SPACE)}, '')".format
+    strip = f"btrim({{0}}, '{WHITE_SPACE}')".format
     bare = strip("replace(x, ',', '')")
     dates = ", ".join(f"CASE WHEN {strip('x')} RLIKE {_raw(p)} THEN try_to_date({strip('x')}, '{f}') END" for p, f in DATE_FORMATS)
     status = f"lower({strip('x')})"

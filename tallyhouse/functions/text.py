@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 # Fixed value: shape of an acceptable e-mail address.
 EMAIL_SHAPE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 
-# Spark's trim() removes blanks only; the source rules strip every kind of white space.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters that count as white space at the edges of a value. Spark's plain trim()
+# removes blanks only.
+WHITE_SPACE = "".join(map(chr, (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, _EDGE_SPACE, "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def upper_code(col: Column) -> Column:

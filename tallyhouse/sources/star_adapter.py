@@ -9,10 +9,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.numbers import ratio
 from tallyhouse.plans import generated
 
 
@@ -31,9 +30,12 @@ RAW_SCHEMAS = {
 }
 
 
-def key(prefix: str, col: Column | str) -> Column:
-    col = F.col(col) if isinstance(col, str) else col
-    return F.concat(F.lit(f"{prefix}-"), F.lpad(col.cast("string"), 9, "0"))
+def key(prefix: str, column: str) -> str:
+    """SQL text of a retail key such as ORD-000000042."""
+    return f"concat('{prefix}-', lpad(cast({column} as string), 9, '0'))"
+
+
+NO_STAMP = "cast(null as timestamp) as _updated_at"
 
 
 @dataclass
@@ -44,41 +46,46 @@ class StarTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def _spread(self, df: DataFrame, key: str) -> DataFrame:
+        """Partition by key when the files give fewer splits than there are cores; else leave as is.
+
+        The line work after it then runs on all cores, and the order join needs no other shuffle.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
     @cached_property
     def customers(self) -> DataFrame:
-        places = self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
-            F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
-        return self.raw("customer").join(places, "c_nationkey").select(
-            key("CUST", "c_custkey").alias("customer_id"),
-            F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-            F.col("c_name").alias("full_name"),
-            F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
-            F.lit(None).cast("string").alias("phone"),
-            F.lit(None).cast("string").alias("city"),
-            F.col("n_name").alias("state"),
-            F.col("r_name").alias("country"),
-            F.lit(None).cast("string").alias("zip_code"),
-            F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "B2B").otherwise("B2C").alias("customer_segment"),
-            F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 730).cast("int")).alias("registration_date"),
-            F.lit(None).cast("timestamp").alias("_updated_at"),
+        places = self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        return self.raw("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+            f"{key('CUST', 'c_custkey')} as customer_id",
+            "split_part(c_name, '#', 1) as first_name",
+            "split_part(c_name, '#', 2) as last_name",
+            "c_name as full_name",
+            "concat(lower(replace(c_name, '#', '.')), '@example.com') as email",
+            "cast(null as string) as phone",
+            "cast(null as string) as city",
+            "n_name as state",
+            "r_name as country",
+            "cast(null as string) as zip_code",
+            "case when c_mktsegment in ('BUILDING', 'MACHINERY') then 'B2B' else 'B2C' end as customer_segment",
+            "date_add(date'1995-01-01', cast(c_custkey % 730 as int)) as registration_date",
+            NO_STAMP,
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        price = F.col("p_retailprice").cast("decimal(10,2)")
-        share = (F.lit(0.2) + (F.col("p_size") % 8) * F.lit(0.1)).cast("decimal(3,1)")
-        base = self.raw("part").select(
-            key("PROD", "p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.split_part("p_name", F.lit(" "), F.lit(2)).alias("subcategory"),
-            F.col("p_brand").alias("brand"),
-            F.round(price * share, 2).cast("decimal(10,2)").alias("cost_price"),
-            price.alias("selling_price"),
-            (F.col("p_partkey") % 60).cast("int").alias("stock_quantity"),
-            F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("sku"),
-            F.lit(None).cast("timestamp").alias("_updated_at"),
+        base = self.raw("part").selectExpr(
+            f"{key('PROD', 'p_partkey')} as product_id",
+            "p_name as product_name",
+            "p_type as category",
+            "split_part(p_name, ' ', 2) as subcategory",
+            "p_brand as brand",
+            "cast(round(cast(p_retailprice as decimal(10,2)) * cast(0.2D + (p_size % 8) * 0.1D as decimal(3,1)), 2) as decimal(10,2)) as cost_price",
+            "cast(p_retailprice as decimal(10,2)) as selling_price",
+            "cast(p_partkey % 60 as int) as stock_quantity",
+            "concat('SKU-', cast(p_partkey as string)) as sku",
+            NO_STAMP,
         )
         return base.withColumn("margin_pct", generated.margin_pct(F.col("selling_price"), F.col("cost_price")))
 
@@ -86,49 +93,36 @@ class StarTables:
     def orders(self) -> DataFrame:
         shipped = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
             F.min("l_shipdate").cast("date").alias("ship_date"))
-        even = F.col("o_orderkey") % 2 == 0
-        code = F.col("o_orderkey") % 5
-        status, day = F.col("o_orderstatus"), F.col("o_orderdate").cast("date")
-        return self.raw("orders").join(shipped, "o_orderkey", "left").select(
-            key("ORD", "o_orderkey").alias("order_id"),
-            key("CUST", "o_custkey").alias("customer_id"),
-            day.alias("order_date"),
+        headers = self.raw("orders").join(shipped, "o_orderkey", "left").selectExpr(
+            f"{key('ORD', 'o_orderkey')} as order_id",
+            f"{key('CUST', 'o_custkey')} as customer_id",
+            "cast(o_orderdate as date) as order_date",
             "ship_date",
-            generated.days_to_ship(day, F.col("ship_date")).alias("days_to_ship"),
-            F.col("o_orderpriority").alias("shipping_method"),
-            F.when(status == "F", "completed")
-            .when((status == "P") & even, "returned")
-            .when(status == "P", "cancelled")
-            .when(even, "shipped")
-            .otherwise("processing").alias("order_status"),
-            F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
-            F.when(code == 0, " SAVE10 ").when(code == 1, "").when(code == 2, "VIP25").alias("discount_code"),
-            F.lit(None).cast("timestamp").alias("_updated_at"),
+            "o_orderpriority as shipping_method",
+            """case when o_orderstatus = 'F' then 'completed'
+                    when o_orderstatus = 'P' and o_orderkey % 2 = 0 then 'returned'
+                    when o_orderstatus = 'P' then 'cancelled'
+                    when o_orderkey % 2 = 0 then 'shipped' else 'processing' end as order_status""",
+            "cast(o_totalprice as decimal(12,2)) as total_amount",
+            "case o_orderkey % 5 when 0 then ' SAVE10 ' when 1 then '' when 2 then 'VIP25' end as discount_code",
+            NO_STAMP,
         )
-
-    def _spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Partition by key when the files give fewer splits than there are cores; else leave as is.
-
-        The line work after it then runs on all cores, and the order join needs no other shuffle.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+        return headers.withColumn("days_to_ship", generated.days_to_ship(F.col("order_date"), F.col("ship_date")))
 
     @cached_property
     def order_items(self) -> DataFrame:
-        price = F.col("l_extendedprice").cast("decimal(12,2)")
-        quantity = F.col("l_quantity").cast("int")
-        parts = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        lines = self.raw("lineitem").withColumn("order_id", key("ORD", "l_orderkey"))
-        return self._spread(lines, "order_id").select(
-            F.concat(F.lit("ITEM-"), F.concat_ws("-", *[F.col(p).cast("string") for p in parts])).alias("item_id"),
+        lines = self.raw("lineitem").withColumn("order_id", F.expr(key("ORD", "l_orderkey")))
+        price, quantity = "cast(l_extendedprice as decimal(12,2))", "cast(l_quantity as int)"
+        return self._spread(lines, "order_id").selectExpr(
+            "concat('ITEM-', concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), "
+            "cast(l_partkey as string), cast(l_suppkey as string))) as item_id",
             "order_id",
-            key("PROD", "l_partkey").alias("product_id"),
-            quantity.alias("quantity"),
-            ratio(price, quantity.cast("decimal(10,0)")).cast("decimal(10,2)").alias("unit_price"),
-            (F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_pct"),
-            F.round(price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2).cast("decimal(12,2)").alias("line_total"),
-            F.lit(None).cast("timestamp").alias("_updated_at"),
+            f"{key('PROD', 'l_partkey')} as product_id",
+            f"{quantity} as quantity",
+            f"cast(round({price} / nullif({quantity}, 0), 2) as decimal(10,2)) as unit_price",
+            "cast(l_discount * 100 as decimal(5,2)) as discount_pct",
+            f"cast(round({price} * (1 - cast(l_discount as decimal(4,2))), 2) as decimal(12,2)) as line_total",
+            NO_STAMP,
         )
 
     # The test events use five types; three have a counterpart in the retail model.
@@ -139,7 +133,7 @@ class StarTables:
         names = F.create_map(*[F.lit(x) for pair in self.EVENT_NAMES.items() for x in pair])
         return self.raw("events").filter(F.col("event_type").isin(*self.EVENT_NAMES)).select(
             F.concat(F.lit("EVT-"), F.col("event_id").cast("string")).alias("event_id"),
-            key("CUST", "user_id").alias("customer_id"),
+            F.expr(key("CUST", "user_id")).alias("customer_id"),
             F.try_element_at(names, F.col("event_type")).alias("event_type"),
             F.col("ts").cast("timestamp").alias("event_timestamp"),
         )
