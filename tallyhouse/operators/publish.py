@@ -54,6 +54,12 @@ def upsert(lake: Lake, layer: str, table: str, df: DataFrame, key: str) -> DataF
     return out
 
 
+def compact_files(lake: Lake, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
+    """Rewrite a table in evenly sized files."""
+    df = lake.read(layer, table)
+    return rebuild(lake, layer, table, df if partition_by else df.hint("rebalance"), partition_by)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV files with a header; quotes are doubled and blanks kept, as the CSV scan reads them."""
     (

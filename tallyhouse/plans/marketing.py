@@ -80,10 +80,13 @@ def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
 def refresh_days(daily: DataFrame, fact: DataFrame, dates: DataFrame, touched: DataFrame) -> DataFrame:
     """``daily`` with the days in ``touched`` recomputed from ``fact`` and all running measures renewed.
 
-    Only lines of touched days are read again; the running measures come from the per-day rows.
+    Only lines of touched days are used again, and only their months are read from a fact that is
+    partitioned by month; the running measures come from the per-day rows.
     """
     days = touched.select("order_date").distinct()
-    fresh = day_totals(fact.join(days, "order_date", "left_semi"))
+    months = [r[0] for r in days.select(D.month_start(F.col("order_date"))).distinct().collect()]  # calendar months
+    lines = fact.filter(F.col("order_month").isin(*months)) if months else fact.limit(0)
+    fresh = day_totals(lines.join(days, "order_date", "left_semi"))
     kept = daily.select(*fresh.columns).join(days, "order_date", "left_anti")
     return with_running_measures(kept.unionByName(fresh), dates)
 

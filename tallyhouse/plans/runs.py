@@ -60,10 +60,27 @@ def run_all(lake: Lake, folder: str, start=DEFAULT_START, end=DEFAULT_END, as_of
     """Files to bronze to silver, the quality gate, gold, then the table checks."""
     started = dt.datetime.now()
     run_bronze(lake, folder, entities, mode)
-    written = run_silver(lake)
-    s = staged(lake)
-    run_quality(lake, s, gate_checks(as_of))
-    run_gold(lake, start, end, as_of)
-    run_quality(lake, s, table_checks())
-    rows = written.agg({"written": "sum"}).first()[0]
-    log_run(lake, "full_run", "success", rows, started, dt.datetime.now())
+
+    def step(name: str, work):
+        """Run one step and log it, whatever its outcome."""
+        begun = dt.datetime.now()
+        try:
+            result, rows = work()
+        except Exception as exc:
+            log_run(lake, name, "failed", 0, begun, dt.datetime.now(), str(exc))
+            raise
+        log_run(lake, name, "success", rows, begun, dt.datetime.now())
+        return result
+
+    def clean():
+        written = run_silver(lake)
+        return written, written.agg({"written": "sum"}).first()[0]
+
+    def check(checks):
+        return lambda: (run_quality(lake, staged(lake), checks), 0)
+
+    written = step("silver", clean)
+    step("quality_gate", check(gate_checks(as_of)))
+    step("gold", lambda: (run_gold(lake, start, end, as_of), 0))
+    step("table_checks", check(table_checks()))
+    log_run(lake, "full_run", "success", written.agg({"written": "sum"}).first()[0], started, dt.datetime.now())

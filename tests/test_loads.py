@@ -154,10 +154,27 @@ def test_full_run_and_views(spark, lake, folder):
     n = run_sql(spark, "SELECT count(*) AS n FROM stg_orders WHERE order_status = :s", {"s": "completed"}).first().n
     assert n == 1 and spark.table("int_product_metrics").count() == 2
     log = lake.read("bronze", bronze.RUN_TABLE)
-    assert sorted(r.pipeline_name for r in log.collect()) == ["bronze_loader", "full_run"]
+    assert sorted(r.pipeline_name for r in log.collect()) == [
+        "bronze_loader", "full_run", "gold", "quality_gate", "silver", "table_checks"]
     assert reports.freshness(log).first().last_run is not None
 
 
+def test_empty_file_loads_nothing(spark, lake, folder):
+    path = folder / "orders.csv"
+    bronze.load_bronze(lake, ENTITIES["orders"], str(path))
+    path.write_text(FILES["orders"].splitlines()[0] + "\n")
+    again = bronze.load_bronze(lake, ENTITIES["orders"], str(path))
+    assert (again.status, again.rows_processed, again.rows_skipped) == ("success", 0, 0)
+    assert lake.read("bronze", "raw_orders").count() == 6
+
+
+def test_failed_step_is_logged(spark, lake, folder):
+    with pytest.raises(quality.QualityError):
+        runs.run_all(lake, str(folder), as_of="2023-03-01")
+    log = {r.pipeline_name: r.status for r in lake.read("bronze", bronze.RUN_TABLE).collect()}
+    assert log == {"bronze_loader": "success", "silver": "success", "quality_gate": "failed"}
+
+
 def test_gate_blocks_and_stores(spark, lake, folder):
     bronze.run_bronze(lake, str(folder))
     silver.run_silver(lake)
