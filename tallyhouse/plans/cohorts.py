@@ -24,7 +24,7 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
     """Completed revenue and orders per customer and month."""
     return (
         fact.filter("is_completed")
-        .groupBy("customer_id", D.month_start(F.col("order_date")).alias("revenue_month"))
+        .groupBy("customer_id", F.col("order_month").alias("revenue_month"))
         .agg(money(F.sum("gross_revenue")).alias("monthly_revenue"), F.count_distinct("order_id").alias("monthly_orders"))
     )
 
@@ -44,9 +44,10 @@ def cohort_retention(customers: DataFrame, fact: DataFrame, since=DEFAULT_SINCE,
                      offset: str = "total") -> DataFrame:
     """Share of each cohort that has a completed order n months after registration."""
     known = customers.filter(F.col("registration_date").isNotNull())
-    active = fact.filter("is_completed").select(
-        "customer_id", D.month_start(F.col("order_date")).alias("activity_month")).distinct()
     first = F.lit(since).cast("date")
+    # Activity counts from the cohort month on, so earlier months of the fact need not be read.
+    active = fact.filter(F.col("is_completed") & (F.col("order_month") >= F.trunc(first, "month"))).select(
+        "customer_id", F.col("order_month").alias("activity_month")).distinct()
     counts = (
         active.join(cohort_base(known).filter(F.col("cohort_month") >= first), "customer_id")
         .filter("activity_month >= cohort_month")

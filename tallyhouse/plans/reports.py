@@ -6,6 +6,7 @@ lifetime table. ``year`` and ``segments`` narrow a report; ``None`` means no fil
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
@@ -31,7 +32,10 @@ def _where(*conditions: Column | None) -> Column:
 
 
 def _year(year: int | None) -> Column | None:
-    return None if year is None else F.col("order_year") == year
+    """Orders of a year, as a range of months: the column the stored fact is partitioned by."""
+    if year is None:
+        return None
+    return F.col("order_month").between(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 1)))
 
 
 def _segments(segments: Iterable[str] | None) -> Column | None:

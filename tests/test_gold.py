@@ -110,6 +110,10 @@ def test_reports_prune_the_published_fact(retail, lake):
     plan = plan_of(fact.filter("order_month = DATE '1997-03-01'").filter("is_completed").select("gross_revenue"))
     assert "PartitionFilters: [isnotnull(order_month" in plan and "item_id" not in plan
     assert "PushedFilters: [IsNotNull(is_completed), EqualTo(is_completed,true)]" in plan
+    assert "PartitionFilters: [isnotnull(order_month" in plan_of(reports.kpis(fact, year=1997))
+    assert "PartitionFilters: [isnotnull(order_month" in plan_of(cohorts.cohort_retention(retail.customers, fact, "1997-01-01"))
+    months = reports.revenue_trend(fact, year=1997).select(F.year("month")).distinct().collect()
+    assert [r[0] for r in months] == [1997]
 
 
 def test_top_n_is_not_a_full_sort(retail):
