@@ -48,17 +48,31 @@ def _bronze(spark, folder) -> DataFrame:
 add("str1_stream_to_bronze", _bronze, raw_sql("orders"))
 
 
-def _events(spark, folder) -> DataFrame:
-    """Every event twice in the source, once in the result."""
-    raw = _stream(spark, folder, "events")
-    doubled = raw.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+def _doubled_events(spark, folder) -> DataFrame:
+    """Every event twice."""
+    return _stream(spark, folder, "events").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).select(
         "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("event_timestamp"))
+
+
+def _stored_events(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type", F.col("event_timestamp").cast("date").alias("day"))
+
+
+def _events(spark, folder) -> DataFrame:
+    out = scratch.new_path(spark, "events")
+    events.write_events(events.distinct_events(_doubled_events(spark, folder)), out, _checkpoint(spark)).awaitTermination()
+    return _stored_events(spark, out)
+
+
+def _events_by_table(spark, folder) -> DataFrame:
     out = scratch.new_path(spark, "events")
-    events.write_events(events.distinct_events(doubled), out, _checkpoint(spark)).awaitTermination()
-    return spark.read.parquet(out).select("event_id", "user_id", "event_type", F.col("event_timestamp").cast("date").alias("day"))
+    events.store_distinct_events(_doubled_events(spark, folder), out, _checkpoint(spark)).awaitTermination()
+    return _stored_events(spark, out)
 
 
-add("str2_event_dedup", _events, "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events")
+_EVENTS = "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events"
+add("str2_event_dedup", _events, _EVENTS)
+add("str2_event_dedup_by_table", _events_by_table, _EVENTS)
 
 
 def _silver(spark, folder) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import ROUND_FLOOR, Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +48,14 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -
     if total is None:
         return [None] * len(probabilities)
     points = [(Decimal(str(p)) * (int(total) - 1)) for p in probabilities]
-    whole = sorted({int(h.to_integral_value(ROUND_FLOOR)) + step for h in points for step in (0, 1)})
-    at = F.explode(F.array(*[F.lit(i) for i in whole])).alias("i")
-    found = placed.select(F.col(value).cast("double").alias("v"), (F.col("_upto") - F.col("_n")).alias("lo"), "_upto", at)
-    spots = {r["i"]: r["v"] for r in found.filter("i >= lo AND i < _upto").collect()}
+    floors = [int(h.to_integral_value(ROUND_FLOOR)) for h in points]
+    wanted = sorted({i + step for i in floors for step in (0, 1)})
+    start, end = F.col("_upto") - F.col("_n"), F.col("_upto")
+    holds = reduce(lambda a, b: a | b, [(start <= i) & (end > i) for i in wanted])
+    found = placed.filter(holds).select(F.col(value).cast("double").alias("v"), start.alias("start"), end.alias("end")).collect()
+    spots = {i: r["v"] for r in found for i in wanted if r["start"] <= i < r["end"]}
     out = []
-    for h in points:
-        i = int(h.to_integral_value(ROUND_FLOOR))
+    for h, i in zip(points, floors):
         low, high = spots[i], spots.get(i + 1, spots[i])
         out.append(low + (high - low) * float(h - i))
     return out

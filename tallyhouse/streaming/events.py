@@ -1,15 +1,20 @@
-"""Clickstream events."""
+"""Clickstream events, once each."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyhouse.operators.keys import latest_per_key, without_known
+from tallyhouse.sources import files
+
 
 def distinct_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """First row per event id; copies up to ``delay`` apart are recognised, state is dropped after that.
 
-    Rows later than the delay are lost here, so the batch load stays the authority.
+    Rows later than the delay are lost here, so the batch load stays the authority. All copies of one id
+    meet in one task; where an id may have very many copies use ``store_distinct_events``.
     """
     return events.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
 
@@ -19,3 +24,24 @@ def write_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         events.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
+
+
+def store_distinct_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Events not stored yet, the earliest copy of each, without state and without losing late rows.
+
+    Copies inside a batch are cut to one per map task before they are shuffled. A batch writes its own
+    folder, overwritten when it is repeated, and looks for known ids in the folders of earlier batches.
+    Batch numbers come from the checkpoint, so a path belongs to one checkpoint.
+    """
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = latest_per_key(batch, "event_id", F.asc("event_timestamp"))
+        earlier = [f"{path}/{n}" for n in files.child_names(spark, path) if n.startswith("batch=") and int(n[6:]) < batch_id]
+        if earlier:
+            fresh = without_known(fresh, spark.read.schema(batch.schema).parquet(*earlier), "event_id")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+
+    return (
+        events.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )

@@ -204,3 +204,26 @@ def test_stream_equals_batch(spark, lake, folder, tmp_path):
     assert sorted(map(tuple, streamed.collect()), key=str) == want and len(want) == 4
     compact(lake, "silver", "customers", "customer_id")
     assert sorted(map(tuple, lake.read("silver", "customers").drop("_updated_at").collect()), key=str) == want
+
+
+def test_hot_event_is_stored_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tallyhouse.streaming import events
+
+    schema = "event_id string, event_timestamp timestamp"
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def arrive(first: int, last: int) -> None:
+        ids = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        rows = spark.range(first, last).select(ids.alias("event_id"), F.timestamp_seconds("id").alias("event_timestamp"))
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        events.store_distinct_events(stream, out, state).awaitTermination()
+
+    arrive(0, 300)
+    arrive(200, 400)  # a hundred come again, the hot one among them
+    stored = spark.read.parquet(out).groupBy("event_id").count()
+    assert stored.filter("count > 1").count() == 0
+    assert stored.count() == 1 + sum(1 for i in range(400) if i % 3)
+    assert spark.read.parquet(out).filter("event_id = 'hot'").first().event_timestamp.timestamp() == 0
