@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import quality
+from tallyhouse.llm import decontam, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -59,5 +59,46 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM b
 """
 
-QUERIES = {"op1_quality_rules": quality_rules}
-SQL = {"op1_quality_rules": QUALITY_SQL}
+
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of windows of all benchmark items in all documents."""
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+DECONTAM_SQL = r"""
+WITH folded AS (
+  SELECT 'd' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
+w AS (
+  SELECT kind, id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM folded),
+pat AS (
+  SELECT DISTINCT id AS item_id, k, array_to_string(ws[i : i + k - 1], ' ') AS win
+  FROM (SELECT id, ws, least(10, len(ws)) AS k, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+        FROM w WHERE kind = 'b' AND len(ws) > 0)),
+docwin AS (
+  SELECT id AS doc_id, k, i, array_to_string(ws[i : i + k - 1], ' ') AS win
+  FROM (SELECT id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM w, (SELECT DISTINCT k FROM pat) WHERE kind = 'd' AND len(ws) >= k)),
+hit AS (SELECT doc_id, i, k, item_id FROM docwin JOIN pat USING (k, win)),
+n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY doc_id)
+SELECT w.id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN n ON n.doc_id = w.id LEFT JOIN it ON it.doc_id = w.id WHERE kind = 'd'
+"""
+
+QUERIES = {
+    "op1_quality_rules": quality_rules,
+    "op10_benchmark_decontamination": benchmark_decontamination,
+}
+SQL = {
+    "op1_quality_rules": QUALITY_SQL,
+    "op10_benchmark_decontamination": DECONTAM_SQL,
+}
