@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, quality
+from tallyhouse.llm import decontam, quality, simhash
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -60,6 +60,11 @@ FROM b
 """
 
 
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.groups(table(spark, sf_dir, "documents"), words=3)
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of windows of all benchmark items in all documents."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -96,6 +101,7 @@ FROM w LEFT JOIN n ON n.doc_id = w.id LEFT JOIN it ON it.doc_id = w.id WHERE kin
 
 QUERIES = {
     "op1_quality_rules": quality_rules,
+    "op3_simhash_near_dedup": simhash_near_dedup,
     "op10_benchmark_decontamination": benchmark_decontamination,
 }
 SQL = {
