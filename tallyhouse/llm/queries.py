@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, quality, simhash
+from tallyhouse.llm import decontam, quality, simhash, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,6 +65,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), words=3)
 
 
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or model verdict for every page."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of windows of all benchmark items in all documents."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -102,6 +107,7 @@ FROM w LEFT JOIN n ON n.doc_id = w.id LEFT JOIN it ON it.doc_id = w.id WHERE kin
 QUERIES = {
     "op1_quality_rules": quality_rules,
     "op3_simhash_near_dedup": simhash_near_dedup,
+    "op7_url_filter": url_filter,
     "op10_benchmark_decontamination": benchmark_decontamination,
 }
 SQL = {
