@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, quality, simhash, urls
+from tallyhouse.llm import decontam, lines, quality, simhash, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -70,6 +70,51 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their recurring lines."""
+    return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped")
+
+
+LINES_SQL = rf"""
+WITH t AS (SELECT text, min(doc_id) AS first_doc FROM documents WHERE text IS NOT NULL GROUP BY text),
+raw AS (
+  SELECT text, first_doc, i AS pos, string_split(text, chr(10))[i] AS line
+  FROM (SELECT text, first_doc, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM t)),
+tok AS (
+  SELECT text, first_doc, pos, list_transform(regexp_extract_all(line, '{WORD}'),
+         lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS mw FROM raw),
+ln AS (
+  SELECT *, len(mw) || ' ' || array_to_string(mw[1:4], ' ') AS leaf, array_to_string(mw, ' ') AS own
+  FROM tok WHERE len(mw) >= 3),
+leaves AS (SELECT leaf FROM ln GROUP BY leaf HAVING count(DISTINCT text) >= 10),
+hot AS (SELECT ln.* FROM ln JOIN leaves USING (leaf)),
+kinds AS (SELECT leaf, own, any_value(mw) AS mw, count(DISTINCT text) AS n FROM hot GROUP BY leaf, own),
+weight AS (SELECT leaf, sum(n) AS total FROM kinds GROUP BY leaf HAVING count(*) > 1),
+places AS (
+  SELECT leaf, own, n, total, p, mw[p] AS token
+  FROM (SELECT leaf, own, n, mw, total, unnest(range(1, len(mw) + 1)) AS p FROM kinds JOIN weight USING (leaf))),
+fixed AS (SELECT leaf, p, token FROM places GROUP BY leaf, p, token HAVING 2 * sum(n) > any_value(total)),
+patterns AS (SELECT leaf, count(*) AS n_fixed, count(*) FILTER (token <> '<*>') AS n_constant FROM fixed GROUP BY leaf),
+agrees AS (SELECT leaf, own, count(*) AS n_agree FROM places JOIN fixed USING (leaf, p, token) GROUP BY leaf, own),
+fits AS (
+  SELECT own FROM agrees JOIN patterns USING (leaf) JOIN kinds USING (leaf, own)
+  WHERE n_agree = n_fixed AND 100 * n_constant >= 60 * len(mw)),
+templ AS (
+  SELECT hot.text, first_doc, pos, CASE WHEN fits.own IS NULL THEN 'o' || hot.own ELSE 'l' || leaf END AS template
+  FROM hot LEFT JOIN fits ON fits.own = hot.own),
+recurring AS (
+  SELECT template, arg_min(text, first_doc) AS stays FROM templ
+  GROUP BY template HAVING count(DISTINCT text) >= 10),
+gone AS (SELECT DISTINCT text, pos FROM templ JOIN recurring USING (template) WHERE text <> stays),
+cut AS (
+  SELECT raw.text, coalesce(string_agg(line, chr(10) ORDER BY raw.pos) FILTER (gone.pos IS NULL), '') AS rest,
+         count(gone.pos) AS n_dropped
+  FROM raw LEFT JOIN gone ON gone.text = raw.text AND gone.pos = raw.pos GROUP BY raw.text)
+SELECT doc_id, rest AS text, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped
+FROM documents LEFT JOIN cut ON cut.text = documents.text
+"""
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of windows of all benchmark items in all documents."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -108,9 +153,11 @@ QUERIES = {
     "op1_quality_rules": quality_rules,
     "op3_simhash_near_dedup": simhash_near_dedup,
     "op7_url_filter": url_filter,
+    "op9_line_dedup": line_dedup,
     "op10_benchmark_decontamination": benchmark_decontamination,
 }
 SQL = {
     "op1_quality_rules": QUALITY_SQL,
+    "op9_line_dedup": LINES_SQL,
     "op10_benchmark_decontamination": DECONTAM_SQL,
 }
