@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, lines, quality, simhash, urls
+from tallyhouse.llm import decontam, lines, quality, sharding, simhash, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -60,6 +60,12 @@ FROM b
 """
 
 
+def vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes."""
+    rows = sharding.pack(table(spark, sf_dir, "documents"), shards=24)
+    return rows.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.groups(table(spark, sf_dir, "documents"), words=3)
@@ -151,6 +157,7 @@ FROM w LEFT JOIN n ON n.doc_id = w.id LEFT JOIN it ON it.doc_id = w.id WHERE kin
 
 QUERIES = {
     "op1_quality_rules": quality_rules,
+    "op2_vector_bin_packing": vector_bin_packing,
     "op3_simhash_near_dedup": simhash_near_dedup,
     "op7_url_filter": url_filter,
     "op9_line_dedup": line_dedup,
