@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, lines, quality, sharding, simhash, urls
+from tallyhouse.llm import decontam, lines, quality, repeats, sharding, simhash, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -71,6 +71,12 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), words=3)
 
 
+def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeats of 200 bytes or more leave of every document."""
+    rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or model verdict for every page."""
     return urls.judge(table(spark, sf_dir, "pages"))
@@ -159,6 +165,7 @@ QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_vector_bin_packing": vector_bin_packing,
     "op3_simhash_near_dedup": simhash_near_dedup,
+    "op6_repeat_removal": repeat_removal,
     "op7_url_filter": url_filter,
     "op9_line_dedup": line_dedup,
     "op10_benchmark_decontamination": benchmark_decontamination,
