@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, lines, quality, repeats, sharding, simhash, urls
+from tallyhouse.llm import decontam, lines, quality, repeats, sharding, simhash, toxicity, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -71,6 +71,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), words=3)
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a classifier trained on the labelled rows that are not held out."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeats of 200 bytes or more leave of every document."""
     rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -165,6 +170,7 @@ QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_vector_bin_packing": vector_bin_packing,
     "op3_simhash_near_dedup": simhash_near_dedup,
+    "op5_counterfactual_toxicity": toxicity_scores,
     "op6_repeat_removal": repeat_removal,
     "op7_url_filter": url_filter,
     "op9_line_dedup": line_dedup,
