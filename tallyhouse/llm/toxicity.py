@@ -4,7 +4,7 @@ Features are the words of a text and their first 4 to 6 letters, present or not.
 labelled training rows; the `FEATURES` that tell the classes apart best (chi-square) make the vocabulary. The weights
 are fitted on at most `SAMPLE` training rows (chosen by hash, all of them where there are fewer), minimising
 
-    cross-entropy + RIDGE |w|^2 + FAIRNESS * mean (z(text) - z(swapped text))^2
+    cross-entropy (toxic rows weighted by the root of the odds against them) + RIDGE |w|^2 + FAIRNESS * mean (z(text) - z(swapped text))^2
 
 where a swapped text has every identity term (women, Muslims, ...) replaced by another of its group, so that a mention of
 a group moves no score by itself. Identity terms are always in the vocabulary. Scoring reads every whole text.
@@ -143,11 +143,13 @@ def fit(rows: list[tuple[int, list[int], list[list[int]]]], n_features: int) ->
     minus, minus_col = flat([s for r in rows for s in r[2]])
     pair, pair_col = np.concatenate((plus, minus)), np.concatenate((plus_col, minus_col))
     sign = np.concatenate((np.ones(len(plus)), -np.ones(len(minus))))
+    weight = np.where(y > 0, np.sqrt(max(1.0, (1 - y.mean()) / max(y.mean(), 1e-6))), 1.0)
+    weight /= weight.sum()
     w, b = np.zeros(n_features), float(np.log(max(y.mean(), 1e-6) / max(1 - y.mean(), 1e-6)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for t in range(1, STEPS + 1):
         z = b + np.bincount(row, w[col], len(y))
-        residual = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
+        residual = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
         grad = np.bincount(col, residual[row], n_features) + 2 * RIDGE * w
         if pairs:
             gap = np.bincount(pair, sign * w[pair_col], pairs)
