@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, lines, quality, repeats, sharding, simhash, toxicity, urls
+from tallyhouse.llm import decontam, lines, pii, quality, repeats, sharding, simhash, toxicity, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: The key of the registered query; a real run brings a secret one.
+PII_KEY = b"surrogates of the registered query"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -71,6 +75,12 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), words=3)
 
 
+def surrogate_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data and secrets."""
+    rows = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), key=PII_KEY)
+    return rows.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), "found")
+
+
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a classifier trained on the labelled rows that are not held out."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -170,6 +180,7 @@ QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_vector_bin_packing": vector_bin_packing,
     "op3_simhash_near_dedup": simhash_near_dedup,
+    "op4_surrogate_generation": surrogate_generation,
     "op5_counterfactual_toxicity": toxicity_scores,
     "op6_repeat_removal": repeat_removal,
     "op7_url_filter": url_filter,
