@@ -10,7 +10,8 @@ Different texts are counted, not documents: a thousand copies of one page say no
 each other. The decision about a line depends on its text alone, so everything is keyed by the text's hash.
 
 Plan: one pass over the lines moves a leaf hash and a text hash a line to find the leaves in enough texts; only lines of those
-leaves are looked at again. Those leaves are broadcast up to `BROADCAST_LEAVES` of them, beyond that they are joined.
+leaves are looked at again. Those leaves, and the recurring templates, are broadcast up to `BROADCAST_LEAVES` of them, beyond
+that they are joined.
 
 Defined results: null texts have no lines and stay null; lines of fewer than `MIN_TOKENS` tokens and blank lines stay; a text all
 of whose lines go becomes empty; rows without doc_id come last in the order of texts, ties go to the smaller hash;
@@ -90,7 +91,10 @@ def dropped_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, constant: int = C
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     texts = lines.groupBy("template", "key").agg(F.min(order).alias("o"))
     recurring = texts.groupBy("template").agg(F.count("*").alias("n"), F.min("o").alias("first")).filter(F.col("n") >= min_texts)
-    gone = lines.join(recurring.select("template", F.col("first.key").alias("stays")), "template").filter("key != stays")
+    recurring = stored(recurring.select("template", F.col("first.key").alias("stays")), "recurring")
+    if recurring.count() <= BROADCAST_LEAVES:
+        recurring = F.broadcast(recurring)
+    gone = lines.join(recurring, "template").filter("key != stays")
     return gone.select("key", "pos").distinct().groupBy("key").agg(F.collect_list("pos").alias("positions"))
 
 
