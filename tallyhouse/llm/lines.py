@@ -86,7 +86,10 @@ def _templates(hot: DataFrame, constant: int) -> DataFrame:
 def dropped_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, constant: int = CONSTANT) -> DataFrame:
     """(key, positions): the lines that go from each text that loses any."""
     hot = _hot_lines(docs, min_texts)
-    lines = hot.join(_templates(hot, constant), "own").select("template", "key", "doc_id", "pos")
+    templates = stored(_templates(hot, constant), "templates")
+    if templates.count() <= BROADCAST_LEAVES:
+        templates = F.broadcast(templates)
+    lines = hot.join(templates, "own").select("template", "key", "doc_id", "pos")
     lines = stored(lines, "template-lines")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     texts = lines.groupBy("template", "key").agg(F.min(order).alias("o"))

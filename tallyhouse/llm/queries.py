@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, lines, pii, quality, repeats, sharding, simhash, toxicity, urls
+from tallyhouse.llm import decontam, lines, pii, quality, repeats, sentencepieces, sharding, simhash, toxicity, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -97,6 +97,21 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def tokenizer_file() -> str:
+    """The vocabulary of the registered query and of the pipeline."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, and whether they decode to the text again."""
+    vocabulary = sentencepieces.load(tokenizer_file())
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sentencepieces.encode_documents(rows, vocabulary, check="same_text")
+    return rows.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), "same_text")
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their recurring lines."""
     return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped")
@@ -184,6 +199,7 @@ QUERIES = {
     "op5_counterfactual_toxicity": toxicity_scores,
     "op6_repeat_removal": repeat_removal,
     "op7_url_filter": url_filter,
+    "op8_sentencepiece_encoding": sentencepiece_encoding,
     "op9_line_dedup": line_dedup,
     "op10_benchmark_decontamination": benchmark_decontamination,
 }
