@@ -1,4 +1,4 @@
-"""Text to typed values. Bad input never raises: it becomes NULL or the given default."""
+"""Text to typed values. Bad input never raises: it becomes NULL or the given default, an oversize number NULL."""
 
 from __future__ import annotations
 
@@ -51,25 +51,42 @@ def clean_numeric(col: Column, default: float = 0.0) -> Column:
 
 
 def clean_money(col: Column, as_type=AMOUNT, default: int = 0) -> Column:
-    """Amount rounded half-up to cents, computed on decimals rather than binary floats."""
-    cents = F.round(F.coalesce(parse_decimal(col), F.lit(default).cast("decimal(38,18)")), 2)
-    return F.coalesce(cents.try_cast(as_type), F.lit(default).cast(as_type))
+    """Amount rounded half-up to cents, computed on decimals rather than binary floats.
+
+    Text that is no number takes the default; a number that does not fit the type is NULL, for the
+    caller to reject (``plans.silver.oversize_values``).
+    """
+    number = F.round(parse_decimal(col), 2).try_cast(as_type)
+    return F.when(_number_text(col).isNull(), F.lit(default).cast(as_type)).otherwise(number)
 
 
 def clean_int(col: Column, default: int = 0) -> Column:
-    """Whole part of a numeric text, truncated toward zero."""
-    return F.coalesce(parse_decimal(col).try_cast("int"), F.lit(default))
+    """Whole part of a numeric text, truncated toward zero; NULL for a number beyond the type."""
+    return F.when(_number_text(col).isNull(), F.lit(default)).otherwise(parse_decimal(col).try_cast("int"))
 
 
 def clean_quantity(col: Column) -> Column:
-    return F.greatest(F.lit(1), clean_int(col, 1))
+    """At least one; NULL for a number beyond the type."""
+    quantity = clean_int(col, 1)
+    return F.when(quantity < 1, F.lit(1)).otherwise(quantity)
 
 
 def clean_percent(col: Column) -> Column:
-    value = F.coalesce(parse_decimal(col), F.lit(0).cast("decimal(38,18)"))
+    """Clamped to 0 to 100, numbers of any size included."""
+    text = _number_text(col)
+    beyond = F.when(text.try_cast("double") > 0, 100).otherwise(0).cast("decimal(38,18)")
+    value = F.when(text.isNull(), F.lit(0).cast("decimal(38,18)")).otherwise(F.coalesce(parse_decimal(col), beyond))
     return F.round(F.least(F.lit(100), F.greatest(F.lit(0), value)), 2).cast(PERCENT)
 
 
+def does_not_fit(col: Column, as_type) -> Column:
+    """True for text that is a number but not one of this type."""
+    text = _number_text(col)
+    number = parse_decimal(col)
+    fitted = number.try_cast("int") if as_type == "int" else F.round(number, 2).try_cast(as_type)
+    return text.isNotNull() & fitted.isNull()
+
+
 def clean_date(col: Column) -> Column:
     """First accepted format that fits, else NULL.
 

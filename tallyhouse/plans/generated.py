@@ -23,5 +23,6 @@ def days_to_ship(ordered: Column, shipped: Column) -> Column:
 
 
 def line_total(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
+    """NULL when the product does not fit an amount."""
     kept = (F.lit(100) - discount_pct) / F.lit(100).cast("decimal(3,0)")
-    return F.round(quantity * unit_price * kept, 2).cast(AMOUNT)
+    return F.round(quantity * unit_price * kept, 2).try_cast(AMOUNT)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import parse, text
 from tallyhouse.operators.keys import latest_per_key, with_parent
-from tallyhouse.operators.publish import counted_rows, rows_of, upsert
+from tallyhouse.operators.publish import append, counted_rows, rows_of, upsert
 from tallyhouse.plans import generated
-from tallyhouse.schemas import CUSTOMER_KEY_PREFIX, ENTITIES, PRICE, conform
+from tallyhouse.schemas import AMOUNT, CUSTOMER_KEY_PREFIX, ENTITIES, PRICE, conform
 from tallyhouse.sources.tables import Lake
 
 log = logging.getLogger(__name__)
@@ -46,7 +46,8 @@ def clean_products(rows: DataFrame) -> DataFrame:
         "cost_price": parse.clean_money(c("cost_price"), PRICE),
         "selling_price": parse.clean_money(c("selling_price"), PRICE),
         "stock_quantity": parse.clean_int(c("stock_quantity")),
-    }).filter((c("selling_price") > 0) & (c("cost_price") >= 0) & (c("cost_price") <= c("selling_price")))
+    }).dropna(subset=["stock_quantity"]).filter(
+        (c("selling_price") > 0) & (c("cost_price") >= 0) & (c("cost_price") <= c("selling_price")))
     return conform(priced.withColumns({
         "product_name": text.strip(c("product_name")),
         "category": text.title_case(c("category")),
@@ -79,11 +80,34 @@ def clean_order_items(rows: DataFrame, orders: DataFrame, products: DataFrame) -
         "quantity": parse.clean_quantity(c("quantity")),
         "unit_price": parse.clean_money(c("unit_price"), PRICE),
         "discount_pct": parse.clean_percent(c("discount_pct")),
-    })
+    }).dropna(subset=["quantity", "unit_price"])
     return conform(with_parent(with_parent(typed, products, "product_id"), orders, "order_id").withColumns({
         "line_total": generated.line_total(c("quantity"), c("unit_price"), c("discount_pct")),
         "_updated_at": F.current_timestamp(),
-    }), "order_items")
+    }).dropna(subset=["line_total"]), "order_items")
+
+
+# Measured columns whose numbers must fit a type.
+MEASURES = {
+    "products": {"cost_price": PRICE, "selling_price": PRICE, "stock_quantity": "int"},
+    "orders": {"total_amount": AMOUNT},
+    "order_items": {"quantity": "int", "unit_price": PRICE},
+}
+REJECTED = "rejected_values"
+
+
+def oversize_values(rows: DataFrame, entity: str) -> DataFrame:
+    """(table, key, column, value) of numbers that do not fit their column; their rows stay out of silver."""
+    key, found = ENTITIES[entity].key, [
+        F.when(parse.does_not_fit(F.col(m), as_type), F.struct(F.lit(m).alias("column"), F.col(m).alias("value")))
+        for m, as_type in MEASURES.get(entity, {}).items()]
+    if entity == "order_items":
+        quantity, price = parse.clean_quantity(F.col("quantity")), parse.clean_money(F.col("unit_price"), PRICE)
+        total = generated.line_total(quantity, price, parse.clean_percent(F.col("discount_pct")))
+        both = F.concat_ws(" x ", "quantity", "unit_price")
+        found.append(F.when(quantity.isNotNull() & price.isNotNull() & total.isNull(), F.struct(F.lit("line_total").alias("column"), both.alias("value"))))
+    each = F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<column:string,value:string>>")
+    return rows.select(F.lit(entity).alias("table"), F.col(key).alias("key"), F.inline(each))
 
 
 # Parents come before the tables that refer to them.
@@ -98,8 +122,10 @@ STEPS = (
 def run_silver(lake: Lake) -> DataFrame:
     """Clean and upsert the four tables; the first failure stops the run.
 
-    Returns one row per table with the numbers of candidate, written and dropped rows.
+    Returns one row per table with the numbers of candidate, written and dropped rows. Numbers that do
+    not fit their column are appended to the table of rejected values, with the id of the run.
     """
+    run = uuid.uuid4().hex
     stats = []
     for table, clean, parents in STEPS:
         entity = ENTITIES[table]
@@ -109,5 +135,11 @@ def run_silver(lake: Lake) -> DataFrame:
         before, after = rows_of(seen), rows_of(kept)
         if before != after:
             log.warning("[%s] dropped %d invalid or orphan rows", table, before - after)
+        if table in MEASURES:
+            oversize = oversize_values(last_written(lake.read("bronze", entity.bronze_table), table), table)
+            oversize, rejected = counted_rows(oversize.withColumn("run_id", F.lit(run)), f"{table}_rejected_{run}")
+            append(lake, REJECTED, oversize)
+            if rows_of(rejected):
+                log.warning("[%s] rejected %d numbers that do not fit", table, rows_of(rejected))
         stats.append((table, before, after, before - after))
     return lake.spark.createDataFrame(stats, "table string, candidates long, written long, dropped long")
