@@ -48,10 +48,9 @@ def upsert(lake: Lake, layer: str, table: str, df: DataFrame, key: str) -> DataF
     """
     if current_version(lake.spark, lake.path(layer, table)) is None:
         return rebuild(lake, layer, table, df)
-    rows, path = scratch.store(df, f"upsert-{table}")
-    out = rebuild(lake, layer, table, merged(lake.read(layer, table), rows, key))
-    scratch.discard(lake.spark, path)
-    return out
+    with scratch.scope(lake.spark):
+        rows, _ = scratch.store(df, f"upsert-{table}")
+        return rebuild(lake, layer, table, merged(lake.read(layer, table), rows, key))
 
 
 def compact_files(lake: Lake, layer: str, table: str, partition_by: str | None = None) -> DataFrame:

@@ -1,40 +1,43 @@
-"""Intermediate tables in the cluster's shared folder.
+"""Intermediate tables in the folder the cluster shares.
 
 Some operators need two passes over one fixed arrangement of the rows. They write it as a table, which
-survives lost executors, in the folder the session names in ``spark.checkpoint.dir``.
+survives lost executors, under ``spark.checkpoint.dir``, or under Spark's warehouse folder where that is
+not set (the other folder that driver and executors share).
+
+Everything goes into one folder per application, which Hadoop deletes when the driver ends. ``scope``
+deletes what was made inside it as soon as its block ends.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.sources import files
 
-
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+@lru_cache(maxsize=None)
+def _application_folder(top: str, application: str) -> str:
+    path = f"{top}/tallyhouse-{application}-{uuid.uuid4().hex[:8]}"
+    files.make_until_exit(SparkSession.active(), path)
+    return path
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/tallyhouse/{label}-{uuid.uuid4().hex}"
+    path = f"{_application_folder(shared_folder(spark), spark.sparkContext.applicationId)}/{label}-{uuid.uuid4().hex}"
+    for made in _scopes:
+        made.append(path)
+    return path
 
 
 def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -47,3 +50,19 @@ def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 
 def discard(spark: SparkSession, path: str) -> None:
     files.delete(spark, path)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end of the block, also when it fails.
+
+    DataFrames that read them must have been written or collected by then.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            files.delete(spark, path)

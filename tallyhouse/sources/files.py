@@ -24,6 +24,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target))
 
 
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """A folder that is deleted, with all that is in it, when the driver ends."""
+    fs, target = _resolve(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)

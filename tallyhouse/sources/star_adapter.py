@@ -46,14 +46,6 @@ class StarTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def _spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Partition by key when the files give fewer splits than there are cores; else leave as is.
-
-        The line work after it then runs on all cores, and the order join needs no other shuffle.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
     @cached_property
     def customers(self) -> DataFrame:
         places = self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -113,7 +105,7 @@ class StarTables:
     def order_items(self) -> DataFrame:
         lines = self.raw("lineitem").withColumn("order_id", F.expr(key("ORD", "l_orderkey")))
         price, quantity = "cast(l_extendedprice as decimal(12,2))", "cast(l_quantity as int)"
-        return self._spread(lines, "order_id").selectExpr(
+        return lines.selectExpr(
             "concat('ITEM-', concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), "
             "cast(l_partkey as string), cast(l_suppkey as string))) as item_id",
             "order_id",
@@ -124,16 +116,3 @@ class StarTables:
             f"cast(round({price} * (1 - cast(l_discount as decimal(4,2))), 2) as decimal(12,2)) as line_total",
             NO_STAMP,
         )
-
-    # The test events use five types; three have a counterpart in the retail model.
-    EVENT_NAMES = {"view": "page_view", "click": "add_to_cart", "purchase": "purchase"}
-
-    @cached_property
-    def events(self) -> DataFrame:
-        names = F.create_map(*[F.lit(x) for pair in self.EVENT_NAMES.items() for x in pair])
-        return self.raw("events").filter(F.col("event_type").isin(*self.EVENT_NAMES)).select(
-            F.concat(F.lit("EVT-"), F.col("event_id").cast("string")).alias("event_id"),
-            F.expr(key("CUST", "user_id")).alias("customer_id"),
-            F.try_element_at(names, F.col("event_type")).alias("event_type"),
-            F.col("ts").cast("timestamp").alias("event_timestamp"),
-        )
