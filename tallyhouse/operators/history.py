@@ -17,10 +17,17 @@ def with_audit(df: DataFrame, batch_id: str, columns: Sequence[str]) -> DataFram
     return df.withColumns({"_batch_id": F.lit(batch_id), "_file_row_hash": row_hash(columns), "_is_deleted": F.lit(False)})
 
 
-def newer_rows(source: DataFrame, target: DataFrame, timestamp: str) -> DataFrame:
-    """Source rows after the latest timestamp loaded so far; all rows for an empty target."""
+def newer_rows(source: DataFrame, target: DataFrame, timestamp: str, key: str, lateness: str = "0 seconds") -> DataFrame:
+    """Source rows not loaded so far; all rows for an empty target.
+
+    Looks at rows from the latest loaded timestamp on, less the time rows may come late, and at rows
+    without a timestamp, and leaves out keys the target has. Rows later than ``lateness`` are not seen.
+    """
     last = target.agg(F.max(timestamp)).first()[0]
-    return source if last is None else source.filter(F.col(timestamp) > F.lit(last))
+    if last is None:
+        return source
+    candidates = source.filter(F.col(timestamp).isNull() | (F.col(timestamp) >= F.lit(last) - F.expr(f"INTERVAL {lateness}")))
+    return candidates.join(target.select(key), key, "left_anti")
 
 
 def scd2_open(rows: DataFrame, tracked: Sequence[str], valid_from: Column) -> DataFrame:
@@ -32,7 +39,8 @@ def scd2_open(rows: DataFrame, tracked: Sequence[str], valid_from: Column) -> Da
 def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], as_of: str) -> DataFrame:
     """History after a new snapshot of the entity.
 
-    A changed row closes its current version the day before and opens a new one; a new key opens one;
+    A changed row closes its current version the day before and opens a new one; a version that opened
+    on the same day or later is replaced, since it was never valid for a whole day. A new key opens a version;
     keys missing in the snapshot stay as they are. One join of the current versions with the snapshot
     decides both, and applying the same snapshot again changes nothing.
     """
@@ -42,7 +50,7 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
     changed = incoming.join(current, key, "left").filter(F.col("_known").isNull() | (F.col("_known") != F.col("row_hash"))).drop("_known")
     ended = history.join(changed.select(key, F.lit(True).alias("_new")), key, "left")
     closing = F.col("is_current") & F.coalesce(F.col("_new"), F.lit(False))
-    closed = ended.withColumns({
+    closed = ended.filter(~(closing & (F.col("valid_from") >= day))).withColumns({
         "valid_to": F.when(closing, F.date_sub(day, 1)).otherwise(F.col("valid_to")),
         "is_current": F.col("is_current") & ~closing}).drop("_new")
     return closed.unionByName(changed)

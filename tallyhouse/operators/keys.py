@@ -16,6 +16,11 @@ def latest_per_key(df: DataFrame, key: str, *newest_first: Column) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
 
 
+def known_keys(df: DataFrame, key: str) -> DataFrame:
+    """Every key of a table once."""
+    return df.select(key).distinct()
+
+
 def without_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``known`` yet. A NULL key is never known."""
     return df.join(known.select(key), key, "left_anti")

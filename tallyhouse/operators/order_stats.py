@@ -19,22 +19,25 @@ from tallyhouse.operators.ranking import global_running_sum
 def with_rank(df: DataFrame, value: str, group: str | None = None, rank: str = "rank", percent: str = "percent_rank") -> DataFrame:
     """SQL ``rank`` and ``percent_rank`` by descending value, over all rows or inside each group.
 
-    ``value`` and ``group`` must not be NULL.
+    NULL values come last, and rows without a group form a group.
     """
     keys = ([group] if group else []) + [value]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    placed = global_running_sum(counts, [F.col(k) for k in keys[:-1]] + [F.col(value).desc()], "_n", "_upto")
+    placed = global_running_sum(counts, [F.col(k) for k in keys[:-1]] + [F.col(value).desc_nulls_last()], "_n", "_upto")
     before = F.col("_upto") - F.col("_n")
     groups = placed.groupBy(*keys[:-1]).agg(F.min(before).alias("_start"), F.sum("_n").alias("_size"))
     if group:
-        ranks = placed.join(groups, group)
+        groups = groups.withColumnRenamed(group, "_group")
+        ranks = placed.join(groups, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
     else:
         start, size = groups.first()
         ranks = placed.withColumns({"_start": F.lit(start), "_size": F.lit(size)})
     position = (before - F.col("_start")).cast("long")
     ranks = ranks.select(*keys, (position + 1).alias(rank), F.when(F.col("_size") == 1, F.lit(0.0)).otherwise(
         position.cast("double") / (F.col("_size") - 1).cast("double")).alias(percent))
-    return df.join(ranks, keys)
+    named = ranks.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(named[f"_{k}"]) for k in keys])
+    return df.join(named, same).drop(*[f"_{k}" for k in keys])
 
 
 def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> list[float | None]:

@@ -11,25 +11,28 @@ from tallyhouse.operators.changes import write_changes
 from tallyhouse.sources.tables import Lake
 
 
-def daily_totals(lines: DataFrame, timestamp: str = "order_ts", delay: str = "7 days") -> DataFrame:
-    """Additive measures per day of a stream of completed order lines.
+def daily_totals(lines: DataFrame, timestamp: str = "order_ts") -> DataFrame:
+    """Additive measures per day of completed order lines.
 
     Distinct counts, running sums and the top category do not add up over batches; recompute them for
     the touched days with ``plans.marketing.refresh_days``.
     """
-    day = F.window(timestamp, "1 day")
-    return lines.withWatermark(timestamp, delay).groupBy(day).agg(
+    return lines.groupBy(F.col(timestamp).cast("date").alias("order_date")).agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("quantity").alias("units_sold"),
         money(F.sum("gross_revenue")).alias("gross_revenue"),
         money(F.sum("gross_profit")).alias("gross_profit"),
-    ).select(F.col("window.start").cast("date").alias("order_date"), "lines", "units_sold", "gross_revenue", "gross_profit")
+    )
+
 
+def write_daily_totals(lake: Lake, lines: DataFrame, checkpoint: str, timestamp: str = "order_ts", table: str = "daily_totals") -> StreamingQuery:
+    """Write what each batch of lines adds to its days; ``operators.changes.sum_of_changes`` reads the current state.
 
-def write_daily_totals(lake: Lake, totals: DataFrame, checkpoint: str, table: str = "daily_totals") -> StreamingQuery:
-    """Write the days each batch changed; ``operators.changes.current_rows`` reads the current state."""
+    There is no watermark and no state: a line counts however late it comes, and a repeated batch
+    overwrites its own increment. ``operators.changes.compact_sums`` folds the increments now and then.
+    """
     return (
-        totals.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_changes(lake, table, batch, batch_id))
+        lines.writeStream
+        .foreachBatch(lambda batch, batch_id: write_changes(lake, "gold", table, daily_totals(batch, timestamp), batch_id))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

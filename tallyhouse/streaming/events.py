@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyhouse.operators.keys import latest_per_key, without_known
+from tallyhouse.operators import scratch
+from tallyhouse.operators.keys import latest_per_key
 from tallyhouse.sources import files
 
 
 def distinct_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """First row per event id; copies up to ``delay`` apart are recognised, state is dropped after that.
 
-    Rows later than the delay are lost here, so the batch load stays the authority. All copies of one id
+    Opt-in: rows later than the delay are lost here, so the batch load stays the authority. All copies of one id
     meet in one task; where an id may have very many copies use ``store_distinct_events``.
     """
     return events.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
@@ -26,22 +27,58 @@ def write_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def store_distinct_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+BUCKETS = 256
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("event_id"), F.lit(buckets)).cast("int")
+
+
+def store_distinct_events(events: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
     """Events not stored yet, the earliest copy of each, without state and without losing late rows.
 
-    Copies inside a batch are cut to one per map task before they are shuffled. A batch writes its own
-    folder, overwritten when it is repeated, and looks for known ids in the folders of earlier batches.
-    Batch numbers come from the checkpoint, so a path belongs to one checkpoint.
+    Copies inside a batch are cut to one per map task before they are shuffled. Stored events lie in
+    folders by a hash of the id, then by batch, so a batch looks for known ids only in the buckets its ids fall
+    into; ``compact_events`` folds the batches of a bucket into one. A repeated batch overwrites its own
+    folders. Batch numbers come from the checkpoint, so a path belongs to one checkpoint.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = latest_per_key(batch, "event_id", F.asc("event_timestamp"))
-        earlier = [f"{path}/{n}" for n in files.child_names(spark, path) if n.startswith("batch=") and int(n[6:]) < batch_id]
-        if earlier:
-            fresh = without_known(fresh, spark.read.schema(batch.schema).parquet(*earlier), "event_id")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        with scratch.scope(spark):
+            fresh = latest_per_key(batch, "event_id", F.asc("event_timestamp")).withColumn("bucket", _bucket(buckets))
+            fresh, _ = scratch.store(fresh, "events")
+            touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most `buckets`
+            earlier = [f"{path}/bucket={b}/{n}" for b in touched for n in files.child_names(spark, f"{path}/bucket={b}")
+                       if n.startswith("batch=") and int(n[6:]) < batch_id]
+            if earlier:
+                stored = spark.read.option("basePath", path).schema(fresh.schema).parquet(*earlier)
+                fresh = fresh.join(stored.select("bucket", "event_id"), ["bucket", "event_id"], "left_anti")
+            rows = fresh.withColumn("batch", F.lit(batch_id).cast("long"))
+            # One batch touches one folder a bucket; dynamic overwriting replaces just those.
+            rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(path)
 
     return (
         events.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+def compact_events(spark, path: str, keep_from: int) -> None:
+    """Fold the batches before ``keep_from`` into one folder a bucket, of the last of them.
+
+    The merged rows are stored first and replace that folder; the others go after it. Ids are unique over all
+    batches, so rows that a failed run left in both places are found and dropped by the next one.
+    """
+    folders = {b: [n for n in files.child_names(spark, f"{path}/{b}") if n.startswith("batch=") and int(n[6:]) < keep_from]
+               for b in files.child_names(spark, path) if b.startswith("bucket=")}
+    for bucket, batches in folders.items():
+        if len(batches) < 2:
+            continue
+        last = max(batches, key=lambda n: int(n[6:]))
+        with scratch.scope(spark):
+            rows = spark.read.parquet(*[f"{path}/{bucket}/{n}" for n in batches])
+            rows, _ = scratch.store(latest_per_key(rows, "event_id", F.asc("event_timestamp")), "events")
+            rows.write.mode("overwrite").parquet(f"{path}/{bucket}/{last}")
+        for n in batches:
+            if n != last:
+                files.delete(spark, f"{path}/{bucket}/{n}")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyhouse.operators.changes import write_changes
-from tallyhouse.operators.publish import append
+from tallyhouse.operators import scratch
+from tallyhouse.operators.changes import compact, current_rows, write_changes
+from tallyhouse.operators.keys import without_known
+from tallyhouse.operators.publish import append, upsert
 from tallyhouse.plans.bronze import fresh_rows
 from tallyhouse.plans.silver import last_written
 from tallyhouse.schemas import ENTITIES, Entity
+from tallyhouse.sources import files
 from tallyhouse.sources.tables import Lake
 
 
@@ -50,16 +53,58 @@ def stream_to_bronze(lake: Lake, entity: Entity, folder: str, checkpoint: str) -
     )
 
 
-def stream_to_silver(lake: Lake, entity_name: str, clean: Callable[[DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
-    """Clean arriving bronze rows and write the last one per key as changes of the silver table."""
+def stream_to_silver(lake: Lake, entity_name: str, clean: Callable[..., DataFrame], checkpoint: str, parents: Sequence[str] = ()) -> StreamingQuery:
+    """Clean arriving bronze rows and write the last one per key as changes of the silver table.
+
+    ``clean`` also gets the current rows of the named silver parents. A row whose parent has not arrived is
+    not lost: the bronze rows of keys that no batch has put into silver yet wait in a table of their own and
+    are tried again with every batch, and by ``load_waiting`` when only parents have arrived. A later row of a waiting key replaces it.
+    """
     entity = ENTITIES[entity_name]
     path = lake.path("bronze", entity.bronze_table)
     schema = lake.read("bronze", entity.bronze_table).schema
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        write_changes(lake, entity_name, clean(last_written(batch, entity_name)), batch_id)
+        _load_silver(lake, entity, clean, parents, batch, batch_id)
 
     return (
         lake.spark.readStream.schema(schema).parquet(path).writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def _load_silver(lake: Lake, entity: Entity, clean: Callable[..., DataFrame], parents: Sequence[str], batch: DataFrame, batch_id: int) -> None:
+    """Batches are numbered by the checkpoint; the waiting rows a batch starts from are those its predecessor left.
+
+    Repeating a batch starts from the same waiting rows, since they are kept by batch number.
+    """
+    waiting = f"{lake.path('waiting', entity.name)}/batch="
+    rows = batch
+    earlier = [n for n in files.child_names(lake.spark, lake.path("waiting", entity.name)) if n.startswith("batch=") and int(n[6:]) < batch_id]
+    if earlier:
+        rows = rows.unionByName(lake.spark.read.schema(batch.schema).parquet(f"{lake.path('waiting', entity.name)}/{earlier[-1]}"))
+    with scratch.scope(lake.spark):
+        rows, _ = scratch.store(last_written(rows, entity.name), f"{entity.name}-batch")
+        known = [current_rows(lake, "silver", p, ENTITIES[p].key) for p in parents]
+        cleaned, _ = scratch.store(clean(rows, *known), f"{entity.name}-clean")
+        write_changes(lake, "silver", entity.name, cleaned, batch_id)
+        if parents:
+            without_known(rows, cleaned, entity.key).write.mode("overwrite").parquet(f"{waiting}{batch_id:012d}")
+            for n in earlier[:-1]:
+                files.delete(lake.spark, f"{lake.path('waiting', entity.name)}/{n}")
+
+
+def load_waiting(lake: Lake, entity_name: str, clean: Callable[..., DataFrame], parents: Sequence[str]) -> None:
+    """Put waiting rows whose parents have arrived by now into silver.
+
+    For the time between streams: it upserts into the snapshot, and rows it has put there stay in the waiting
+    table until the next batch, where they are cleaned to the same silver rows.
+    """
+    entity = ENTITIES[entity_name]
+    names = [n for n in files.child_names(lake.spark, lake.path("waiting", entity_name)) if n.startswith("batch=")]
+    if not names:
+        return
+    compact(lake, "silver", entity_name, entity.key)
+    schema = lake.read("bronze", entity.bronze_table).schema
+    rows = lake.spark.read.schema(schema).parquet(f"{lake.path('waiting', entity_name)}/{names[-1]}")
+    upsert(lake, "silver", entity_name, clean(rows, *[current_rows(lake, "silver", p, ENTITIES[p].key) for p in parents]), entity.key)
