@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import dates as D
 from tallyhouse.functions.numbers import counted, money, ratio
+from tallyhouse.operators import scratch
 from tallyhouse.operators.order_stats import exact_quantiles, with_rank
 from tallyhouse.operators.ranking import Scale, global_running_sum, ntile_columns
 from tallyhouse.schemas import MONEY
@@ -59,16 +60,17 @@ def month_growth(daily: DataFrame) -> DataFrame:
 
 
 def abc_classes(products: DataFrame, a: str = "0.20", b: str = "0.50") -> DataFrame:
-    """A, B or C by the share of total revenue earned before the product, best first."""
+    """A, B or C by the share of total revenue earned before the product, best first; C without revenue."""
     sold = products.filter(F.col("gross_revenue") > 0).select("product_id", "gross_revenue")
     total = sold.agg(F.sum("gross_revenue")).first()[0]
     placed = global_running_sum(sold, [F.col("gross_revenue").desc(), F.col("product_id")], "gross_revenue", "upto")
     before = F.col("upto") - F.col("gross_revenue")
-    # Products without sales have no total to share; they are not in the result.
     limits = [F.lit((Decimal(x) * (total or 0))).cast("decimal(38,6)") for x in (a, b)]
-    return placed.select(
+    classed = placed.select(
         "product_id", "gross_revenue",
         F.when(before < limits[0], "A").when(before < limits[1], "B").otherwise("C").alias("abc_class"))
+    unsold = products.filter(F.col("gross_revenue").isNull() | (F.col("gross_revenue") <= 0))
+    return classed.unionByName(unsold.select("product_id", "gross_revenue", F.lit("C").alias("abc_class")))
 
 
 def xyz_classes(fact: DataFrame, x: float = 0.5, y: float = 1.0) -> DataFrame:
@@ -84,8 +86,12 @@ def xyz_classes(fact: DataFrame, x: float = 0.5, y: float = 1.0) -> DataFrame:
 
 
 def spend_ranks(customers: DataFrame) -> DataFrame:
-    """Rank inside the state, percent rank and decile over all customers, by lifetime value."""
-    chosen = customers.filter(F.col("state").isNotNull()).select("customer_id", "state", "lifetime_value")
+    """Rank inside the state, percent rank and decile over all customers, by lifetime value.
+
+    Customers without a state are ranked among themselves, like those of any state. The customers are
+    stored first, since the ranks need them several times.
+    """
+    chosen, _ = scratch.store(customers.select("customer_id", "state", "lifetime_value"), "spend")
     in_state = with_rank(chosen, "lifetime_value", "state", rank="state_rank", percent="state_percent_rank")
     overall = with_rank(in_state, "lifetime_value", rank="overall_rank", percent="percent_rank")
     decile = ntile_columns(chosen, "customer_id", {"decile": Scale(F.col("lifetime_value"), descending=True)}, 10)
@@ -99,11 +105,17 @@ def predicted_value(ltv: DataFrame, months: int = 24) -> DataFrame:
     return ltv.select("customer_id", "churn_status", F.when(gone, F.lit(0).cast(MONEY)).otherwise(value).alias("predicted_value"))
 
 
+NO_CHANNEL = "no_channel"
+
 # --- channel pivot -----------------------------------------------------------------------------------
 
 
 def channel_pivot(fact: DataFrame, channel: str = "shipping_method", channels: Sequence[str] | None = None) -> DataFrame:
-    """Completed revenue per month, one column per channel; the channels are looked up when not given."""
+    """Completed revenue per month, one column per channel and one, ``no_channel``, for the rest.
+
+    The channels are looked up when not given, at most spark.sql.pivotMaxValues of them (else an error);
+    with given channels the last column holds the revenue of all others.
+    """
     done = fact.filter("is_completed")
     if channels is None:
         # Spark limits a pivot to spark.sql.pivotMaxValues columns; the lookup stops at the same bound.
@@ -112,7 +124,8 @@ def channel_pivot(fact: DataFrame, channel: str = "shipping_method", channels: S
         if len(found) > limit:
             raise ValueError(f"{channel} has more than {limit} values")
         channels = sorted(r[0] for r in found)
-    wide = done.groupBy("order_month").pivot(channel, list(channels)).agg(money(F.sum("gross_revenue")))
+    named = F.when(F.col(channel).isin(*channels), F.col(channel)).otherwise(NO_CHANNEL)
+    wide = done.withColumn("_channel", named).groupBy("order_month").pivot("_channel", [*channels, NO_CHANNEL]).agg(money(F.sum("gross_revenue")))
     return wide.na.fill(0)
 
 
@@ -129,7 +142,11 @@ def describe_amounts(orders: DataFrame, column: str = "total_amount") -> DataFra
 
 
 def outliers(df: DataFrame, key: str, column: str, z: float = 3.0, modified_z: float = 3.5, fence: float = 1.5) -> DataFrame:
-    """Z-score, modified Z-score and quartile-fence flags, their consensus, and the capped value."""
+    """Z-score, modified Z-score and quartile-fence flags, their consensus, and the capped value.
+
+    The two columns are stored first, since every statistic is a pass over them.
+    """
+    df, _ = scratch.store(df.select(key, column), "outliers")
     v = F.col(column).cast("double")
     mean, deviation = df.agg(F.avg(v), F.stddev_pop(v)).first()
     q1, median, q3 = exact_quantiles(df, column, [0.25, 0.5, 0.75])
