@@ -60,7 +60,8 @@ FROM m LEFT JOIN m p ON p.month = m.month - INTERVAL 1 MONTH LEFT JOIN m y ON y.
 add("ext6_abc_classes", lambda s, f: analysis.abc_classes(Retail(s, f).dim_products), query(S.PRODUCTS, """
 SELECT product_id, gross_revenue, CASE WHEN 5 * (upto - gross_revenue) < whole THEN 'A' WHEN 2 * (upto - gross_revenue) < whole THEN 'B' ELSE 'C' END AS abc_class
 FROM (SELECT product_id, gross_revenue, sum(gross_revenue) OVER () AS whole,
-  sum(gross_revenue) OVER (ORDER BY gross_revenue DESC, product_id ROWS UNBOUNDED PRECEDING) AS upto FROM dimp WHERE gross_revenue > 0)"""))
+  sum(gross_revenue) OVER (ORDER BY gross_revenue DESC, product_id ROWS UNBOUNDED PRECEDING) AS upto FROM dimp WHERE gross_revenue > 0)
+UNION ALL SELECT product_id, gross_revenue, 'C' FROM dimp WHERE gross_revenue IS NULL OR gross_revenue <= 0"""))
 add("ext6_xyz_classes", lambda s, f: analysis.xyz_classes(Retail(s, f).lines), query(S.SALES, """
 SELECT product_id, months, v AS variation, CASE WHEN v <= 0.5 THEN 'X' WHEN v <= 1.0 THEN 'Y' ELSE 'Z' END AS xyz_class
 FROM (SELECT product_id, count(*) AS months, round(stddev_samp(u) / avg(u), 6) AS v
@@ -69,10 +70,10 @@ add("ext8_spend_ranks", lambda s, f: analysis.spend_ranks(Retail(s, f).dim_custo
 SELECT customer_id, state, lifetime_value, rank() OVER st AS state_rank, percent_rank() OVER st AS state_percent_rank,
  rank() OVER al AS overall_rank, percent_rank() OVER al AS percent_rank,
  CAST(ntile(10) OVER (ORDER BY lifetime_value DESC, customer_id) AS INT) AS decile
-FROM dimc WHERE state IS NOT NULL WINDOW st AS (PARTITION BY state ORDER BY lifetime_value DESC), al AS (ORDER BY lifetime_value DESC)"""))
+FROM dimc WINDOW st AS (PARTITION BY state ORDER BY lifetime_value DESC), al AS (ORDER BY lifetime_value DESC)"""))
 _METHODS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 add("ext9_channel_pivot", lambda s, f: analysis.channel_pivot(Retail(s, f).lines), query(S.SALES, "SELECT order_month, " + ", ".join(
-    f"CAST(coalesce(sum(CASE WHEN shipping_method = '{m}' THEN gross_revenue END), 0) AS DECIMAL(18,2)) AS \"{m}\"" for m in _METHODS)
+    f"CAST(coalesce(sum(CASE WHEN shipping_method = '{m}' THEN gross_revenue END), 0) AS DECIMAL(18,2)) AS \"{m}\"" for m in _METHODS) + ", CAST(0 AS DECIMAL(18,2)) AS no_channel"
     + " FROM fact WHERE is_completed GROUP BY 1"))
 
 add("ext10_describe_amounts", lambda s, f: _rounded(analysis.describe_amounts(Retail(s, f).orders), "mean", "median", "stddev", "variation", "skewness", "kurtosis", digits=4),
@@ -131,7 +132,7 @@ FROM ({dirty.RAW['products']}) r""")
 def _newer(s, f):
     events = Retail(s, f).silver.raw("events").select("event_id", "ts")
     half = events.filter("ts < TIMESTAMP_NTZ'2024-01-10 00:00:00'")
-    return history.newer_rows(events, half, "ts").select("event_id")
+    return history.newer_rows(events, half, "ts", "event_id").select("event_id")
 
 
 add("ext2_newer_rows", _newer, "SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-10 00:00:00')")

@@ -225,7 +225,8 @@ add("rpt28_ltv_histogram", lambda r: reports.ltv_histogram(reports.top_ltv(r.ltv
  SELECT customer_tier, CAST(CASE WHEN hi = lo THEN 1 ELSE least(40, 1 + floor((v - lo) * 40 / (hi - lo))) END AS INT) AS bin
  FROM (SELECT customer_tier, CAST(lifetime_value AS DOUBLE) AS v, min(CAST(lifetime_value AS DOUBLE)) OVER () AS lo,
    max(CAST(lifetime_value AS DOUBLE)) OVER () AS hi FROM top500)) GROUP BY 1, 2"""))
-add("srt5_ltv_sample", lambda r: reports.ltv_sample(reports.top_ltv(r.ltv)))
+add("srt5_ltv_sample", lambda r: reports.ltv_sample(reports.top_ltv(r.ltv)), query(_WITH_LTV + ["\ntop500 AS (" + _TOP + "500)"],
+    "SELECT * FROM top500 ORDER BY sha256(customer_id || '|0'), customer_id LIMIT 300"))
 
 # --- products -------------------------------------------------------------------------------------
 

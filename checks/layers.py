@@ -14,7 +14,7 @@ from tallyhouse.functions import parse, text
 from tallyhouse.functions.sql_names import register
 from tallyhouse.operators import keys, scratch
 from tallyhouse.operators.publish import export_csv, rebuild, upsert
-from tallyhouse.plans import bronze, quality, reports, runs, silver
+from tallyhouse.plans import bronze, quality, runs, silver
 from tallyhouse.schemas import ENTITIES
 from tallyhouse.sources.csv_files import scan_csv
 from tallyhouse.sources.sql import run_sql
@@ -131,15 +131,6 @@ add("src8_parameterised_sql", _bound_sql, query(S.STAGED, f"""SELECT order_statu
 FROM s_ord WHERE order_year = 1997 AND shipping_method <> '5-LOW' GROUP BY 1"""))
 
 
-def _freshness(spark, folder) -> DataFrame:
-    """Last ship date per order month, read as a run log."""
-    runs_ = Retail(spark, folder).orders.select(
-        F.when(F.col("is_completed"), "success").otherwise("failed").alias("status"), F.col("ship_date").alias("completed_at"))
-    return reports.freshness(runs_)
-
-
-add("rpt27_freshness", _freshness, query(S.STAGED, "SELECT max(ship_date) AS last_run FROM s_ord WHERE is_completed"))
-
 # --- cleaning -------------------------------------------------------------------------------------
 
 

@@ -44,7 +44,7 @@ add("src4_layer_scan", lambda s, f: _silver_lake(s, f, "customers").read("silver
 def _key_scan(s, f) -> DataFrame:
     lake, files = new_lake(s), csv_folder(s, f, "events")
     bronze.load_bronze(lake, ENTITIES["events"], f"{files}/events.csv")
-    return lake.read("bronze", "raw_events").select("event_id").distinct()
+    return keys.known_keys(lake.read("bronze", "raw_events"), "event_id")
 
 
 add("src5_key_scan", _key_scan, "SELECT DISTINCT 'EVT-' || CAST(event_id AS STRING) AS event_id FROM events")

@@ -12,7 +12,7 @@ from checks.layers import csv_folder, new_lake, raw_sql
 from checks.retail import Retail
 from checks.sql import query, total
 from tallyhouse.operators import scratch
-from tallyhouse.operators.changes import compact, current_rows
+from tallyhouse.operators.changes import compact, current_rows, sum_of_changes
 from tallyhouse.plans import marketing, silver
 from tallyhouse.schemas import ENTITIES
 from tallyhouse.sources.star_adapter import RAW_SCHEMAS
@@ -97,9 +97,8 @@ def _totals(spark, folder) -> DataFrame:
         F.concat(F.lit("ORD-"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("order_id"),
         F.col("o_orderdate").cast("timestamp").alias("order_ts"))
     lines = r.lines.select("order_id", "quantity", "gross_revenue", "gross_profit")
-    query_ = daily.write_daily_totals(lake, daily.daily_totals(stream.join(lines, "order_id")), _checkpoint(spark))
-    query_.awaitTermination()
-    return current_rows(lake, "gold", "daily_totals", "order_date")
+    daily.write_daily_totals(lake, stream.join(lines, "order_id"), _checkpoint(spark)).awaitTermination()
+    return sum_of_changes(lake, "gold", "daily_totals", "order_date")
 
 
 add("str4_daily_totals", _totals, query(S.SALES, f"""SELECT order_date, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units_sold,
