@@ -31,10 +31,10 @@ def apply(spark, fn, values):
     (parse.standardize_status, [("complete", "completed"), ("CANCEL", "cancelled"), ("shipped", "shipped"), ("pending", "processing"),
                                 ("unknown_status", "unknown_status"), (" Done", "completed"), ("in_transit", "shipped"),
                                 ("canceled", "cancelled"), ("return", "returned"), ("Weird ", "weird"), ("processing", "processing")]),
-    (parse.clean_percent, [("150", Decimal("100.00")), ("-5", Decimal("0.00")), ("nan", Decimal("0.00")), ("12.5", Decimal("12.50"))]),
-    (parse.clean_quantity, [("0", 1), ("2.9", 2), ("x", 1), ("-3", 1), ("7", 7), ("99999999999", 1)]),
-    (parse.clean_int, [("12.9", 12), ("-12.9", -12), ("1,000", 1000), ("", 0), ("99999999999", 0)]),
-    (parse.clean_money, [("2.675", Decimal("2.68")), ("1,234.5", Decimal("1234.50")), ("-0.005", Decimal("-0.01")), ("n/a", Decimal("0.00"))]),
+    (parse.clean_percent, [("150", Decimal("100.00")), ("-5", Decimal("0.00")), ("nan", Decimal("0.00")), ("12.5", Decimal("12.50")), ("1e30", Decimal("100.00")), ("-1e30", Decimal("0.00"))]),
+    (parse.clean_quantity, [("0", 1), ("2.9", 2), ("x", 1), ("-3", 1), ("7", 7), ("99999999999", None)]),
+    (parse.clean_int, [("12.9", 12), ("-12.9", -12), ("1,000", 1000), ("", 0), ("99999999999", None)]),
+    (parse.clean_money, [("2.675", Decimal("2.68")), ("1,234.5", Decimal("1234.50")), ("-0.005", Decimal("-0.01")), ("n/a", Decimal("0.00")), ("99999999999.00", None), ("1e30", None)]),
     (text.title_case, [(" o'neil ", "O'Neil"), ("mc-donald", "Mc-Donald"), ("WOMEN'S wear", "Women'S Wear"), ("x1y", "X1Y"), ("", ""), (None, None)]),
     (text.upper_code, [(" ca\t", "CA"), (None, None)]),
     (text.blank_to_null, [("  ", None), ("", None), (" A ", "A"), (None, None)]),

@@ -227,3 +227,18 @@ def test_hot_event_is_stored_once(spark, tmp_path):
     assert stored.filter("count > 1").count() == 0
     assert stored.count() == 1 + sum(1 for i in range(400) if i % 3)
     assert spark.read.parquet(out).filter("event_id = 'hot'").first().event_timestamp.timestamp() == 0
+
+
+def test_numbers_that_do_not_fit_are_rejected(spark, lake, folder):
+    (folder / "products.csv").write_text(FILES["products"] + "P5,Ring,home,,Foo,5,123456789.50,3,S5\nP6,Nut,home,,Foo,1,2,99999999999,S6\n")
+    (folder / "orders.csv").write_text(FILES["orders"] + "O7,CUST-1,2023-03-01,,Express,Done,99999999999.00,\n")
+    (folder / "order_items.csv").write_text(FILES["order_items"] + "I6,O1,P1,99999999999,1,0\nI7,O1,P1,2000000000,99999999,0\n")
+    bronze.run_bronze(lake, str(folder))
+    silver.run_silver(lake)
+    assert {r.product_id for r in lake.read("silver", "products").collect()} == {"P1", "P4"}
+    assert "O7" not in {r.order_id for r in lake.read("silver", "orders").collect()}
+    rejected = {(r.table, r.key, r.column, r.value) for r in lake.read("bronze", silver.REJECTED).collect()}
+    assert rejected == {
+        ("products", "P5", "selling_price", "123456789.50"), ("products", "P6", "stock_quantity", "99999999999"),
+        ("orders", "O7", "total_amount", "99999999999.00"), ("order_items", "I6", "quantity", "99999999999"),
+        ("order_items", "I7", "line_total", "2000000000 x 99999999")}

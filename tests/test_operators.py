@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import keys, ranking, scratch
 from tallyhouse.operators.distinct import sales_rollup
+from tallyhouse.operators.order_stats import with_rank
 from tallyhouse.operators.publish import rebuild, upsert
 from tallyhouse.operators.ranking import Scale
 from tallyhouse.sources import files
@@ -113,3 +114,30 @@ def test_few_partitions_of_a_hot_month_are_split(spark, lake):
     rows = spark.range(20000).withColumn("m", F.when(F.col("id") % 3 == 0, F.col("id") % 20).otherwise(-1))
     out = rebuild(lake, "gold", "f", rows, partition_by="m", sort_by="id")
     assert out.count() == 20000 and out.select("m").distinct().count() == 21
+
+
+def test_scope_leaves_nothing_behind(spark, tmp_path):
+    rows = spark.range(500).selectExpr("id", "cast(id % 7 as decimal(18,6)) / 3 as v").withColumn("v", F.col("v").cast("decimal(18,6)"))
+    top = scratch.new_path(spark, "probe").rpartition("/")[0]
+    before = files.child_names(spark, top)
+    with scratch.scope(spark):
+        ranking.global_row_number(rows, [F.col("v"), F.col("id")]).collect()
+        ranking.global_running_sum(rows, [F.col("id")], "v").collect()
+    ranking.ntile_columns(rows, "id", {"a": Scale(F.col("v"))})
+    with pytest.raises(RuntimeError), scratch.scope(spark):
+        scratch.store(rows, "x")
+        raise RuntimeError
+    assert files.child_names(spark, top) == before
+
+
+def test_keys_keep_all_their_decimals(spark):
+    rows = spark.createDataFrame([(i, f"1.0000{i}") for i in (3, 1, 4, 2)], "id int, t string").selectExpr("id", "cast(t as decimal(18,6)) as v", "1 + id / 1e9 as d")
+    tiles = ranking.ntile_columns(rows, "id", {"a": Scale(F.col("v")), "b": Scale(F.col("d"), descending=True), "c": Scale(F.col("id"), descending=True)}, 4)
+    got = sorted(tuple(r) for r in rows.select("id", tiles["a"], tiles["b"], tiles["c"]).collect())
+    assert got == [(1, 1, 4, 4), (2, 2, 3, 3), (3, 3, 2, 2), (4, 4, 1, 1)]
+
+
+def test_ranks_of_missing_values_and_groups(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("b", 3, "x"), ("c", None, "x"), ("d", 2, None), ("e", 5, None)], "id string, v int, g string")
+    got = {r.id: (r.rank, r.percent_rank) for r in with_rank(rows, "v", "g").collect()}
+    assert got == {"b": (1, 0.0), "a": (2, 0.5), "c": (3, 1.0), "e": (1, 0.0), "d": (2, 1.0)}
