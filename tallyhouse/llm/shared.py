@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{top}/{label}-{uuid.uuid4().hex}"
+from tallyhouse.operators import scratch
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table: what is read twice is computed once, and a lost executor costs no recomputation."""
-    path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return scratch.store(df, label)[0]
 
 
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables once nothing reads them any more."""
     for df in tables:
-        jvm = df.sparkSession.sparkContext._jvm
-        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            scratch.discard(df.sparkSession, folder)

@@ -40,7 +40,7 @@ def texts():
 def test_against_the_whole_lattice(vocabulary):
     encoder = sp.Encoder(vocabulary)
     for t in texts():
-        ids = encoder.encode(t)
+        ids = list(encoder.encode(t))
         assert ids == brute(vocabulary, t) and encoder.decode(ids) == t
         if t:
             s = sp.SPACE + t.replace(sp.SPACE, sp._LITERAL).replace(" ", sp.SPACE)
@@ -58,7 +58,7 @@ def test_the_library_decodes_the_ids(vocabulary):
     path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     for t in ("The quick brown fox.", "Ça va bien\nmerci 123", "日本語 テスト"):
-        assert model.decode(sp.Encoder(vocabulary).encode(t)) == t
+        assert model.decode(list(sp.Encoder(vocabulary).encode(t))) == t
 
 
 def test_documents(odd, docs, vocabulary):
@@ -67,6 +67,6 @@ def test_documents(odd, docs, vocabulary):
     rows = out.collect()
     assert len(rows) == len(ODD) and all((r.ids is None and r.same is None) if r.text is None else r.same for r in rows)
     encoder = sp.Encoder(vocabulary)
-    assert all(r.ids == encoder.encode(r.text) for r in rows if r.text is not None)
+    assert all(r.ids == list(encoder.encode(r.text)) for r in rows if r.text is not None)
     assert all(r.decoded == r.text for r in sp.decode_documents(out, vocabulary).collect())
     assert sp.encode_documents(docs([]), vocabulary).collect() == []
