@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import dates as D
 from tallyhouse.functions.numbers import bands, ratio
+from tallyhouse.operators import scratch
 from tallyhouse.operators.ranking import Scale, ntile_columns
 from tallyhouse.sources.spine import DEFAULT_END, DEFAULT_START, date_spine
 
@@ -87,7 +88,11 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
 
 
 def rfm_scores(order_stats: DataFrame, recency: str = "documented") -> DataFrame:
-    """``order_stats`` with the three scores, their mean and the segment."""
+    """``order_stats`` with the three scores, their mean and the segment.
+
+    The statistics are stored first: the ranking reads them, and the result reads them again.
+    """
+    order_stats, _ = scratch.store(order_stats, "order-stats")
     scores = ntile_columns(order_stats, "customer_id", rfm_scales(recency), k=5)
     r, f, m = (F.col(n) for n in scores)
     return order_stats.withColumns(scores).withColumns({

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import dates as D
 from tallyhouse.functions.numbers import bands, counted, mean, money, ratio
-from tallyhouse.operators.distinct import sales_rollup
 from tallyhouse.schemas import MONEY
 
 # Days since the last completed order.
@@ -24,21 +23,34 @@ def top_category(fact: DataFrame) -> DataFrame:
 
 
 def day_totals(fact: DataFrame) -> DataFrame:
-    """Additive and distinct measures and the top category per day with a completed order."""
-    revenue = F.col("gross_revenue")
-    totals = sales_rollup(
-        fact.filter("is_completed"), ["order_date"],
-        {
-            "units_sold": F.col("quantity"),
-            "revenue": revenue,
-            "cogs": F.col("cogs"),
-            "profit": F.col("gross_profit"),
-            "b2c": F.when(F.col("customer_segment") == "B2C", revenue),
-            "b2b": F.when(F.col("customer_segment") == "B2B", revenue),
-        },
-        orders="total_orders", customers="unique_customers",
-    )
-    return totals.join(top_category(fact), "order_date", "left").select(
+    """Additive and distinct measures and the top category per day with a completed order.
+
+    One pass over the lines: they are grouped by order and, beside that, by category; then by customer;
+    then by day. A row of the second kind only carries the number of lines of its category.
+    """
+    revenue, segment = F.col("gross_revenue"), F.col("customer_segment")
+    sums = {
+        "units_sold": F.col("quantity"),
+        "revenue": revenue,
+        "cogs": F.col("cogs"),
+        "profit": F.col("gross_profit"),
+        "b2c": F.when(segment == "B2C", revenue),
+        "b2b": F.when(segment == "B2B", revenue),
+    }
+    lines = fact.filter("is_completed").select("order_date", "order_id", "customer_id", "category", *[c.alias(n) for n, c in sums.items()])
+    keys = [F.col(c) for c in ("order_date", "order_id", "customer_id", "category")]
+    first = lines.groupingSets([keys[:3], [keys[0], keys[3]]], *keys).agg(
+        F.grouping("category").cast("boolean").alias("of_order"), F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in sums])
+    of_order = F.col("of_order")
+    second = first.groupBy("order_date", "customer_id", "category", "of_order").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in sums])
+    best = F.min(F.when(~of_order & F.col("category").isNotNull(), F.struct((-F.col("n")).alias("n"), "category")))
+    totals = second.groupBy("order_date").agg(
+        F.sum(F.when(of_order, F.col("orders"))).alias("total_orders"),
+        F.count_if(of_order & F.col("customer_id").isNotNull()).alias("unique_customers"),
+        *[F.sum(F.when(of_order, F.col(n))).alias(n) for n in sums],
+        best.getField("category").alias("top_category"))
+    return totals.select(
         "order_date", "total_orders", "unique_customers", "units_sold",
         money(F.col("revenue")).alias("gross_revenue"),
         money(F.col("cogs")).alias("total_cogs"),

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
+from tallyhouse.operators import scratch
 from tallyhouse.operators.publish import rebuild
 from tallyhouse.plans import dimensions, facts, marketing, metrics, staging
 from tallyhouse.plans.bronze import log_run, run_bronze
@@ -43,6 +44,11 @@ GOLD_TABLES = ("dim_date", "dim_customers", "dim_products", "fact_orders", "dail
 
 def run_gold(lake: Lake, start=DEFAULT_START, end=DEFAULT_END, as_of=None, recency: str = "documented") -> None:
     """Rebuild the six gold tables. Each later table reads the published earlier ones."""
+    with scratch.scope(lake.spark):
+        _build_gold(lake, start, end, as_of, recency)
+
+
+def _build_gold(lake: Lake, start, end, as_of, recency: str) -> None:
     s = staged(lake)
     dates = rebuild(lake, "gold", "dim_date", dimensions.dim_date(lake.spark, start, end, as_of).coalesce(1))
     customers = rebuild(lake, "gold", "dim_customers", dimensions.dim_customers(
