@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import scratch
-from tallyhouse.operators.keys import merged
-from tallyhouse.sources.tables import Lake, current_version, drop_old_versions, next_version
+from tallyhouse.operators.buckets import sweep, upsert_buckets
+from tallyhouse.sources.tables import Lake, drop_old_versions, next_version
 
 
 def counted_rows(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
@@ -37,20 +36,13 @@ def rebuild(lake: Lake, layer: str, table: str, df: DataFrame, partition_by: str
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(next_version(lake.spark, path))
     drop_old_versions(lake.spark, path, keep)
+    sweep(lake, layer, table)
     return lake.read(layer, table)
 
 
 def upsert(lake: Lake, layer: str, table: str, df: DataFrame, key: str) -> DataFrame:
-    """Put rows into a table, replacing those with an equal key. ``df`` holds one row per key.
-
-    The merge reads the new rows twice (their keys, then the rows), so they are stored first and not
-    computed twice; their file size also lets Spark broadcast the keys of a small increment.
-    """
-    if current_version(lake.spark, lake.path(layer, table)) is None:
-        return rebuild(lake, layer, table, df)
-    with scratch.scope(lake.spark):
-        rows, _ = scratch.store(df, f"upsert-{table}")
-        return rebuild(lake, layer, table, merged(lake.read(layer, table), rows, key))
+    """Put rows into a table, replacing those with an equal key; only buckets with such rows are rewritten."""
+    return upsert_buckets(lake, layer, table, df, key)
 
 
 def compact_files(lake: Lake, layer: str, table: str, partition_by: str | None = None) -> DataFrame:

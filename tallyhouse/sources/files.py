@@ -24,6 +24,24 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _resolve(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = _resolve(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def make_until_exit(spark: SparkSession, path: str) -> None:
     """A folder that is deleted, with all that is in it, when the driver ends."""
     fs, target = _resolve(spark, path)

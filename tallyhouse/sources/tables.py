@@ -2,10 +2,14 @@
 
 A snapshot table is a folder of ``v=<n>`` versions. A version counts once its writer has committed
 (``_SUCCESS``), so readers never see a half-written table and a failed run leaves the last good one.
+
+A version holds its files, or a list of buckets (``operators.buckets``): where the files of each bucket
+lie, many of them written for earlier versions.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.sources import files
 
 
+BUCKET_LIST = "_buckets.json"
+
+
 def _versions(spark: SparkSession, path: str) -> list[str]:
     return [n for n in files.child_names(spark, path) if n.startswith("v=")]
 
@@ -36,6 +43,12 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
         files.delete(spark, f"{path}/{name}")
 
 
+def bucket_list(spark: SparkSession, version: str) -> dict | None:
+    """{"buckets": their number, "folders": {bucket: folder}, "rows": {bucket: rows}} of a version made of buckets."""
+    path = f"{version}/{BUCKET_LIST}"
+    return json.loads(files.read_text(spark, path)) if files.exists(spark, path) else None
+
+
 @dataclass(frozen=True)
 class Lake:
     """Three layers under one root folder."""
@@ -59,4 +72,7 @@ class Lake:
             if version is None:
                 raise FileNotFoundError(f"{layer}.{table} has no committed version under {path}")
             path = version
+            listed = bucket_list(self.spark, version)
+            if listed:
+                return self.spark.read.parquet(*listed["folders"].values())
         return self.spark.read.parquet(path)

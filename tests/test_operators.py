@@ -7,12 +7,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import keys, ranking, scratch
+from tallyhouse.operators.buckets import upsert_buckets
 from tallyhouse.operators.distinct import sales_rollup
 from tallyhouse.operators.order_stats import with_rank
 from tallyhouse.operators.publish import rebuild, upsert
 from tallyhouse.operators.ranking import Scale
 from tallyhouse.sources import files
-from tallyhouse.sources.tables import current_version
+from tallyhouse.sources.tables import bucket_list, current_version
 
 
 def numbers(spark, n, hot=0.4, nulls=0.1, seed=1):
@@ -141,3 +142,35 @@ def test_ranks_of_missing_values_and_groups(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("b", 3, "x"), ("c", None, "x"), ("d", 2, None), ("e", 5, None)], "id string, v int, g string")
     got = {r.id: (r.rank, r.percent_rank) for r in with_rank(rows, "v", "g").collect()}
     assert got == {"b": (1, 0.0), "a": (2, 0.5), "c": (3, 1.0), "e": (1, 0.0), "d": (2, 1.0)}
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, lake):
+    rows = spark.range(4000).selectExpr("cast(id as string) as k", "id as v")
+    upsert_buckets(lake, "silver", "t", rows, "k", rows_per_bucket=100)
+    path = lake.path("silver", "t")
+    before = bucket_list(spark, current_version(spark, path))
+    assert before["buckets"] == 40 and sum(before["rows"].values()) == 4000
+    out = upsert_buckets(lake, "silver", "t", spark.createDataFrame([("7", -1), ("new", -2)], "k string, v long"), "k", rows_per_bucket=100)
+    after = bucket_list(spark, current_version(spark, path))
+    changed = [b for b in after["folders"] if after["folders"][b] != before["folders"].get(b)]
+    assert 1 <= len(changed) <= 2 and out.count() == 4001
+    assert {r.k: r.v for r in out.filter("v < 0").collect()} == {"7": -1, "new": -2}
+    # Only listed folders are kept, those of the last two versions.
+    upsert_buckets(lake, "silver", "t", spark.createDataFrame([("8", -3)], "k string, v long"), "k", rows_per_bucket=100)
+    kept = {f"{path}/data/{b}/{n}" for b in files.child_names(spark, f"{path}/data") for n in files.child_names(spark, f"{path}/data/{b}") if n.startswith("_bucket=")}
+    versions = [bucket_list(spark, f"{path}/{n}") for n in files.child_names(spark, path) if n.startswith("v=")]
+    assert len(versions) == 2 and kept == {f for v in versions for f in v["folders"].values()}
+
+
+def test_upsert_grows_converts_and_survives_failure(spark, lake):
+    rebuild(lake, "silver", "t", spark.range(10).selectExpr("id as k", "id as v"))
+    out = upsert_buckets(lake, "silver", "t", spark.range(5, 300).selectExpr("id as k", "-id as v"), "k", rows_per_bucket=50)
+    assert out.count() == 300 and out.agg(F.sum("v")).first()[0] == sum(range(5)) - sum(range(5, 300))
+    grown = upsert_buckets(lake, "silver", "t", spark.range(300, 1200).selectExpr("id as k", "id as v"), "k", rows_per_bucket=50)
+    assert grown.count() == 1200 and bucket_list(spark, current_version(spark, lake.path("silver", "t")))["buckets"] == 24
+    bad = spark.range(3).selectExpr("id as k", "raise_error('no') as v").withColumn("v", F.col("v").cast("long"))
+    with pytest.raises(Exception):
+        upsert_buckets(lake, "silver", "t", bad, "k", rows_per_bucket=50)
+    assert lake.read("silver", "t").count() == 1200
+    assert upsert_buckets(lake, "silver", "t", spark.range(0).selectExpr("id as k", "id as v"), "k").count() == 1200
+    assert upsert_buckets(lake, "silver", "none", spark.range(0).selectExpr("id as k", "id as v"), "k").count() == 0
