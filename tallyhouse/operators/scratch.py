@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.sources import files
 
 _scopes: list[list[str]] = []
+_tables: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,6 +49,19 @@ def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def store_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Write ``df`` in buckets of ``key`` and read it back: joins and groupings by the key then don't move it.
+
+    As many buckets as the session has shuffle partitions. The table's name is only known to this session.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, label)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"scratch_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    _tables[path] = name
+    return spark.table(name)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     files.delete(spark, path)
 
@@ -65,4 +79,6 @@ def scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scopes.remove(made)
         for path in made:
+            if path in _tables:
+                spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(path)}")
             files.delete(spark, path)

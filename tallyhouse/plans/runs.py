@@ -50,6 +50,8 @@ def run_gold(lake: Lake, start=DEFAULT_START, end=DEFAULT_END, as_of=None, recen
 
 def _build_gold(lake: Lake, start, end, as_of, recency: str) -> None:
     s = staged(lake)
+    # Customers, products and the fact all bring the lines together by order: they are moved once, here.
+    s["order_items"] = scratch.store_by(s["order_items"], "order_id", "order-items")
     dates = rebuild(lake, "gold", "dim_date", dimensions.dim_date(lake.spark, start, end, as_of).coalesce(1))
     customers = rebuild(lake, "gold", "dim_customers", dimensions.dim_customers(
         s["customers"], metrics.int_customer_orders(s["orders"], s["order_items"]), recency))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import compare, connect
+from tallyhouse.operators import scratch
 from tallyhouse.operators.publish import rebuild
 from tallyhouse.plans import cohorts, dimensions, marketing, reports
 from tests.conftest import SF
@@ -143,3 +144,27 @@ def test_entry_and_names(spark):
 
     assert entry(spark).count() > 0
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_lines_are_moved_once(spark, retail):
+    """Over lines stored by order, neither the product metrics nor the fact shuffles them."""
+    with scratch.scope(spark):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            items = scratch.store_by(retail.items, "order_id", "items")
+            joined = items.join(retail.orders.select("order_id", "order_date", "is_completed"), "order_id")
+            grouped = items.groupBy("order_id").count()
+            assert plan_of(grouped).count("Exchange hashpartitioning") == 0
+            assert plan_of(joined).count("Exchange hashpartitioning(order_id") == 1  # the headers
+            assert joined.count() == retail.items.count()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_daily_sales_reads_the_fact_once(spark, retail, tmp_path):
+    retail.lines.write.parquet(str(tmp_path / "fact"))
+    daily = marketing.day_totals(spark.read.parquet(str(tmp_path / "fact")))
+    assert plan_of(daily).count("FileScan parquet") == 1
+    assert sorted(map(tuple, marketing.top_category(retail.lines).collect())) == sorted(map(tuple, daily.select("order_date", "top_category").collect()))
