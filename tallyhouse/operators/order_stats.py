@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import scratch
 from tallyhouse.operators.ranking import global_running_sum
 
 
@@ -40,25 +41,44 @@ def with_rank(df: DataFrame, value: str, group: str | None = None, rank: str = "
     return df.join(named, same).drop(*[f"_{k}" for k in keys])
 
 
+# Bins of a histogram pass, and so many rows of one bin at most come to the driver, as values with counts.
+BINS, FEW_ROWS = 1024, 50_000
+
+
 def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> list[float | None]:
     """Linear-interpolated quantiles of a numeric column, NULLs left out.
 
-    Only the two rows around each position come to the driver.
+    Nothing is sorted: a histogram finds the bins that hold the wanted positions, and a histogram of such a bin
+    follows until few rows or one value are left. The column is stored first, so a pass is a scan of it.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = global_running_sum(counts, [F.col(value)], "_n", "_upto")
-    total = placed.agg(F.max("_upto")).first()[0]
-    if total is None:
-        return [None] * len(probabilities)
-    points = [(Decimal(str(p)) * (int(total) - 1)) for p in probabilities]
-    floors = [int(h.to_integral_value(ROUND_FLOOR)) for h in points]
-    wanted = sorted({i + step for i in floors for step in (0, 1)})
-    start, end = F.col("_upto") - F.col("_n"), F.col("_upto")
-    holds = reduce(lambda a, b: a | b, [(start <= i) & (end > i) for i in wanted])
-    found = placed.filter(holds).select(F.col(value).cast("double").alias("v"), start.alias("start"), end.alias("end")).collect()
-    spots = {i: r["v"] for r in found for i in wanted if r["start"] <= i < r["end"]}
-    out = []
-    for h, i in zip(points, floors):
-        low, high = spots[i], spots.get(i + 1, spots[i])
-        out.append(low + (high - low) * float(h - i))
-    return out
+    with scratch.scope(df.sparkSession):
+        values, _ = scratch.store(df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL"), "quantiles")
+        total, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+        if not total:
+            return [None] * len(probabilities)
+        points = [Decimal(str(p)) * (total - 1) for p in probabilities]
+        floors = [int(h.to_integral_value(ROUND_FLOOR)) for h in points]
+        wanted = sorted({min(i + step, total - 1) for i in floors for step in (0, 1)})
+        spots = _values_at(values, wanted, low, high, 0, total)
+    return [spots[i] + (spots.get(i + 1, spots[i]) - spots[i]) * float(h - i) for h, i in zip(points, floors)]
+
+
+def _values_at(values: DataFrame, places: list[int], low: float, high: float, before: int, count: int) -> dict[int, float]:
+    """The values at 0-based places of the sorted column; all lie in [low, high], which ``before`` values precede."""
+    if low == high:
+        return dict.fromkeys(places, low)
+    inside = values.filter(F.col("v").between(low, high))
+    if count <= FEW_ROWS or (high - low) / BINS == 0:
+        found, at = {}, before
+        for v, n in sorted(tuple(r) for r in inside.groupBy("v").count().collect()):
+            found.update((p, v) for p in places if at <= p < at + n)
+            at += n
+        return found
+    bin_of = F.least(F.floor((F.col("v") - low) / ((high - low) / BINS)), F.lit(BINS - 1))
+    found, at = {}, before
+    for _, n, first, last in sorted(tuple(r) for r in inside.groupBy(bin_of.alias("bin")).agg(F.count("v"), F.min("v"), F.max("v")).collect()):
+        here = [p for p in places if at <= p < at + n]
+        if here:
+            found.update(_values_at(values, here, first, last, at, n))
+        at += n
+    return found

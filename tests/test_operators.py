@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import keys, ranking, scratch
+from tallyhouse.operators import keys, order_stats, ranking, scratch
 from tallyhouse.operators.buckets import upsert_buckets
 from tallyhouse.operators.distinct import sales_rollup
 from tallyhouse.operators.order_stats import with_rank
@@ -174,3 +174,20 @@ def test_upsert_grows_converts_and_survives_failure(spark, lake):
     assert lake.read("silver", "t").count() == 1200
     assert upsert_buckets(lake, "silver", "t", spark.range(0).selectExpr("id as k", "id as v"), "k").count() == 1200
     assert upsert_buckets(lake, "silver", "none", spark.range(0).selectExpr("id as k", "id as v"), "k").count() == 0
+
+
+@pytest.mark.parametrize("few", [50_000, 10])
+def test_quantiles_equal_a_sorted_list(spark, monkeypatch, few):
+    monkeypatch.setattr(order_stats, "FEW_ROWS", few)
+    rnd = random.Random(6)
+    values = [0.0] * 300 + [rnd.gauss(0, 1) for _ in range(400)] + [1e9, -1e9, 3.5, 3.5] + [rnd.random() * 1e-6 for _ in range(300)]
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    ps = [0, 0.01, 0.25, 0.333, 0.5, 0.75, 0.999, 1]
+    ordered = sorted(values)
+    want = []
+    for p in ps:
+        h = p * (len(values) - 1)
+        low = ordered[int(h)]
+        want.append(low + (ordered[min(int(h) + 1, len(values) - 1)] - low) * (h - int(h)))
+    assert order_stats.exact_quantiles(rows, "v", ps) == pytest.approx(want)
+    assert order_stats.exact_quantiles(rows.filter("v IS NULL"), "v", [0.5]) == [None]
