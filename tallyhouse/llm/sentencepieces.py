@@ -5,9 +5,10 @@ text goes by from left to right; alive are the boundaries of the last maximum-pi
 later piece can start before them. Where the backpointer paths of all alive boundaries meet in one boundary, the ids up to
 it are committed and everything before it is forgotten, so a text of any length needs a window of a few pieces.
 
-Some boundaries are known to be such meeting points without looking: no piece has a space sign after another character, and
-characters that occur in no longer piece stand alone. Both are read off the vocabulary. Between them lie words, whose ids
-are remembered.
+Some boundaries are known to be such meeting points without looking: a boundary that no piece of the vocabulary spans. Pieces
+that mix letters and other characters, or have a space sign after another character, are looked for when the vocabulary
+is read; where there are none, the text falls into words, signs and spaces between which every path has a boundary, and
+the ids of these parts are remembered.
 
 Text is taken as it is: a space becomes the space sign, one more is put in front (and taken off again by `decode`). A
 character without a piece becomes its UTF-8 bytes, also the space sign itself, so every text comes back exactly.
@@ -22,7 +23,8 @@ columns are kept by `encode_documents`, whatever their names.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,11 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 #: Stands for a space sign in the text itself; no valid text has it.
 _LITERAL = "\udfff"
-#: Words remembered in a task, up to LONG characters each (a few pieces); documents and ids handed on at a time.
-HELD, LONG, ROWS, IDS = 250_000, 64, 500, 1 << 20
+#: Parts remembered in a task, up to LONG characters each (a few pieces); documents and ids handed on at a time.
+HELD, LONG, ROWS, IDS = 400_000, 64, 500, 1 << 20
+
+
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 class Vocabulary:
@@ -45,19 +50,26 @@ class Vocabulary:
         skip = set(byte_ids) | set(special)
         self.found = {p: (scores[i], i) for i, p in enumerate(pieces) if i not in skip}
         self.longest = max(map(len, self.found))
-        #: Pieces with score and id, and their proper beginnings with None.
-        self.table = {p[:n]: None for p in self.found for n in range(1, len(p) + 1)} | self.found
         self.unknown = min(s for s, _ in self.found.values()) - 10
+        #: From a node a character leads to (next node, score, id); the score of what is no piece is minus infinity.
+        self.trie: dict = {}
+        nodes = {"": self.trie}
+        for p in sorted({p[:n] for p in self.found for n in range(1, len(p) + 1)}, key=len):
+            nodes[p] = {}
+            nodes[p[:-1]][p[-1]] = (nodes[p], *self.found.get(p, (float("-inf"), -1)))
         self.decoded = [b"" if i in skip else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         for byte, i in enumerate(byte_ids):
             self.decoded[i] = bytes([byte])
-        longer = {c for p in self.found if len(p) > 1 for c in p}
-        alone = "".join(c for c in map(chr, range(1, 0x250)) if c not in longer and c not in (SPACE, " "))
-        single, rest = re.escape(alone), re.escape(alone + SPACE)
-        pattern = f"[{single}]|{SPACE}*[^{rest}]+|{SPACE}+"
-        if any(SPACE in p.lstrip(SPACE) for p in self.found):  # pieces of several words: no boundary at a space is sure
-            pattern = f"[{single}]|[^{single}]+"
-        self.segment = re.compile(pattern)
+        pairs = {(a, b) for p in self.found for a, b in zip(p, p[1:], strict=False)}
+        # Word characters that are no letters (such as ²) count as signs.
+        odd = re.escape("".join(sorted({c for pair in pairs for c in pair if _LETTER.match(c) and not c.isalpha()})))
+        letter = re.compile(rf"[^\W\d_{odd}]")
+        if any(b == SPACE != a for a, b in pairs):
+            self.parts = re.compile(r"(?s).+")  # no boundary is sure
+        elif any(a != SPACE and bool(letter.match(a)) != bool(letter.match(b)) for a, b in pairs):
+            self.parts = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        else:
+            self.parts = re.compile(rf"{SPACE}*[^\W\d_{odd}]+|{SPACE}*(?:[^\w{SPACE}]|[\d_{odd}])+|{SPACE}+")
 
 
 def load(path: str) -> Vocabulary:
@@ -75,43 +87,40 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.met = vocabulary, {}
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> array:
+        """The ids of a text, as 32-bit integers."""
+        out = array("i")
         if not text:
-            return []
-        out: list[int] = []
+            return out
         met = self.met
-        for segment in self.v.segment.findall(SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE)):
-            ids = met.get(segment)
+        for part in self.v.parts.findall(SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE)):
+            ids = met.get(part)
             if ids is None:
-                if len(segment) > LONG:
-                    ids = list(self.stream(segment))
-                else:
-                    ids = self._word(segment)
-                    if len(met) >= HELD:
-                        met.clear()
-                    met[segment] = ids
+                if len(part) > LONG:
+                    for i in self.stream(part):
+                        out.append(i)
+                    continue
+                if len(met) >= HELD:
+                    met.clear()
+                ids = met[part] = array("i", self._word(part))
             out += ids
         return out
 
     def stream(self, text: str) -> Iterator[int]:
         """Ids of a text, committed as soon as all surviving paths agree on them."""
-        v, longest = self.v, self.v.longest
-        table = v.table
-        base = 0  # the last committed boundary
+        longest, unknown = self.v.longest, self.v.unknown
+        n, base = len(text), 0  # base: the last committed boundary
         best: list[float] = [0.0]  # scores of the boundaries from base on
         back: list[tuple[int, int]] = [(0, 0)]  # the boundary before and the piece between; piece -1: bytes
-        n = len(text)
         for start in range(n):
-            # All boundaries that a piece from here can reach, shorter ones first.
-            here = best[start - base]
-            for end in range(start + 1, min(start + longest, n) + 1):
-                piece = table.get(text[start:end], -1)
-                if piece is not None and piece != -1:
-                    self._offer(best, back, base, start, end, here + piece[0], piece[1])
-                elif end == start + 1:
-                    self._offer(best, back, base, start, end, here + v.unknown, -1)
-                if piece == -1:
-                    break
+            # All boundaries that a piece from here can reach, nearer ones first.
+            here, node, end = best[start - base], self.v.trie, start
+            while end < n and (step := node.get(text[end])) is not None:
+                (node, score, piece), end = step, end + 1
+                if piece >= 0:
+                    self._offer(best, back, base, start, end, here + score, piece)
+            if text[start] not in self.v.found:
+                self._offer(best, back, base, start, start + 1, here + unknown, -1)
             if start - base >= 4 * longest:
                 meeting = self._meeting(best, back, base, start + 1)
                 if meeting > base:
@@ -124,21 +133,30 @@ class Encoder:
 
     def _word(self, text: str) -> list[int]:
         """`stream` for a text of so few pieces that nothing would be committed before its end."""
-        n, longest, table, unknown = len(text), self.v.longest, self.v.table, self.v.unknown
+        n, root, found, unknown = len(text), self.v.trie, self.v.found, self.v.unknown
         best = [0.0] + [float("-inf")] * n
-        back = [(0, 0)] * (n + 1)
+        came, last = [0] * (n + 1), [-1] * (n + 1)
         for start in range(n):
-            here = best[start]
-            for end in range(start + 1, min(start + longest, n) + 1):
-                piece = table.get(text[start:end], -1)
-                if piece is None or piece == -1:
-                    if end == start + 1 and here + unknown > best[end]:
-                        best[end], back[end] = here + unknown, (start, -1)
-                    if piece == -1:
-                        break
-                elif here + piece[0] > best[end]:
-                    best[end], back[end] = here + piece[0], (start, piece[1])
-        return self._path(text, back, 0, n)
+            here, node, end = best[start], root, start
+            for c in text[start:]:
+                step = node.get(c)
+                if step is None:
+                    break
+                node, score, piece = step
+                end += 1
+                score += here
+                if score > best[end]:
+                    best[end], came[end], last[end] = score, start, piece
+            if text[start] not in found and here + unknown > best[start + 1]:
+                best[start + 1], came[start + 1], last[start + 1] = here + unknown, start, -1
+        if -1 in last[1:]:
+            return self._path(text, list(zip(came, last, strict=True)), 0, n)
+        out = []
+        while n:
+            out.append(last[n])
+            n = came[n]
+        out.reverse()
+        return out
 
     @staticmethod
     def _offer(best: list[float], back: list[tuple[int, int]], base: int, start: int, end: int, score: float, piece: int) -> None:
@@ -170,9 +188,8 @@ class Encoder:
             end = start
         return [i for ids in reversed(out) for i in ids]
 
-    def decode(self, ids: list[int]) -> str:
-        table = self.v.decoded
-        return b"".join([table[i] for i in ids]).decode("utf-8", "replace")[1:]
+    def decode(self, ids: Sequence[int]) -> str:
+        return b"".join(map(self.v.decoded.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
 def _encode(vocabulary, text_at: int, check: bool):
@@ -182,7 +199,7 @@ def _encode(vocabulary, text_at: int, check: bool):
         def result(part: pa.RecordBatch, ids: list, same: list) -> pa.RecordBatch:
             sizes = [len(x) if x is not None else 0 for x in ids]
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-            flat = np.fromiter((i for x in ids if x for i in x), np.int32, int(offsets[-1]))
+            flat = np.frombuffer(b"".join(x for x in ids if x), np.int32)
             nulls = pa.array([x is None for x in ids])
             columns = [*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=nulls)]
             columns += [pa.array(same, pa.bool_())] if check else []
