@@ -159,6 +159,35 @@ def _same_day(s, f) -> DataFrame:
 add("ext5_scd2_same_day", _same_day, query(S.SILVER, """SELECT customer_id, state, DATE '1995-01-01' AS valid_from, DATE '2000-06-15' AS valid_to, false AS is_current FROM cust
 UNION ALL SELECT customer_id, 'B', DATE '2000-06-16', NULL, true FROM cust"""))
 
+
+def _loaded_twice(s, f) -> DataFrame:
+    """A growing event table loaded in turn: up to the middle of a day, then all of it, then again."""
+    rows = Retail(s, f).silver.raw("events").selectExpr("event_id", "case when event_id % 17 <> 0 then date_trunc('DAY', ts) end as ts", "cast(ts as date) as day")
+    lake, some = new_lake(s), rows.filter("day < date'2024-01-10' or day = date'2024-01-10' and event_id % 2 = 0")
+    counts = [bronze.load_newer(lake, "events", part, "event_id", "ts").rows_processed for part in (some, rows, rows)]
+    table = lake.read("bronze", "events")
+    return table.agg(*[F.lit(n).cast("long").alias(f"load_{i}") for i, n in enumerate(counts, 1)], F.count("*").alias("rows"),
+                     F.count_distinct("event_id").alias("ids"), F.count_distinct("_file_row_hash").alias("hashes"))
+
+
+add("ext2_incremental_load", _loaded_twice, """SELECT count(*) FILTER (early) AS load_1, count(*) FILTER (NOT early) AS load_2, 0::BIGINT AS load_3,
+ count(*) AS "rows", count(*) AS ids, count(*) AS hashes
+FROM (SELECT CAST(ts AS DATE) < DATE '2024-01-10' OR CAST(ts AS DATE) = DATE '2024-01-10' AND event_id % 2 = 0 AS early FROM events)""")
+
+
+def _history_table(s, f) -> DataFrame:
+    """Two snapshots of the customers published as a history."""
+    lake, customers = new_lake(s), Retail(s, f).silver.customers.select("customer_id", "state")
+    moved = customers.withColumn("state", F.when(F.col("state") == "FRANCE", "GERMANY").otherwise(F.col("state")))
+    for rows, day in ((customers, "1995-01-01"), (moved, "2000-06-16"), (moved, "2001-01-01")):
+        history.publish_history(lake, "customers", rows, "customer_id", ["state"], day)
+    return lake.read(history.HISTORY, "customers").drop("row_hash")
+
+
+add("ext5_history_table", _history_table, query(S.SILVER, """SELECT customer_id, state, DATE '1995-01-01' AS valid_from,
+ CASE WHEN state = 'FRANCE' THEN DATE '2000-06-15' END AS valid_to, state <> 'FRANCE' AS is_current FROM cust
+UNION ALL SELECT customer_id, 'GERMANY', DATE '2000-06-16', NULL, true FROM cust WHERE state = 'FRANCE'"""))
+
 # --- streams --------------------------------------------------------------------------------------
 
 

@@ -20,7 +20,8 @@ def sales_rollup(
     Two ``count(DISTINCT)`` in one grouping make Spark copy every line three times. An order has one
     customer, so grouping by order, then by customer, then by key gives the same counts from plain
     aggregates, each with map-side pre-aggregation; no level puts one key's rows into one task. Lines
-    that already sit by order (after the order join) need no shuffle for the first level.
+    that already sit by order (after the order join) need no shuffle for the first level; lines of the
+    stored fact, which lies by month, move one row per order.
     """
     keys = list(keys)
     per_order = lines.groupBy(*keys, "order_id", "customer_id").agg(

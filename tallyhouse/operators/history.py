@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.publish import rebuild
+from tallyhouse.sources.tables import Lake
+
+HISTORY = "history"
+
 
 def row_hash(columns: Sequence[str]) -> Column:
     """SHA-256 over the values; a missing value differs from an empty one."""
@@ -36,6 +41,15 @@ def scd2_open(rows: DataFrame, tracked: Sequence[str], valid_from: Column) -> Da
         "valid_from": valid_from, "valid_to": F.lit(None).cast("date"), "is_current": F.lit(True), "row_hash": row_hash(tracked)})
 
 
+def publish_history(lake: Lake, table: str, snapshot: DataFrame, key: str, tracked: Sequence[str], as_of: str) -> DataFrame:
+    """A new version of the history table of an entity, with the changes of this snapshot; the first one opens it."""
+    if lake.has(HISTORY, table):
+        rows = scd2_apply(lake.read(HISTORY, table), snapshot, key, tracked, as_of)
+    else:
+        rows = scd2_open(snapshot, tracked, F.lit(as_of).cast("date"))
+    return rebuild(lake, HISTORY, table, rows)
+
+
 def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], as_of: str) -> DataFrame:
     """History after a new snapshot of the entity.
 

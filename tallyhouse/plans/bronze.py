@@ -11,6 +11,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.history import newer_rows, with_audit
 from tallyhouse.operators.keys import without_known
 from tallyhouse.operators.publish import append, counted_rows, rows_of
 from tallyhouse.schemas import ENTITIES, RUN_LOG, Entity
@@ -61,6 +62,19 @@ def load_bronze(lake: Lake, entity: Entity, path: str, mode: str = "skip_existin
     return LoadResult(entity.name, "success", new, total - new)
 
 
+def load_newer(lake: Lake, table: str, source: DataFrame, key: str, timestamp: str, lateness: str = "0 seconds") -> LoadResult:
+    """Append the rows of a growing source table that bronze does not have yet, with audit columns.
+
+    The mark of the last load is the latest timestamp in bronze itself; see ``operators.history.newer_rows``.
+    """
+    known = lake.read("bronze", table) if lake.has("bronze", table) else None
+    fresh = source if known is None else newer_rows(source, known, timestamp, key, lateness)
+    batch = uuid.uuid4().hex
+    rows, written = counted_rows(with_audit(fresh, batch, source.columns), f"{table}_newer_{batch}")
+    append(lake, table, rows.withColumn("_ingested_at", F.current_timestamp()))
+    return LoadResult(table, "success", rows_of(written))
+
+
 def log_run(lake: Lake, name: str, status: str, rows: int, started: dt.datetime, completed: dt.datetime,
             error: str | None = None) -> None:
     row = (uuid.uuid4().hex, name, started.date(), status, rows, started, completed, error)
