@@ -11,8 +11,10 @@ read backwards, are arranged the same way, and an interval of depth l there is a
 its occurrences if its members don't all go on alike to the right (else a deeper interval has it); to the left its members diverge by
 construction. Windows inside any such repeat are covered.
 
-Where many meet: occurrences of equal bytes are counted by (anchor, hash of the bytes), and only those that remain alone are
-taken apart into window hashes, counted in Spark like any other key. Nothing collects such a group.
+Where many meet nothing collects the group; hashes are counted in Spark like any other key. Occurrences of equal bytes are
+counted by (anchor, hash of the bytes). Those that remain alone are taken apart into blocks of `BLOCK` windows. All windows of
+a block contain its core, so a block whose core nobody else has needs no further look (the text beside a common passage);
+of the others, blocks that two have are covered whole, and only the rest is compared window by window.
 
 Plan: pass 1 counts anchors (hash, count, least and greatest hash of the run's bytes). From the anchors seen twice, three
 Bloom filters of bounded size say in pass 2 which occurrences to send and by which route; a filter's false hit sends a row too
@@ -38,9 +40,11 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import stored
 
-LENGTH, GRAM, CROWDED = 200, 32, 500
+LENGTH, GRAM, CROWDED, BLOCK = 200, 32, 50, 8
 #: Bytes of a text taken at a time; places in a piece fit into PLACE bits.
 PIECE, PLACE = 1 << 22, 24
+#: Rows and bytes handed on at a time, and kinds remembered, by a task of the second pass.
+SENT_ROWS, SENT_BYTES, HELD = 10_000, 1 << 22, 200_000
 #: Bits of a filter: 16 for each hash, within these bounds (32 MB at most).
 LEAST_BITS, MOST_BITS, PROBES = 1 << 16, 1 << 28, 3
 _BASE = 0x9E3779B97F4A7C15
@@ -152,36 +156,54 @@ def _filter_of(hashes: DataFrame, n: int) -> Filter:
     return Filter(out)
 
 
-#: Routes of an occurrence: compared where few meet, counted where many meet.
-FEW, MANY = 0, 1
-_SENT = "route int, h long, run long, a long, b long, place int, lo int, hi int, bytes binary, windows array<long>"
+#: What is sent: an occurrence where few meet, one where many meet, and a block of windows of the latter.
+FEW, MANY, PART = 0, 1, 2
+_SENT = (
+    "route int, h long, run long, a long, b long, place int, lo int, hi int, bytes binary, core long, full long, windows array<long>"
+)
 
 
 def _send_pass(filters, length: int):
-    """Occurrences of anchors that were seen twice: with their bytes, or with their windows' hashes, where runs differ."""
+    """Occurrences of anchors that were seen twice; where their runs differ, with their bytes or their blocks of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, differing, crowded = (Filter(w) for w in filters.value)
         powers, digest = _Powers(), xxhash.xxh64_intdigest
         schema = pa.schema([
             ("route", pa.int32()), ("h", pa.int64()), ("run", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("place", pa.int32()),
-            ("lo", pa.int32()), ("hi", pa.int32()), ("bytes", pa.binary()), ("windows", pa.list_(pa.int64())),
+            ("lo", pa.int32()), ("hi", pa.int32()), ("bytes", pa.binary()), ("core", pa.int64()), ("full", pa.int64()),
+            ("windows", pa.list_(pa.int64())),
         ])
+        brought: set[tuple[int, int]] = set()
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for value, a, b in zip(batch["text"], batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
                 text = (value.as_py() or "").encode()
                 for h, place, lo, hi in anchors(text, powers, length):
                     if not seen.has(h):
                         continue
-                    part, windows = text[lo : hi + length], None
-                    differ, route = differing.has(h), MANY if crowded.has(h) else FEW
-                    if differ and route == MANY:
-                        windows = [_signed(digest(part[i : i + length])) for i in range(hi - lo + 1)]
-                    rows.append((route, h, _signed(digest(part)), a, b, place, lo, hi, part if differ and route == FEW else None, windows))
-                    if len(rows) >= 20_000:
+                    part, route = text[lo : hi + length], MANY if crowded.has(h) else FEW
+                    kind = (h, _signed(digest(part)))
+                    # Of equal runs in a task one brings the bytes or the blocks.
+                    brings = differing.has(h) and kind not in brought
+                    rows.append((route, *kind, a, b, place, lo, hi, part if brings and route == FEW else None, None, None, None))
+                    if not brings:
+                        continue
+                    brought.add(kind)
+                    held += len(part)
+                    # Blocks begin at equal distances from the anchor, so that equal windows lie in equal blocks.
+                    for at in range((lo - place) // BLOCK, (hi - place) // BLOCK + 1) if route == MANY else ():
+                        start = place + at * BLOCK
+                        first, last = max(lo, start), min(hi, start + BLOCK - 1)
+                        windows = [_signed(digest(text[i : i + length])) for i in range(first, last + 1)]
+                        core, full = text[start + BLOCK - 1 : start + length], text[first : last + length]
+                        rows.append((PART, *kind, a, b, place, first, last, None, _signed(digest(core)), _signed(digest(full)), windows))
+                        held += 8 * len(windows)
+                    if len(rows) >= SENT_ROWS or held >= SENT_BYTES:
                         yield _batch(rows, schema)
-                        rows = []
+                        rows, held = [], 0
+                if len(brought) > HELD:
+                    brought.clear()
             yield _batch(rows, schema)
 
     return run
@@ -258,7 +280,7 @@ def _compare_pass(length: int):
                 yield from ((a, b, lo, hi) for _, _, a, b, _, lo, hi, _ in same)
         if len(kinds) < 2 or not alone:
             return
-        found = [same[0] for same in kinds.values()]
+        found = [next(r for r in same if r[7] is not None) for same in kinds.values()]
         before = [r[7][: r[4] - r[5]][::-1] for r in found]
         after = [r[7][r[4] - r[5] :] for r in found]
         for left, right, members in maximal_repeats(before, after, length):
@@ -305,18 +327,35 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     few = sent.filter(F.col("route") == FEW).select("h", "run", "a", "b", "place", "lo", "hi", "bytes")
     few = few.repartition("h").sortWithinPartitions("h").mapInArrow(_compare_pass(length), "a long, b long, lo int, hi int")
 
-    many = sent.filter(F.col("route") == MANY)
-    # Equal runs have equal windows, so any occurrence of a kind can bring them; of a single one the place counts as well.
-    kinds = many.groupBy("h", "run").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("windows", "a", "b", "lo", "place")])
-    kinds = stored(kinds, "crowded-kinds")
-    alike = many.join(kinds.filter("n > 1").select("h", "run"), ["h", "run"]).select("a", "b", "lo", "hi")
-    windows = kinds.filter("windows IS NOT NULL").select("h", "run", "n", "a", "b", "lo", "place", F.posexplode("windows").alias("i", "w"))
-    windows = windows.withColumn("offset", F.col("lo") + F.col("i") - F.col("place"))
-    shared = windows.groupBy("h", "offset", "w").agg(F.min("run").alias("r1"), F.max("run").alias("r2"))
-    shared = shared.filter("r1 != r2").select("h", "offset", "w")
-    alone = windows.filter("n = 1").join(shared, ["h", "offset", "w"])
-    alone = alone.select("a", "b", (F.col("lo") + F.col("i")).alias("lo"), (F.col("lo") + F.col("i")).alias("hi"))
-    return few.unionByName(alike).unionByName(alone)
+    many = sent.filter(F.col("route") == MANY).select("h", "run", "a", "b", "lo", "hi")
+    kinds = many.groupBy("h", "run").agg(F.count("*").alias("n")).filter("n > 1")
+    alike = many.join(kinds, ["h", "run"]).select("a", "b", "lo", "hi")
+    return few.unionByName(alike).unionByName(_of_blocks(sent.filter(F.col("route") == PART)))
+
+
+def _shared(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """The keys under which two different values of `by` occur."""
+    return rows.groupBy(*keys).agg(F.min(by).alias("one"), F.max(by).alias("other")).filter("one != other").select(*keys)
+
+
+def _of_blocks(parts: DataFrame) -> DataFrame:
+    """Covered windows (a, b, lo, hi) of runs that occur once, from their blocks.
+
+    Of a run that occurs more often some occurrence's windows come along; they are covered as well.
+    """
+    parts = parts.withColumn("from", F.col("lo") - F.col("place")).withColumn("block", F.floor(F.col("from") / BLOCK))
+    at_core = ["h", "block", "core"]
+    met = stored(parts.join(_shared(parts, at_core, "run"), at_core).select("h", "run", "a", "b", "from", "lo", "hi", "full", "windows"), "met-blocks")
+    whole = ["h", "from", "full"]
+    twice = stored(_shared(met, whole, "run"), "shared-blocks")
+    covered_blocks = met.join(twice, whole).select("a", "b", "lo", "hi")
+    kinds = met.groupBy(*whole).agg(F.first("windows").alias("windows"))
+    at = (F.col("from") + F.col("i")).alias("at")
+    windows = kinds.select("h", "from", "full", F.posexplode("windows").alias("i", "w")).select("h", at, "w", F.xxhash64("from", "full").alias("kind"))
+    single = met.join(twice, whole, "left_anti").select("h", "a", "b", "lo", "from", F.posexplode("windows").alias("i", "w"))
+    found = single.withColumn("at", at).join(_shared(windows, ["h", "at", "w"], "kind"), ["h", "at", "w"])
+    place = F.col("lo") + F.col("i")
+    return covered_blocks.unionByName(found.select("a", "b", place.alias("lo"), place.alias("hi")))
 
 
 def _remove(length: int):
