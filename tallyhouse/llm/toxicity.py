@@ -27,6 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.chunks import LONG_TEXT
+from tallyhouse.llm.shared import stored
+
 FEATURES, LEAST_TEXTS, SAMPLE = 6000, 4, 20_000
 RIDGE, FAIRNESS, STEPS = 1e-4, 1.0, 300
 THRESHOLD = 0.7
@@ -52,7 +55,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+    """The distinct words; only those are held of a long text."""
+    return {m[0] for m in _WORD.finditer(text.lower())} if text and len(text) > LONG_TEXT else set(_WORD.findall(text.lower())) if text else set()
 
 
 def _features(word: str) -> list[str]:
@@ -172,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
     counted = rows.select("text", "toxic").mapInArrow(_count, "feature string, n long, n_toxic long")
     counted = counted.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("k"))
     terms = [f for t in _GROUP for f in _features(t)]
-    least = counted.filter((F.col("n") >= LEAST_TEXTS) | F.col("feature").isin("", *terms))
+    least = stored(counted.filter((F.col("n") >= LEAST_TEXTS) | F.col("feature").isin("", *terms)), "features")
     total = least.filter("feature = ''").first()
     if total is None or not 0 < total.k < total.n:
         return None
