@@ -1,8 +1,9 @@
 """Toxicity: a logistic classifier with counterfactual regularisation.
 
 Features are the words of a text and their first 4 to 6 letters, present or not. Spark counts every feature over all
-labelled training rows; the `FEATURES` that tell the classes apart best (chi-square) make the vocabulary. The weights
-are fitted on at most `SAMPLE` training rows (chosen by hash, all of them where there are fewer), minimising
+labelled training rows; the `FEATURES` that tell the classes apart best, of those whose chi-square is `SIGNIFICANT`, make
+the vocabulary, so that the chance weights of common words don't outvote a word that matters. The weights are fitted on
+at most `SAMPLE` training rows (chosen by hash, all of them where there are fewer), minimising
 
     cross-entropy (toxic rows weighted by the root of the odds against them) + RIDGE |w|^2 + FAIRNESS * mean (z(text) - z(swapped text))^2
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.chunks import LONG_TEXT
 from tallyhouse.llm.shared import stored
 
-FEATURES, LEAST_TEXTS, SAMPLE = 6000, 4, 20_000
+FEATURES, LEAST_TEXTS, SIGNIFICANT, SAMPLE = 6000, 4, 12.0, 20_000
 RIDGE, FAIRNESS, STEPS = 1e-4, 1.0, 300
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
@@ -181,9 +182,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
     if total is None or not 0 < total.k < total.n:
         return None
     share = total.k / total.n
-    # Chi-square of presence against label, up to a constant.
-    off = F.pow(F.col("k") - F.col("n") * share, 2) / (F.col("n") * F.greatest(F.lit(1e-9), 1 - F.col("n") / (total.n + 1)))
-    best = least.filter("feature != ''").select("feature", off.alias("chi")).orderBy(F.desc("chi"), "feature").limit(FEATURES).collect()
+    # Chi-square of presence against label.
+    off = F.pow(F.col("k") - F.col("n") * share, 2) / (F.col("n") * share * (1 - share) * (1 - F.col("n") / (total.n + 1)))
+    best = least.filter("feature != ''").select("feature", off.alias("chi")).filter(F.col("chi") >= SIGNIFICANT).orderBy(F.desc("chi"), "feature").limit(FEATURES).collect()
     seen = {r.feature for r in least.filter(F.col("feature").isin(*terms)).select("feature").collect()}
     ids = {f: i for i, f in enumerate(sorted({r.feature for r in best} | seen | set(_GROUP)))}
     order = F.xxhash64("doc_id", "text")
