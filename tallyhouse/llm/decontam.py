@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.chunks import word_chunks
+
 #: Words are runs of ASCII digits and letters and of all characters beyond ASCII; A-Z counts as a-z.
 _KEPT = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEPT else 0x20 for b in range(256))
@@ -37,8 +39,13 @@ _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEPT else 0x20 for b i
 BLOCK_WORDS = 500_000
 
 
+def folded(text: str | None) -> bytes:
+    """The words of a text between spaces."""
+    return (text or "").encode().translate(_FOLD)
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return text.encode().translate(_FOLD).split() if text else []
+    return folded(text).split()
 
 
 class Patterns:
@@ -65,6 +72,16 @@ class Patterns:
                 bucket[p[-1] if block == 1 else p[-2:]][p] = frozenset(owners[p])
             self.classes.append((m, block, shift, dict(bucket)))
 
+    def occurrences(self, text: str | None, window: int) -> Iterator[tuple[int, int, frozenset]]:
+        """(words so far, 0, no ids) and (first word, number of words, item ids) of every occurrence; long texts in chunks."""
+        at, overlap = 0, window - 1
+        for i, words in enumerate(word_chunks(folded(text), overlap)):
+            at -= min(overlap, at) if i else 0
+            for first, n, who in self.search(words):
+                yield at + first, n, who
+            at += len(words)
+            yield at, 0, frozenset()
+
     def search(self, words: list[bytes]) -> Iterator[tuple[int, int, frozenset]]:
         """(first word, number of words, item ids) of every occurrence."""
         for m, block, shift, bucket in self.classes:
@@ -135,12 +152,14 @@ def _searcher(block, window: int):
         for batch in batches:
             counts, spans, items = [], [], []
             for text, had, ids in zip(batch["text"], batch["spans"].to_pylist(), batch["items"].to_pylist(), strict=True):
-                words = words_of(text.as_py())
-                found, owners = [tuple(x) for x in had], set(ids)
-                for i, n, who in patterns.search(words):
-                    found.append((i, i + n))
-                    owners |= who
-                counts.append(len(words))
+                n_words, found, owners = 0, [tuple(x) for x in had], set(ids)
+                for i, n, who in patterns.occurrences(text.as_py(), window):
+                    if n:
+                        found.append((i, i + n))
+                        owners |= who
+                    else:
+                        n_words = i
+                counts.append(n_words)
                 spans.append([list(x) for x in _merged(found)])
                 items.append(list(owners))
             new = {"n_words": counts, "spans": spans, "items": items}
@@ -175,7 +194,7 @@ def _cleaner(block, text_at: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = Patterns([(item, words_of(text)) for item, text in block.value], window)
         for batch in batches:
-            clean = [next(patterns.search(words_of(x.as_py())), None) is None for x in batch.column(text_at)]
+            clean = [not any(n for _, n, _ in patterns.occurrences(x.as_py(), window)) for x in batch.column(text_at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return run

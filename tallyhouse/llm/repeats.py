@@ -42,9 +42,11 @@ from tallyhouse.llm.shared import stored
 
 LENGTH, GRAM, CROWDED, BLOCK = 200, 32, 50, 8
 #: Bytes of a text taken at a time; places in a piece fit into PLACE bits.
-PIECE, PLACE = 1 << 22, 24
+PIECE, PLACE = 1 << 20, 24
 #: Rows and bytes handed on at a time, and kinds remembered, by a task of the second pass.
 SENT_ROWS, SENT_BYTES, HELD = 10_000, 1 << 22, 200_000
+#: Kinds of crowded anchors that occur twice are broadcast up to so many (16 bytes each), beyond that joined.
+BROADCAST_KINDS = 500_000
 #: Bits of a filter: 16 for each hash, within these bounds (32 MB at most).
 LEAST_BITS, MOST_BITS, PROBES = 1 << 16, 1 << 28, 3
 _BASE = 0x9E3779B97F4A7C15
@@ -328,7 +330,9 @@ def covered(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     few = few.repartition("h").sortWithinPartitions("h").mapInArrow(_compare_pass(length), "a long, b long, lo int, hi int")
 
     many = sent.filter(F.col("route") == MANY).select("h", "run", "a", "b", "lo", "hi")
-    kinds = many.groupBy("h", "run").agg(F.count("*").alias("n")).filter("n > 1")
+    kinds = stored(many.groupBy("h", "run").agg(F.count("*").alias("n")).filter("n > 1").select("h", "run"), "crowded-kinds")
+    # A run may occur in a third of all texts; with the kinds in every task its rows need not meet.
+    kinds = F.broadcast(kinds) if kinds.count() <= BROADCAST_KINDS else kinds
     alike = many.join(kinds, ["h", "run"]).select("a", "b", "lo", "hi")
     return few.unionByName(alike).unionByName(_of_blocks(sent.filter(F.col("route") == PART)))
 

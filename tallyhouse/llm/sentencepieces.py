@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallyhouse.llm.chunks import LONG_TEXT
+
 SPACE = "▁"
 #: Stands for a space sign in the text itself; no valid text has it.
 _LITERAL = "\udfff"
@@ -92,8 +94,9 @@ class Encoder:
         out = array("i")
         if not text:
             return out
-        met = self.met
-        for part in self.v.parts.findall(SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE)):
+        met, marked = self.met, SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE)
+        parts = self.v.parts.findall(marked) if len(marked) < LONG_TEXT else (m[0] for m in self.v.parts.finditer(marked))
+        for part in parts:
             ids = met.get(part)
             if ids is None:
                 if len(part) > LONG:

@@ -18,9 +18,8 @@ are ignored by `groups` and kept by `keep_one`, whatever their names.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import combinations, islice
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.chunks import word_chunks
 from tallyhouse.llm.components import components
 from tallyhouse.llm.shared import stored
 
 BITS, BLOCKS, PIVOTS, MAX_BITS = 64, 4, 24, 2
 #: Buckets of up to so many classes are compared pair by pair.
 SMALL = 50
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-#: Words taken at a time of a long text.
-_CHUNK = 1 << 16
 
 _random = np.random.default_rng(20240229)
 _PIVOTS = _random.integers(0, 1 << 64, PIVOTS, dtype=np.uint64)
@@ -45,24 +42,11 @@ _MASKS = np.array([((1 << 16) - 1) << (16 * b) for b in range(BLOCKS)], dtype=np
 _FACTORS = _random.integers(0, 1 << 63, (BLOCKS, PIVOTS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _word_chunks(text: bytes, overlap: int) -> Iterator[list[bytes]]:
-    """The words in lists that share `overlap` words with the list before; one list for most texts."""
-    if len(text) < 1 << 20:
-        yield text.split()
-        return
-    found = (m[0] for m in _WORD.finditer(text))
-    held: list[bytes] = []
-    while more := list(islice(found, _CHUNK)):
-        held += more
-        yield held
-        held = held[-overlap:] if overlap else []
-
-
 def fingerprint(text: str | None, words: int = 3) -> int:
     """Bits that are set in more than half of the hashes of all shingles of `words` words, A-Z folded; no words: 0."""
     total, counts = 0, np.zeros(BITS, dtype=np.int64)
     first = True
-    for found in _word_chunks((text or "").encode().lower(), words - 1):
+    for found in word_chunks((text or "").encode().lower(), words - 1):
         if not found or (len(found) < words and not first):
             continue
         n = max(1, len(found) - words + 1)

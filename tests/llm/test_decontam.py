@@ -1,6 +1,6 @@
 import re
 
-from tallyhouse.llm import decontam
+from tallyhouse.llm import chunks, decontam
 from tests.llm.conftest import ODD
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -52,3 +52,20 @@ def test_empty(docs, spark):
     assert decontam.report(docs([]), none).collect() == []
     assert [r.n_hit for r in decontam.report(docs([(1, "a b")]), none).collect()] == [0]
     assert decontam.keep_clean(docs([(1, "a b")]), none).count() == 1
+
+
+def test_long_texts_in_chunks(monkeypatch):
+    """Chunks of a few words; hits across their ends, and counts, are as in one go."""
+    monkeypatch.setattr(chunks, "LONG_TEXT", 10)
+    for n in (10, 13, 64):
+        monkeypatch.setattr(chunks, "WORDS", n)
+        text = " ".join(f"w{i}" for i in range(5)) + " The quick brown fox jumps over the lazy dog and runs away " + "x y z " * 9 + "one two"
+        rows = [(1, text), (2, text + " " + text), (3, "a " * 40), (4, "nothing of it " * 12), (5, "")]
+        patterns = decontam.Patterns([(i, decontam.words_of(t)) for i, t in ITEMS if i is not None], 10)
+        for i, t in rows:
+            n_words, hit, ids = 0, set(), set()
+            for at, k, who in patterns.occurrences(t, 10):
+                n_words = n_words if k else at
+                hit |= set(range(at, at + k))
+                ids |= who
+            assert [(i, n_words, len(hit), len(ids), decontam.sha256_of(list(ids)), bool(hit))] == brute([(i, t)], ITEMS)

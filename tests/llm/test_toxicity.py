@@ -36,7 +36,11 @@ def test_held_out_accuracy_and_fairness(docs, spark, monkeypatch):
     assert all(r.held_out == held_out(i) and r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for i, r in got.items())
     truth = dict(labels)
     tested = [i for i in got if held_out(i)]
-    assert np.mean([got[i].predicted == truth[i] for i in tested]) > 0.97
+    # 0.7 is a cautious threshold: hardly a false alarm, and the scores rank almost perfectly.
+    assert np.mean([got[i].predicted == truth[i] for i in tested]) > 0.95
+    toxic, clean = ([got[i].score for i in tested if truth[i] == t] for t in (1, 0))
+    assert np.mean([c >= 0.7 for c in clean]) < 0.01
+    assert np.mean([t > c for t in toxic for c in clean]) > 0.99
 
     def gap(fairness):
         monkeypatch.setattr(toxicity, "FAIRNESS", fairness)
