@@ -1,8 +1,10 @@
 """Shards by vector bin packing: bytes, tokens and rows balanced jointly.
 
 Documents with equal texts form a group and stay together; a group larger than a shard in any dimension is cut into pieces
-of at most half a shard. A group or piece goes to the shard whose residual capacity has the largest dot product with its
-size vector (both as shares of a shard), among the shards it fits in; if it fits in none, to the one that is overrun least.
+of at most a quarter of a shard. A group or piece goes to the shard whose residual capacity has the largest dot product with its
+size vector (both as shares of a shard), among the shards whose bytes it fits in; if it fits in none, to the one with most
+bytes left. Bytes bind because the law is about them; a shard that is full in tokens or rows has less to offer in
+the product, and gets less if any other has room.
 
 * Groups of at least 1 / `HEAVY` of a shard in some dimension are few (at most 3 * HEAVY a shard, whatever the input):
   the driver places them one by one, largest first.
@@ -48,13 +50,11 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def place(vector: np.ndarray, residual: np.ndarray) -> int:
-    """The shard for a size vector: largest dot product with the residual capacity where it fits, else least overrun."""
-    after = residual - vector
-    fits = (after >= 0).all(axis=1)
+    """The shard for a size vector: largest dot product with the residual capacity where its bytes fit, else most bytes left."""
+    fits = residual[:, 0] >= vector[0]
     if fits.any():
-        gain = np.where(fits, residual @ vector, -np.inf)
-        return int(gain.argmax())
-    return int(after.min(axis=1).argmax())
+        return int(np.where(fits, residual @ vector, -np.inf).argmax())
+    return int(residual[:, 0].argmax())
 
 
 def _place_all(vectors: np.ndarray, residual: np.ndarray) -> list[int]:
@@ -105,7 +105,7 @@ def pack(docs: DataFrame, shards: int = 24) -> DataFrame:
     residual = np.ones((shards, 3))
 
     # Heavy groups whole, and the pieces of groups beyond a shard with the sizes they really have.
-    cut = heavy.filter("share > 1").select("key", F.ceil(2 * F.col("share")).cast("int").alias("pieces"))
+    cut = heavy.filter("share > 1").select("key", F.ceil(4 * F.col("share")).cast("int").alias("pieces"))
     piece_of = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.col("pieces")).cast("int").alias("piece")
     pieces = rows.join(F.broadcast(cut), "key").groupBy("key", piece_of).agg(
         F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")
