@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.shared import stored
-from tallyhouse.llm.words import let, words
+from tallyhouse.llm.words import let, single_spaced, words
 
 DEPTH, MIN_TOKENS, MIN_TEXTS, CONSTANT = 4, 3, 10, 60
 BROADCAST_LEAVES = 1_000_000
@@ -37,8 +37,18 @@ def _masked(tokens: Column) -> Column:
 
 
 def _leaf(line: Column) -> Column:
-    """Hash of token count and leading tokens; null for lines too short to be judged."""
-    return let(words(line), lambda w: F.when(F.size(w) >= MIN_TOKENS, F.xxhash64(F.size(w), _masked(F.slice(w, 1, DEPTH)))))
+    """Hash of token count and leading tokens; null for lines too short to be judged.
+
+    Where single spaces part the tokens, they are counted by their spaces and only the leading ones are split off.
+    """
+
+    def head(x: Column) -> Column:
+        spaces = F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit("")))
+        plain = F.struct((spaces + 1).alias("n"), F.slice(F.split(x, " ", DEPTH + 1), 1, DEPTH).alias("lead"))
+        other = let(words(x), lambda w: F.struct(F.size(w).alias("n"), F.slice(w, 1, DEPTH).alias("lead")))
+        return F.when(single_spaced(x), plain).otherwise(other)
+
+    return let(line, lambda x: let(head(x), lambda h: F.when(h["n"] >= MIN_TOKENS, F.xxhash64(h["n"], _masked(h["lead"])))))
 
 
 def _text_key() -> Column:

@@ -20,21 +20,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def single_spaced(text: Column) -> Column:
+    """Is it not empty, and its only white space single spaces between words?"""
+    odd = (text == "") | text.contains("  ") | text.startswith(" ") | text.endswith(" ")
+    for c in SPACE[1:]:
+        odd = odd | text.contains(c)
+    return ~odd
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text, [] if it has none or is null.
 
-    A text whose only white space is single spaces between words is split at a character, any other by a pattern.
+    A single-spaced text is split at a character, any other by a pattern.
     """
 
-    def plain(t: Column) -> Column:
-        odd = t.contains("  ") | t.startswith(" ") | t.endswith(" ")
-        for c in SPACE[1:]:
-            odd = odd | t.contains(c)
-        return ~odd
-
     def by_pattern(t: Column) -> Column:
         trimmed = F.btrim(t, F.lit(SPACE))
         return let(trimmed, lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, SPACE_RUN)))
 
-    given = F.coalesce(text, F.lit(""))
-    return let(given, lambda t: F.when(plain(t) & (t != ""), F.split(t, " ")).otherwise(by_pattern(t)))
+    return let(F.coalesce(text, F.lit("")), lambda t: F.when(single_spaced(t), F.split(t, " ")).otherwise(by_pattern(t)))
