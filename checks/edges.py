@@ -257,6 +257,30 @@ def _two_layers(s, f) -> DataFrame:
         current_rows(lake, "gold", "t", "customer_id").agg(F.lit("gold").alias("layer"), F.count("*").alias("n")))
 
 
+def _second_run(s, f) -> DataFrame:
+    """A silver run over a part of the customers, then one over the rest and changed rows of all tables."""
+    lake = new_lake(s)
+    late = F.col("_row_id") % 3 != 0
+
+    def deliver(load: int, name: str, rows: DataFrame) -> None:
+        stamped = rows.filter(F.col("_load") == load).drop("_load")
+        publish.append(lake, ENTITIES[name].bronze_table, stamped.withColumn("_ingested_at", F.make_timestamp(*map(F.lit, (2024, 2, load, 0, 0, 0)))))
+
+    names = ("customers", "products", "orders", "order_items")
+    for name in names:
+        rows = dirty.bronze(s, f, name)
+        deliver(1, name, rows.filter(~late) if name == "customers" else rows)
+    silver.run_silver(lake)
+    for name in names:
+        deliver(2, name, dirty.bronze(s, f, name))
+    silver.run_silver(lake)
+    # A third run finds only the rows at the mark and those that were dropped.
+    third = silver.run_silver(lake).filter("table = 'order_items'").first()
+    return lake.read("silver", "order_items").drop("_updated_at").withColumn("again", F.lit(third.written > 0))
+
+
+add("pipe2_second_run", _second_run, query(dirty.CLEANED, "SELECT *, true AS again FROM item"))
+
 # --- files, log and whole run -----------------------------------------------------------------------
 
 

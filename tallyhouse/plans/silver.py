@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import uuid
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import parse, text
-from tallyhouse.operators.keys import latest_per_key, with_parent
+from tallyhouse.operators import scratch
+from tallyhouse.operators.keys import latest_per_key, with_parent, without_known
 from tallyhouse.operators.publish import append, counted_rows, rows_of, upsert
 from tallyhouse.plans import generated
 from tallyhouse.schemas import AMOUNT, CUSTOMER_KEY_PREFIX, ENTITIES, PRICE, conform
@@ -119,27 +121,55 @@ STEPS = (
 )
 
 
-def run_silver(lake: Lake) -> DataFrame:
-    """Clean and upsert the four tables; the first failure stops the run.
+MARKS = "silver_marks"
 
-    Returns one row per table with the numbers of candidate, written and dropped rows. Numbers that do
+
+def pending_rows(lake: Lake, table: str) -> tuple[DataFrame, dt.datetime | None]:
+    """Bronze rows that silver has to look at, and the mark up to which they go.
+
+    Rows ingested since the mark of the last run (that moment included), and all rows of keys that silver does
+    not have: those may have waited for a parent, or were dropped and are dropped again.
+    """
+    entity = ENTITIES[table]
+    rows = lake.read("bronze", entity.bronze_table)
+    mark = rows.agg(F.max("_ingested_at")).first()[0]
+    marks = lake.read("bronze", MARKS).filter(F.col("table") == table) if lake.has("bronze", MARKS) else None
+    last = marks.agg(F.max("mark")).first()[0] if marks is not None else None
+    if last is None or not lake.has("silver", table):
+        return rows, mark
+    at = F.col("_ingested_at")
+    waiting = without_known(rows.filter(at < F.lit(last)), lake.read("silver", table), entity.key)
+    return rows.filter(at >= F.lit(last)).unionByName(waiting), mark
+
+
+def run_silver(lake: Lake, full: bool = False) -> DataFrame:
+    """Clean and upsert what is new in the four tables; the first failure stops the run.
+
+    ``full`` cleans all bronze rows again, as after a change of the rules. Returns one row per table with the numbers of candidate, written and dropped rows. Numbers that do
     not fit their column are appended to the table of rejected values, with the id of the run.
     """
     run = uuid.uuid4().hex
     stats = []
     for table, clean, parents in STEPS:
         entity = ENTITIES[table]
-        latest, seen = counted_rows(last_written(lake.read("bronze", entity.bronze_table), table), f"{table}_in_{uuid.uuid4().hex}")
-        cleaned, kept = counted_rows(clean(latest, *[lake.read("silver", p) for p in parents]), f"{table}_out_{uuid.uuid4().hex}")
-        upsert(lake, "silver", table, cleaned, entity.key)
-        before, after = rows_of(seen), rows_of(kept)
-        if before != after:
-            log.warning("[%s] dropped %d invalid or orphan rows", table, before - after)
-        if table in MEASURES:
-            oversize = oversize_values(last_written(lake.read("bronze", entity.bronze_table), table), table)
-            oversize, rejected = counted_rows(oversize.withColumn("run_id", F.lit(run)), f"{table}_rejected_{run}")
-            append(lake, REJECTED, oversize)
-            if rows_of(rejected):
-                log.warning("[%s] rejected %d numbers that do not fit", table, rows_of(rejected))
+        pending, mark = pending_rows(lake, table)
+        if full:
+            pending = lake.read("bronze", entity.bronze_table)
+        with scratch.scope(lake.spark):
+            # Read for the silver rows and for the rejected values.
+            rows, _ = scratch.store(last_written(pending, table), f"pending-{table}")
+            latest, seen = counted_rows(rows, f"{table}_in_{uuid.uuid4().hex}")
+            cleaned, kept = counted_rows(clean(latest, *[lake.read("silver", p) for p in parents]), f"{table}_out_{uuid.uuid4().hex}")
+            upsert(lake, "silver", table, cleaned, entity.key)
+            before, after = rows_of(seen), rows_of(kept)
+            if before != after:
+                log.warning("[%s] dropped %d invalid or orphan rows", table, before - after)
+            if table in MEASURES:
+                oversize, rejected = counted_rows(oversize_values(rows, table).withColumn("run_id", F.lit(run)), f"{table}_rejected_{run}")
+                append(lake, REJECTED, oversize)
+                if rows_of(rejected):
+                    log.warning("[%s] rejected %d numbers that do not fit", table, rows_of(rejected))
+        if mark is not None:
+            append(lake, MARKS, lake.spark.createDataFrame([(table, mark)], "table string, mark timestamp").coalesce(1))
         stats.append((table, before, after, before - after))
     return lake.spark.createDataFrame(stats, "table string, candidates long, written long, dropped long")
