@@ -47,13 +47,13 @@ _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
 
 #: (type, needed character or None, pattern); the value is group 1.
 PATTERNS: tuple[tuple[str, str | None, re.Pattern], ...] = (
-    ("email", "@", re.compile(r"(?<![\w.+-])(\w[\w.%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")),
-    ("ipv4", ".", re.compile(rf"(?<![\w.])((?:{_OCTET}\.){{3}}{_OCTET})(?!\w|\.\d)", re.ASCII)),
+    ("email", "@", re.compile(r"(?<!\w)(\w[\w.%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")),
+    ("ipv4", ".", re.compile(rf"(?<!\w)(?<!\d\.)((?:{_OCTET}\.){{3}}{_OCTET})(?!\w|\.\d)", re.ASCII)),
     ("ipv6", ":", re.compile(r"(?<![\w:])((?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4})(?![\w:])")),
     ("phone", "+", re.compile(r"(?<!\w)(\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4})(?!\w)", re.ASCII)),
     ("phone", "-", re.compile(r"(?<![\w+-])(\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?![\w-])", re.ASCII)),
     ("ssn", "-", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])", re.ASCII)),
-    ("card", None, re.compile(r"(?<![\w+.-])([3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}|\d{13,19})(?![\w-])", re.ASCII)),
+    ("card", None, re.compile(r"(?<![\w+-])(?<!\d\.)([3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}|\d{13,19})(?![\w-])", re.ASCII)),
     ("iban", None, re.compile(r"(?<!\w)([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)", re.ASCII)),
     ("key", None, re.compile(r"(?<!\w)((?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36})(?!\w)", re.ASCII)),
     ("secret", None, re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?([^\s\"',;&<>]{6,})")),
@@ -98,7 +98,7 @@ class Stream:
 
     def like(self, text: str) -> str:
         """Letters for letters of the same case (hex for hex values), digits for digits."""
-        hexed = len(text) > 8 and re.fullmatch(r"[0-9a-f]+", text) is not None
+        hexed = len(text) > 8 and re.fullmatch(r"(?=.*[a-f])[0-9a-f]+", text) is not None
 
         def one(c: str) -> str:
             if hexed:
