@@ -11,7 +11,9 @@ domain or family stay together and "Mr. Smith" stays the "Mr. John Smith" of ano
 
 Collision check: the distinct values of the whole corpus are a table. Where two values of a type get one surrogate, or a
 surrogate is itself a value that occurs, all but the first value (or that value) try again with the next attempt
-number, until no collision is left. Tasks compute surrogates themselves; only values with an attempt above 0 have to be looked
+number, until no collision is left. The parts before the @ are told apart within their domain, so whole addresses differ.
+Surrogates get longer with the attempts: values of a format with few forms (one letter before the @, a short phone
+number) find one after all, if a longer one. Values of signs only, such as masked passwords, become letters. Tasks compute surrogates themselves; only values with an attempt above 0 have to be looked
 up. They are broadcast up to `BROADCAST_RETRIES` of them, beyond that they are joined to the texts that have them.
 
 Defined results: null texts stay null, empty texts empty; equal rows give equal rows; empty tables work; other columns are
@@ -97,7 +99,9 @@ class Stream:
         return "".join(str(self.below(10)) for _ in range(n))
 
     def like(self, text: str) -> str:
-        """Letters for letters of the same case (hex for hex values), digits for digits."""
+        """Letters for letters of the same case (hex for hex values), digits for digits; letters for signs where nothing else is."""
+        if not any(c.isalpha() or c.isdigit() for c in text):
+            text = "x" * len(text)
         hexed = len(text) > 8 and re.fullmatch(r"(?=.*[a-f])[0-9a-f]+", text) is not None
 
         def one(c: str) -> str:
@@ -145,38 +149,39 @@ def parts_of(kind: str, value: str, gender: str = "n") -> list[tuple[str, str]]:
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The surrogate of a canonical value, itself canonical."""
     s = Stream(key, kind, value, attempt)
+    # Few forms may be left: further attempts add letters, digits or syllables.
+    more = attempt // 4
     if kind == "local":
-        return s.like(value.partition("@")[0])
+        return s.like(value.partition("@")[0]) + s.like("x" * more)
     if kind == "domain":
-        return f"{s.like('x' * 8)}.example.{s.pick(('com', 'net', 'org'))}"
+        return f"{s.like('x' * (8 + more))}.example.{s.pick(('com', 'net', 'org'))}"
     if kind == "ipv4":
-        return f"{240 + s.below(15)}.{s.below(256)}.{s.below(256)}.{s.below(256)}"
+        return f"{240 + s.below(15)}.{s.below(256)}.{s.below(256)}.{s.below(256)}" + "".join(f".{s.below(256)}" for _ in range(more))
     if kind == "ipv6":
         return "2001:db8:" + ":".join(f"{s.below(1 << 16):x}" for _ in range(6))
     if kind == "phone":
         head = re.match(r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})", value) if value[0] == "+" else None
         kept = head[0] if head else ""
         n = len(value) - len(kept)
-        return kept + str(2 + s.below(8)) + s.digits(n - 1) if n else value
+        return kept + str(2 + s.below(8)) + s.digits(n - 1 + more)
     if kind == "card":
-        body = value[0] + s.digits(len(value) - 2)
+        body = value[0] + s.digits(len(value) - 2 + more)
         check = next(str(d) for d in range(10) if luhn(f"{body}{d}") == luhn(value))
         return body + check
     if kind == "ssn":
-        return "9" + s.digits(len(value) - 1)
+        return "9" + s.digits(len(value) - 1 + more)
     if kind == "iban":
-        rest = s.like(value[4:])
+        rest = s.like(value[4:]) + s.digits(more)
         return value[:2] + iban_check(value[:2], rest) + rest
     if kind == "key":
-        return value[:4] + s.like(value[4:])
+        return value[:4] + s.like(value[4:]) + s.like("x" * more)
     if kind.startswith("given/"):
         _, script, gender = kind.split("/")
-        # A list is small: beyond it, further attempts add a middle syllable.
-        extra = "" if attempt < 4 else "".join(s.pick(SYLLABLES[script]) for _ in range(1 + attempt // 4))
+        extra = "" if attempt < 4 else "".join(s.pick(SYLLABLES[script]) for _ in range(1 + more))
         return (s.pick(GIVEN[script, gender]) + extra).lower()
     if kind.startswith("surname/"):
-        return "".join(s.pick(SYLLABLES[kind.split("/")[1]]) for _ in range(4 + attempt // 4))
-    return s.like(value)
+        return "".join(s.pick(SYLLABLES[kind.split("/")[1]]) for _ in range(4 + more))
+    return s.like(value) + s.like("x" * more)
 
 
 def _cased(word: str, like: str) -> str:
@@ -192,7 +197,7 @@ def rendered(kind: str, value: str, found: list[str]) -> str:
         return " ".join(_cased(w, like) for w, like in zip(found, value.split(" "), strict=True))
     if kind in ("phone", "card", "ssn", "iban"):
         rest = iter(c for c in found[0] if c != "+")
-        return "".join(next(rest) if c.isalnum() else c for c in value)
+        return "".join([*(next(rest) if c.isalnum() else c for c in value), *rest])
     return found[0]
 
 
@@ -244,23 +249,28 @@ def _name_them(key: bytes):
     return run
 
 
-def surrogates(docs: DataFrame, key: bytes, rounds: int = 50) -> DataFrame:
-    """(kind, value, attempt, surrogate) of all distinct values; no two of a kind share a surrogate, none is a real value."""
+def surrogates(docs: DataFrame, key: bytes) -> DataFrame:
+    """(kind, value, attempt, surrogate) of all distinct values; no two of a kind share a surrogate, none is a real value.
+
+    Locals may share one in different domains. The rounds end because every kind has more surrogates the higher the attempt.
+    """
     values = stored(docs.select("text").mapInArrow(_values, "kind string, value string").distinct(), "private-values")
     schema = "kind string, value string, attempt int, surrogate string"
     named = stored(values.withColumn("attempt", F.lit(0)).mapInArrow(_name_them(key), schema), "surrogates")
-    real = values.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
-    for _ in range(rounds):
+    real = values.select("kind", F.col("value").alias("whole"), F.lit(True).alias("real"))
+    domain = F.substring_index("value", "@", -1)
+    whole = F.when(F.col("kind") == "local", F.concat_ws("@", "surrogate", domain)).otherwise(F.col("surrogate")).alias("whole")
+    while True:
+        names = named.select("kind", "value", "attempt", whole)
         # The value with the fewest attempts keeps a surrogate that several have; a real value's name is nobody's.
-        first = named.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("f"), F.count("*").alias("n"))
-        taken = first.join(real, ["kind", "surrogate"], "left").filter("n > 1 OR real")
-        taken = taken.select("kind", "surrogate", F.when(F.col("real").isNull(), F.col("f.value")).alias("owner"))
-        again = stored(named.join(taken, ["kind", "surrogate"]).filter("owner IS NULL OR value != owner").select("kind", "value", "attempt"), "again")
+        first = names.groupBy("kind", "whole").agg(F.min(F.struct("attempt", "value")).alias("f"), F.count("*").alias("n"))
+        taken = first.join(real, ["kind", "whole"], "left").filter("n > 1 OR real")
+        taken = taken.select("kind", "whole", F.when(F.col("real").isNull(), F.col("f.value")).alias("owner"))
+        again = stored(names.join(taken, ["kind", "whole"]).filter("owner IS NULL OR value != owner").select("kind", "value", "attempt"), "again")
         if again.isEmpty():
             return named
         retried = again.withColumn("attempt", F.col("attempt") + 1).mapInArrow(_name_them(key), schema)
         named = stored(named.join(again.select("kind", "value"), ["kind", "value"], "left_anti").unionByName(retried), "surrogates")
-    raise RuntimeError(f"surrogates still collide after {rounds} rounds")
 
 
 def _replace(key: bytes, retries: Callable[[], dict], text_at: int, notes_at: int | None):

@@ -60,6 +60,24 @@ def test_collisions_are_resolved(docs, monkeypatch, limit):
     assert not {(r.kind, r.surrogate) for r in table} & {(r.kind, r.value) for r in table}
 
 
+def test_formats_with_few_surrogates(docs):
+    """Masked passwords, more short locals than letters (in many domains, in one), more short phone numbers than of their length."""
+    one_letter = [f"{chr(97 + i % 26)}@d{i}.example.org" for i in range(30)] + ["_@x.example.org", "_@y.example.org"]
+    one_domain = [f"{c}@one.example.org" for c in "abcdefghijklmnopqrstuvwxyzäöüéèñçß"]
+    phones = [f"+212 {i // 100}{i // 10 % 10} {i % 10}0" for i in range(100, 1000)]
+    rows = [(1, "password: ********"), (2, "token=###### and password: ********")]
+    rows += [(10 + i, f"write to {m} now") for i, m in enumerate(one_letter + one_domain)]
+    rows += [(1000 + i, f"call {v} now") for i, v in enumerate(phones)]
+    got = replaced(docs, rows)
+    masked = re.fullmatch(r"password: ([a-z]{8})", got[1].text)[1]
+    assert re.fullmatch(rf"token=[a-z]{{6}} and password: {masked}", got[2].text)
+    mails = [got[10 + i].text.split()[2] for i in range(len(one_letter + one_domain))]
+    assert len(set(mails)) == len(mails) and not set(mails) & set(one_letter + one_domain)
+    assert len({m.split("@")[1] for m in mails[len(one_letter):]}) == 1
+    numbers = {got[1000 + i].text[5:-4] for i in range(len(phones))}
+    assert len(numbers) == len(phones) and not numbers & set(phones) and all(re.fullmatch(r"\+212 \d\d \d{2,}", n) for n in numbers)
+
+
 def test_names_by_gender_script_and_case(docs):
     got = replaced(docs, [(1, "Mr. John Smith met Mrs. Jane Smith. MR SMITH"), (2, "Mr. Smith"), (3, "госпожа Мария Иванова"), (4, "Señora Ana GARCÍA")])
     he, she = re.match(r"Mr\. (\S+) (\S+) met Mrs\. (\S+) (\S+)\.", got[1].text).groups()[0::2]
