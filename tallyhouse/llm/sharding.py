@@ -11,6 +11,9 @@ the product, and gets less if any other has room.
 * All other groups are dealt to cells by hash. Every cell has its own residual capacities, the share of each shard's
   residual that the cell's groups make up of all light groups, and places its groups, largest first, in one streaming
   pass that holds only these vectors. The number of cells grows with the number of groups.
+* With many cells a light group can be large beside a shard's share of a cell, and what does not fit there would fall on the
+  same shard in every cell. So groups of more than 1 / `FIT` of that share go first, in levels of sizes within a factor of
+  `LEVEL`, each level in as few cells as its own largest group needs; a level starts from the capacities the ones before left.
 * Slots: documents are numbered within (shard, cell of the doc_id), cells one after another, so no task holds a shard.
 
 Law: `bytes`; sizes (UTF-8 bytes plus 8) are nearly equal, tokens and rows as far as the groups allow.
@@ -22,6 +25,7 @@ told apart by the MD5 digest of their texts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +39,8 @@ from tallyhouse.llm.words import words
 HEAVY = 256
 #: Light groups and documents a cell; a cell is a task's unit, not a limit.
 CELL_GROUPS, CELL_ROWS = 20_000, 50_000
+#: Largest groups that a shard's share of a cell has room for, at least; sizes in a level of larger groups.
+FIT, LEVEL = 8, 64
 DIMENSIONS = ("bytes", "tokens", "rows")
 
 
@@ -87,11 +93,48 @@ def _cell_packer(room: np.ndarray, shard_size: np.ndarray, light_total: np.ndarr
                 shard = place(v, residual)
                 residual[shard] -= v
                 shards.append(shard)
-            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(shards, pa.int32())], names=["key", "shard"])
+            columns = [batch["key"], pa.array(shards, pa.int32()), *[batch[d] for d in DIMENSIONS]]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "shard", *DIMENSIONS])
 
     return run
 
 
+def _in_cells(groups: DataFrame, totals: np.ndarray, n_cells: int, residual: np.ndarray, shard_size: np.ndarray) -> DataFrame:
+    """key, shard and sizes of groups, placed cell by cell into what is left of the shards."""
+    total = np.maximum(totals, 1e-9)
+    room = np.maximum(residual, 0)
+    room = room / np.maximum(room.sum(axis=0), 1e-9) * (total / shard_size)
+    in_cell = Window.partitionBy("cell")
+    groups = groups.withColumn("cell", F.pmod(F.xxhash64("key"), F.lit(n_cells)).cast("int")).repartition(n_cells, "cell")
+    groups = groups.withColumns({f"cell_{d}": F.sum(d).over(in_cell) for d in DIMENSIONS})
+    ordered = groups.sortWithinPartitions("cell", F.desc("share"), "key").drop("share")
+    return ordered.mapInArrow(_cell_packer(room, shard_size, total), "key string, shard int, bytes long, tokens long, rows long")
+
+
+def _light(light: DataFrame, residual: np.ndarray, shard_size: np.ndarray, n_cells: int) -> list[DataFrame]:
+    """Placed light groups: a table for each level of groups that are large beside a cell, and one for all others."""
+    shards, size = len(residual), [F.coalesce(F.sum(d), F.lit(0)) for d in DIMENSIONS]
+    *totals, largest = light.agg(*size, F.coalesce(F.max("bytes"), F.lit(0))).first()
+    fitting = totals[0] / (FIT * shards * n_cells)
+    if largest <= fitting or n_cells == 1:
+        return [_in_cells(light, np.array(totals, dtype=float), n_cells, residual, shard_size)]
+    # Level 0 has the largest groups; those that fit are the last level.
+    last = math.ceil(math.log(largest / fitting, LEVEL)) + 1
+    level = F.least(F.floor(F.log(F.lit(float(largest)) / F.col("bytes")) / F.lit(math.log(LEVEL))), F.lit(last - 1))
+    light = light.withColumn("level", F.when(F.col("bytes") > fitting, level).otherwise(F.lit(last)).cast("int"))
+    counted = light.groupBy("level").agg(*size, F.max("bytes"), F.count("*")).orderBy("level").collect()
+    placed = []
+    for i, (at, *sums, most, n) in enumerate(counted):
+        cells = max(1, min(n // CELL_GROUPS, int(sums[0] / (FIT * shards * most))))
+        done = _in_cells(light.filter(F.col("level") == at).drop("level"), np.array(sums, dtype=float), cells, residual, shard_size)
+        if i < len(counted) - 1:
+            done = stored(done, "shard-level")
+            for shard, *used in done.groupBy("shard").agg(*size).collect():
+                residual[shard] -= np.array(used, dtype=float) / shard_size
+        placed.append(done)
+    return placed
+
+
 def pack(docs: DataFrame, shards: int = 24) -> DataFrame:
     """doc_id, size, tokens, text_crc32, shard, slot; one row per document."""
     spark = docs.sparkSession
@@ -122,17 +165,9 @@ def pack(docs: DataFrame, shards: int = 24) -> DataFrame:
     # Light groups, cell by cell.
     n_cells = max(1, n_groups // CELL_GROUPS)
     light = groups.withColumn("share", share).filter(F.col("share") < 1 / HEAVY)
-    light = light.withColumn("cell", F.pmod(F.xxhash64("key"), F.lit(n_cells)).cast("int"))
-    light_total = np.maximum(np.array(light.agg(*[F.coalesce(F.sum(d), F.lit(0)) for d in DIMENSIONS]).first(), dtype=float), 1e-9)
-    room = np.maximum(residual, 0)
-    room = room / np.maximum(room.sum(axis=0), 1e-9) * (light_total / shard_size)
-    in_cell = Window.partitionBy("cell")
-    light = light.repartition(n_cells, "cell").withColumns({f"cell_{d}": F.sum(d).over(in_cell) for d in DIMENSIONS})
-    ordered = light.sortWithinPartitions("cell", F.desc("share"), "key").drop("share")
-    light_placed = ordered.mapInArrow(_cell_packer(room, shard_size, light_total), "key string, shard int")
-    light_placed = light_placed.select("key", F.lit(1).alias("pieces"), F.lit(0).alias("piece"), "shard")
-
-    dealt = placed.unionByName(light_placed)
+    dealt = placed
+    for done in _light(light, residual, shard_size, n_cells):
+        dealt = dealt.unionByName(done.select("key", F.lit(1).alias("pieces"), F.lit(0).alias("piece"), "shard"))
     one = dealt.filter("pieces = 1").select("key", "shard")
     many = dealt.filter("pieces > 1")
     in_one = rows.join(F.broadcast(cut.select("key")), "key", "left_anti").join(one, "key")

@@ -47,6 +47,22 @@ def test_balance_groups_and_a_hot_group(docs, monkeypatch, cell):
     assert all(len(h) == 1 for t, h in homes.items() if not t.startswith("hot")) and len(homes["hot text " * 20]) > 1
 
 
+@pytest.mark.parametrize("large", [400, 40])
+def test_large_light_groups_in_many_cells(docs, monkeypatch, large):
+    """Groups just under the heavy bound, beside cells whose share of a shard is smaller than they are."""
+    monkeypatch.setattr(sharding, "CELL_GROUPS", 20)
+    rng = np.random.default_rng(2)
+    rows = [(i, f"{i} " + "x" * int(rng.integers(1, 30))) for i in range(12_000)]
+    shard = sum(len(t) + 8 for _, t in rows) / 4 / (1 - large / 4 / 256)
+    rows += [(20_000 + i, f"{i:05d} ".ljust(int(shard / 256) - 9, "y")) for i in range(large)]
+    got = sharding.pack(docs(rows), shards=4).collect()
+    check(rows, got, 4)
+    sums = np.zeros(4)
+    for r in got:
+        sums[r.shard] += r.size
+    assert (sums.max() - sums.min()) / sums.mean() < 0.02
+
+
 def test_place():
     residual = np.array([[0.5, 0.1], [0.2, 0.9], [0.9, 0.05]])
     assert sharding.place(np.array([0.1, 0.1]), residual) == 1
