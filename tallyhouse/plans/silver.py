@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import parse, text
 from tallyhouse.operators import scratch
-from tallyhouse.operators.keys import latest_per_key, with_parent, without_known
+from tallyhouse.operators.keys import latest_per_key, with_parent
 from tallyhouse.operators.publish import append, counted_rows, rows_of, upsert
 from tallyhouse.plans import generated
 from tallyhouse.schemas import AMOUNT, CUSTOMER_KEY_PREFIX, ENTITIES, PRICE, conform
@@ -124,22 +124,32 @@ STEPS = (
 MARKS = "silver_marks"
 
 
-def pending_rows(lake: Lake, table: str) -> tuple[DataFrame, dt.datetime | None]:
-    """Bronze rows that silver has to look at, and the mark up to which they go.
+# The bronze row that each silver row was built from: key and place in the order of ``last_written``.
+BUILT = "built"
+PLACE = ("_ingested_at", "_row_id")
 
-    Rows ingested since the mark of the last run (that moment included), and all rows of keys that silver does
-    not have: those may have waited for a parent, or were dropped and are dropped again.
+
+def pending_rows(lake: Lake, table: str, full: bool = False) -> tuple[DataFrame, dt.datetime | None]:
+    """The last bronze rows of the keys that silver has to look at, and the mark up to which they go.
+
+    These are the keys whose last row is not the one that silver was built from: new and changed ones whenever
+    they were stamped, and those whose row was dropped, as it may have waited for a parent. Rows from the moment
+    of the last mark on are always among them, since others may have come with the same stamp. ``full``: all keys.
     """
     entity = ENTITIES[table]
     rows = lake.read("bronze", entity.bronze_table)
     mark = rows.agg(F.max("_ingested_at")).first()[0]
     marks = lake.read("bronze", MARKS).filter(F.col("table") == table) if lake.has("bronze", MARKS) else None
     last = marks.agg(F.max("mark")).first()[0] if marks is not None else None
-    if last is None or not lake.has("silver", table):
-        return rows, mark
-    at = F.col("_ingested_at")
-    waiting = without_known(rows.filter(at < F.lit(last)), lake.read("silver", table), entity.key)
-    return rows.filter(at >= F.lit(last)).unionByName(waiting), mark
+    newest = last_written(rows, table)
+    if full or not lake.has("silver", table) or not lake.has(BUILT, table):
+        return newest, mark
+    built = lake.read(BUILT, table).select(*[F.col(c).alias(f"_built_{c}") for c in (entity.key, *PLACE)], F.lit(True).alias("_built"))
+    same = [F.col(c).eqNullSafe(F.col(f"_built_{c}")) for c in (entity.key, *PLACE)]
+    joined = newest.join(built, same[0], "left")
+    done = F.col("_built").isNotNull() & same[1] & same[2]
+    at_mark = F.coalesce(F.col("_ingested_at") >= F.lit(last), F.lit(False))
+    return joined.filter(~done | at_mark).select(*newest.columns), mark
 
 
 def run_silver(lake: Lake, full: bool = False) -> DataFrame:
@@ -152,15 +162,15 @@ def run_silver(lake: Lake, full: bool = False) -> DataFrame:
     stats = []
     for table, clean, parents in STEPS:
         entity = ENTITIES[table]
-        pending, mark = pending_rows(lake, table)
-        if full:
-            pending = lake.read("bronze", entity.bronze_table)
+        pending, mark = pending_rows(lake, table, full)
         with scratch.scope(lake.spark):
             # Read for the silver rows and for the rejected values.
-            rows, _ = scratch.store(last_written(pending, table), f"pending-{table}")
+            rows, _ = scratch.store(pending, f"pending-{table}")
             latest, seen = counted_rows(rows, f"{table}_in_{uuid.uuid4().hex}")
             cleaned, kept = counted_rows(clean(latest, *[lake.read("silver", p) for p in parents]), f"{table}_out_{uuid.uuid4().hex}")
+            cleaned, _ = scratch.store(cleaned, f"clean-{table}")
             upsert(lake, "silver", table, cleaned, entity.key)
+            upsert(lake, BUILT, table, rows.select(entity.key, *PLACE).join(cleaned.select(entity.key), entity.key, "left_semi"), entity.key)
             before, after = rows_of(seen), rows_of(kept)
             if before != after:
                 log.warning("[%s] dropped %d invalid or orphan rows", table, before - after)

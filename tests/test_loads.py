@@ -168,6 +168,50 @@ def test_empty_file_loads_nothing(spark, lake, folder):
     assert lake.read("bronze", "raw_orders").count() == 6
 
 
+def test_updates_reach_silver_when_their_parent_is_late(spark, lake):
+    """An order and a line that silver has move to a customer and a product that come later; stamps may be missing or old."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.operators.publish import append
+
+    def deliver(name, day, *rows):
+        entity = ENTITIES[name]
+        df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], ", ".join(f"{c} string" for c in entity.columns) + ", _row_id long")
+        append(lake, entity.bronze_table, df.withColumn("_ingested_at", F.lit(None if day is None else dt.datetime(2024, 2, day)).cast("timestamp")))
+
+    def customer(key):
+        return (key, "ann", "lee", "a@b.co", "1", "Rome", "ca", "us", "1", "B2B", "2023-01-05")
+
+    def order(key, parent):
+        return (key, parent, "2023-03-01", "", "Express", "Done", "10", "")
+
+    def silver_rows(table, *columns):
+        return {tuple(r) for r in lake.read("silver", table).select(*columns).collect()}
+
+    product = ("Lamp", "home", "Light", "Acme", "1", "2", "5", "S1")
+    deliver("customers", 1, customer("CUST-A"))
+    deliver("products", 1, ("P1", *product))
+    deliver("orders", 1, order("O1", "CUST-A"), order("O2", "CUST-A"))
+    deliver("orders", None, order("O3", "CUST-A"))
+    deliver("order_items", 1, ("I1", "O1", "P1", "1", "10", "0"))
+    silver.run_silver(lake)
+    assert silver_rows("orders", "order_id", "customer_id") == {("O1", "CUST-A"), ("O2", "CUST-A"), ("O3", "CUST-A")}
+    # Beside the updates without parents a newer load moves the mark on.
+    deliver("orders", 3, order("O1", "CUST-B"))
+    deliver("order_items", 3, ("I1", "O1", "P2", "1", "10", "0"))
+    deliver("orders", 5, order("O9", "CUST-A"))
+    deliver("order_items", 5, ("I9", "O9", "P1", "1", "10", "0"))
+    silver.run_silver(lake)
+    assert ("O1", "CUST-A") in silver_rows("orders", "order_id", "customer_id")
+    deliver("customers", 6, customer("CUST-B"))
+    deliver("products", 6, ("P2", *product))
+    deliver("orders", 4, order("O2", "CUST-B"))  # stamped before the mark, appended after it
+    deliver("orders", 2, order("O3", "CUST-B"))  # its first row had no stamp
+    silver.run_silver(lake)
+    assert silver_rows("orders", "order_id", "customer_id") == {("O1", "CUST-B"), ("O2", "CUST-B"), ("O3", "CUST-B"), ("O9", "CUST-A")}
+    assert silver_rows("order_items", "item_id", "product_id") == {("I1", "P2"), ("I9", "P1")}
+
+
 def test_failed_step_is_logged(spark, lake, folder):
     with pytest.raises(quality.QualityError):
         runs.run_all(lake, str(folder), as_of="2023-03-01")
