@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, lines, pii, quality, repeats, sentencepieces, sharding, simhash, toxicity, urls
+from tallyhouse.llm import decontam, lines, phrases, pii, quality, records, repeats, search, sentencepieces, sharding, simhash, toxicity, urls
+from tallyhouse.operators import scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -191,6 +192,90 @@ SELECT w.id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit,
 FROM w LEFT JOIN n ON n.doc_id = w.id LEFT JOIN it ON it.doc_id = w.id WHERE kind = 'd'
 """
 
+def ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of all for every benchmark item."""
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
+SEARCH_SQL = r"""
+WITH folded AS (
+  SELECT 'd' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
+w AS (
+  SELECT kind, id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM folded),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM w WHERE kind = 'd' AND len(ws) > 0),
+m AS (
+  SELECT id AS doc_id, 100 - 25 + (25 * len(ws) * n_docs) // n_terms AS m
+  FROM w, total WHERE kind = 'd' AND len(ws) > 0),
+times AS (
+  SELECT id AS item_id, term, count(*) AS n
+  FROM (SELECT id, unnest(ws) AS term FROM w WHERE kind = 'b') GROUP BY id, term),
+tf AS (
+  SELECT doc_id, term, count(*) AS tf
+  FROM (SELECT id AS doc_id, unnest(ws) AS term FROM w WHERE kind = 'd')
+  WHERE term IN (SELECT term FROM times) GROUP BY doc_id, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term),
+gain AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS gain
+  FROM tf JOIN m USING (doc_id) JOIN weight USING (term)),
+scored AS (SELECT item_id, doc_id, CAST(sum(n * gain) AS BIGINT) AS score FROM times JOIN gain USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+
+def binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as records of ids; what the index says after the files were read back."""
+    import public_tokenizers
+
+    folder = scratch.new_path(spark, "token-records")
+    records.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return records.build_index(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
+PHRASES_SQL = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+g AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)
+  GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM g WHERE k >= 2 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, a, i, array_to_string(ws[1 : i], ' ') AS head, array_to_string(ws[i + 1 :], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+cut AS (
+  SELECT cuts.lang, cuts.phrase, a, i, h.f AS l, t.f AS r,
+         CAST(CAST(2000000 AS HUGEINT) * a // (CAST(h.f AS HUGEINT) + t.f) AS BIGINT) AS score
+  FROM cuts JOIN g AS h ON h.lang = cuts.lang AND h.phrase = head JOIN g AS t ON t.lang = cuts.lang AND t.phrase = tail),
+least_cut AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inside AS (
+  SELECT lang, sub, max(a) AS a
+  FROM (SELECT lang, a, array_to_string(ws[i : i + m - 1], ' ') AS sub
+        FROM (SELECT lang, a, ws, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k))
+  GROUP BY lang, sub),
+kept AS (
+  SELECT x.* FROM least_cut AS x LEFT JOIN inside ON inside.lang = x.lang AND inside.sub = x.phrase
+  WHERE inside.a IS NULL OR CAST(100 AS HUGEINT) * inside.a < CAST(80 AS HUGEINT) * x.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_vector_bin_packing": vector_bin_packing,
@@ -202,9 +287,14 @@ QUERIES = {
     "op8_sentencepiece_encoding": sentencepiece_encoding,
     "op9_line_dedup": line_dedup,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op11_ranked_lexical_search": ranked_lexical_search,
+    "op12_binary_records": binary_records,
+    "op13_phrase_collocations": phrase_collocations,
 }
 SQL = {
     "op1_quality_rules": QUALITY_SQL,
     "op9_line_dedup": LINES_SQL,
     "op10_benchmark_decontamination": DECONTAM_SQL,
+    "op11_ranked_lexical_search": SEARCH_SQL,
+    "op13_phrase_collocations": PHRASES_SQL,
 }
