@@ -16,9 +16,8 @@ reaches, and a task that is lost or runs twice leaves nothing behind.
   number of ids, checksum of the ids and the number of ids before it as a table beside the files.
 * `read_records`: ids of any selection of the index, by seeking to its offsets; `shuffled` reads all in a seeded order.
 
-The text is cut at spaces and line feeds, which no token of the vocabulary and no rule of its normaliser spans; the library
-encodes each different part once a task, and letters followed by punctuation as two parts. The ids are those of the whole
-text.
+The text is cut at spaces and line feeds, which no token of the vocabulary and no rule of its normaliser spans, and letters
+are cut from punctuation behind them; the library encodes what a worker has not met. The ids are those of the whole text.
 
 Defined results: a null or empty text is the end id alone; documents without an id come first; rows with the same id are
 records of their own, ordered by a hash of the text; an empty table gives an empty index; other columns are ignored. A
@@ -41,14 +40,17 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import scratch
 
-#: Bytes of text a file; different parts remembered by a task, and the longest of them.
-FILE_BYTES, MEMO, LONGEST = 32 << 20, 400_000, 64
+#: Bytes of text a file; texts encoded at a time.
+FILE_BYTES, ROWS = 32 << 20, 256
+#: Parts remembered by a worker, the longest of them, and words encoded in one call.
+MEMO, LONGEST, TOGETHER = 600_000, 64, 1000
 _MASK = 0xA282EAD8
 #: Struct formats of a length, a checksum and the head of a payload, and the size of the head.
 _LENGTH, _CRC, _HEAD, HEAD = "<Q", "<I", "<qBB", 10
 #: Bytes of a frame beside its payload, and of those in front of it.
 AROUND, BEFORE = 17, 12
-_LETTERS = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
+_LETTERS = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
+_BEFORE_SIGN = re.compile(r"(?<=[A-Za-z])(?=[.,;:!?])")
 
 
 def masked(data: bytes) -> int:
@@ -87,38 +89,73 @@ class Encoder(dict):
 
         self.library = Tokenizer.from_str(tokenizer)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, f"<u{self.width}")
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encodes the words of letters among the parts that are not known yet, many in one call.
+
+        Each of them should end in one token that ends a word; where one doesn't, they are left to be met one by one.
+        """
+        new = [part for part in set().union(*texts) if len(part) <= LONGEST and part not in self]
+        words = {_bare(w[1]) for part in new if (w := _LETTERS.fullmatch(part))}
+        words = sorted(w for w in words if w not in self)
+        if len(self) + len(words) > MEMO:
+            self.clear()
+        for i in range(0, len(words), TOGETHER):
+            some = words[i : i + TOGETHER]
+            ids = self.ids(" ".join(some))
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
+            if len(ends) == len(some):
+                whole = ids.tobytes()
+                self.update((w, whole[a:b]) for w, a, b in zip(some, [0, *ends], ends, strict=False))
 
     def __missing__(self, part: str) -> bytes:
         word = _LETTERS.fullmatch(part) if len(part) <= LONGEST else None
-        if word and (word[2] or not part.islower()):
-            ids = self[word[1].lower()] + (self[word[2]] if word[2] else b"")
+        if word and (bare := _bare(word[1])) != part:
+            ids = self[bare] + (self[word[2]] if word[2] else b"")
         else:
-            ids = np.array(self.library.encode(part, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+            ids = self.ids(part).tobytes()
         if len(part) <= LONGEST:
             if len(self) >= MEMO:
                 self.clear()
             self[part] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def encode(self, parts: list[str]) -> bytes:
+        return b"".join(map(self.__getitem__, parts))
 
 
-def _frames(tokenizer, end_id: int | None):
+def _bare(word: str) -> str:
+    return word.lower() if word.isascii() else word
+
+
+def parts_of(text: str | None) -> list[str]:
+    """Parts that the library encodes alike whether alone or in the text; ASCII ones in lower case, as its normaliser has them."""
+    text = _BEFORE_SIGN.sub(" ", text or "")
+    if text.isascii() and "<" not in text:  # special tokens are looked for before the normaliser
+        text = text.lower()
+    return text.replace("\n", " ").split(" ")
+
+
+def _frames(held, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer.value)
+        # A worker keeps what is broadcast, and so the encoder with the words it knows, from task to task.
+        encoder = held.value.get("encoder") or held.value.setdefault("encoder", Encoder(held.value["tokenizer"]))
         end = b"" if end_id is None else np.array([end_id], f"<u{encoder.width}").tobytes()
         for batch in batches:
-            out, held = [], 0
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encoder.encode(text.as_py() or "") + end
-                # The sink writes the closing byte.
-                out.append(frame(struct.pack(_HEAD, doc or 0, doc is not None, encoder.width) + ids)[:-1])
-                held += len(ids)
-                if held > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-                    out, held = [], 0
-            if out:
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                texts, out = [parts_of(t.as_py()) for t in some["text"]], []
+                encoder.learn(texts)
+                for doc, parts in zip(some["doc_id"].to_pylist(), texts, strict=True):
+                    head = struct.pack(_HEAD, doc or 0, doc is not None, encoder.width)
+                    # The sink writes the closing byte.
+                    out.append(frame(head + encoder.encode(parts) + end)[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
     return run
@@ -126,7 +163,7 @@ def _frames(tokenizer, end_id: int | None):
 
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int | None = 1, file_bytes: int = FILE_BYTES) -> None:
     """Writes the documents' ids as records into files under folder/records, ascending by doc_id."""
-    tokenizer = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
+    held = docs.sparkSession.sparkContext.broadcast({"tokenizer": Path(tokenizer_file).read_text(encoding="utf-8")})
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"),
@@ -135,7 +172,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int | None
     )
     rows = rows.repartitionByRange(max(1, math.ceil(size / file_bytes)), "doc_id", "tie", "row")
     rows = rows.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    frames = rows.mapInArrow(_frames(tokenizer, end_id), "frame binary")
+    frames = rows.mapInArrow(_frames(held, end_id), "frame binary")
     frames.select(F.col("frame").cast("string")).write.option("lineSep", "\n").option("compression", "none").text(f"{folder}/records")
 
 
