@@ -57,6 +57,55 @@ def _scan(spark, folder) -> DataFrame:
 add("src1_csv_scan", _scan, raw_sql("products"))
 
 
+# Lines of a product file: every seventh row has two cells too many, every eleventh ends after three, and quoted cells
+# hold commas and quotes. Spark and DuckDB read the expressions alike.
+_NAME = "'\"' || replace(p_name, ' ', ', ') || ' \"\"x\"\"\"'"
+_LINE = f"""CASE WHEN p_partkey % 7 = 0 THEN 'P' || CAST(p_partkey AS STRING) || ',' || {_NAME} || ',c,s,b,1,2,3,sku,more,cells'
+ WHEN p_partkey % 11 = 0 THEN 'P' || CAST(p_partkey AS STRING) || ',' || {_NAME} || ',c'
+ ELSE 'P' || CAST(p_partkey AS STRING) || ',' || {_NAME} || ',c,,b,1,2,3,"' || p_brand || '"' END"""
+
+
+def _uneven_files(spark, folder) -> str:
+    """Product lines in four files, each with its header."""
+    out, header = scratch.new_path(spark, "uneven"), ",".join(ENTITIES["products"].columns)
+    lines = spark.read.parquet(f"{folder}/part.parquet").selectExpr("CAST(p_partkey % 4 AS STRING) AS b", "p_partkey AS at", f"{_LINE} AS value")
+    heads = spark.range(4).selectExpr("CAST(id AS STRING) AS b", "CAST(-1 AS BIGINT) AS at", f"'{header}' AS value")
+    rows = lines.unionByName(heads).repartition(4, "b").sortWithinPartitions("b", "at")
+    rows.select("b", "value").write.partitionBy("b").text(out)
+    return f"{out}/b=*"
+
+
+def _malformed_rows(spark, folder) -> DataFrame:
+    """Files with malformed rows loaded twice: good rows in bronze, the others whole, each once."""
+    lake, path = new_lake(spark), _uneven_files(spark, folder)
+    for _ in range(2):
+        bronze.load_bronze(lake, ENTITIES["products"], path)
+    good = lake.read("bronze", "raw_products").select(F.lit("products").alias("table"), F.col("product_id").alias("key"), "product_name", "sku", F.lit(None).cast("string").alias("record"))
+    bad = lake.read("bronze", bronze.MALFORMED_TABLE).select("table", "key", *[F.lit(None).cast("string").alias(c) for c in ("product_name", "sku")], "record")
+    return good.unionByName(bad)
+
+
+add("src1_malformed_rows", _malformed_rows, f"""SELECT 'products' AS "table", 'P' || CAST(p_partkey AS STRING) AS key,
+ CASE WHEN ok THEN replace(p_name, ' ', ', ') || ' "x"' END AS product_name, CASE WHEN ok THEN p_brand END AS sku,
+ CASE WHEN NOT ok THEN {_LINE} END AS record FROM (SELECT *, p_partkey % 7 <> 0 AND p_partkey % 11 <> 0 AS ok FROM part) p""")
+
+
+def _malformed_counts(spark, folder) -> DataFrame:
+    """Counts of two loads, of a load that allows no malformed row, and what the run log says."""
+    lake, path = new_lake(spark), _uneven_files(spark, folder)
+    loads = [bronze.load_bronze(lake, ENTITIES["products"], path, max_malformed=limit) for limit in (0, None, None)]
+    stored = lake.read("bronze", bronze.MALFORMED_TABLE).count()
+    return spark.createDataFrame(
+        [(i, r.status, r.rows_processed, r.rows_skipped, r.rows_malformed, stored) for i, r in enumerate(loads)],
+        "load long, status string, rows_processed long, rows_skipped long, rows_malformed long, stored long")
+
+
+add("snk7_malformed_counts", _malformed_counts, """WITH n AS (SELECT count(*) FILTER (p_partkey % 7 = 0 OR p_partkey % 11 = 0) AS bad,
+ count(*) FILTER (p_partkey % 7 <> 0 AND p_partkey % 11 <> 0) AS good FROM part)
+SELECT CAST(0 AS BIGINT) AS load, 'failed' AS status, CAST(0 AS BIGINT) AS rows_processed, CAST(0 AS BIGINT) AS rows_skipped, bad AS rows_malformed, bad AS stored FROM n
+UNION ALL SELECT 1, 'success', good, 0, bad, bad FROM n UNION ALL SELECT 2, 'success', 0, good, bad, bad FROM n""")
+
+
 def _load_twice(spark, folder) -> DataFrame:
     """Two loads of one file: the second finds every key already there."""
     lake, files = new_lake(spark), csv_folder(spark, folder, "orders")

@@ -15,9 +15,9 @@ def counted_rows(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def rows_of(seen: Observation) -> int:
+def rows_of(seen: Observation, counter: str = "rows") -> int:
     """The counter's value. A part of the plan that Spark found empty reports nothing."""
-    return int(seen.get.get("rows", 0) or 0)
+    return int(seen.get.get(counter, 0) or 0)
 
 
 def append(lake: Lake, table: str, df: DataFrame) -> None:

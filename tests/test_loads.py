@@ -82,6 +82,59 @@ def test_scan_drops_extra_and_reorders(spark, tmp_path):
     assert tuple(row) == ("I", "O", "P", "1", "2", "3")
 
 
+UNEVEN = '''item_id,order_id,product_id,quantity,unit_price,discount_pct
+I1,O1,P1,1,"1,0",5
+I2,O1,P1,1,2,3,4,"five, six"
+I3,O1
+
+"I4",O2,P2,,"say ""hi""",
+I5,O1,P1,1,2
+I6,,,,,
+'''
+
+
+def test_malformed_rows_are_kept_whole(spark, lake, tmp_path):
+    (tmp_path / "order_items.csv").write_text(UNEVEN)
+    entity, path = ENTITIES["order_items"], str(tmp_path / "order_items.csv")
+    first = bronze.load_bronze(lake, entity, path)
+    assert (first.rows_processed, first.rows_skipped, first.rows_malformed) == (3, 0, 3)
+    good = {r.item_id: (r.quantity, r.unit_price, r.discount_pct) for r in lake.read("bronze", "raw_order_items").collect()}
+    assert good == {"I1": ("1", "1,0", "5"), "I4": ("", 'say "hi"', ""), "I6": ("", "", "")}
+    bad = lake.read("bronze", bronze.MALFORMED_TABLE).orderBy("_row_id").collect()
+    assert [(r.table, r._source_file, r.key, r.record) for r in bad] == [
+        ("order_items", "order_items.csv", "I2", 'I2,O1,P1,1,2,3,4,"five, six"'), ("order_items", "order_items.csv", "I3", "I3,O1"),
+        ("order_items", "order_items.csv", "I5", "I5,O1,P1,1,2")]
+    again = bronze.load_bronze(lake, entity, path)
+    assert (again.rows_processed, again.rows_skipped, again.rows_malformed) == (0, 3, 3)
+    assert lake.read("bronze", bronze.MALFORMED_TABLE).count() == 3  # known rows are not stored again
+    bronze.load_bronze(lake, entity, path, mode="append_all")
+    assert lake.read("bronze", bronze.MALFORMED_TABLE).count() == 6
+
+
+def test_too_many_malformed_rows_fail(spark, lake, tmp_path):
+    (tmp_path / "order_items.csv").write_text(UNEVEN)
+    entity, path = ENTITIES["order_items"], str(tmp_path / "order_items.csv")
+    strict = bronze.load_bronze(lake, entity, path, max_malformed=2)
+    assert strict.status == "failed" and strict.rows_malformed == 3 and not lake.has("bronze", "raw_order_items")
+    assert bronze.load_bronze(lake, entity, path, max_malformed=3).rows_processed == 3
+    bronze.run_bronze(lake, str(tmp_path), ["order_items"])
+    logged = lake.read("bronze", bronze.RUN_TABLE).first()
+    assert logged.status == "success" and logged.error_message == "order_items: 3 malformed rows stored apart"
+
+
+def test_multiline_files_have_malformed_rows_too(spark, tmp_path):
+    import dataclasses
+
+    from tallyhouse.sources.csv_files import malformed, scan_rows
+
+    entity = dataclasses.replace(ENTITIES["events"], multiline=True)
+    head = ",".join(entity.columns)
+    (tmp_path / "e.csv").write_text(f'{head}\nE1,C,t,P,"a\nb",S,d\nE2,C,t\n')
+    rows = scan_rows(spark, entity, str(tmp_path / "e.csv"))
+    assert [r.event_timestamp for r in scan_csv(spark, entity, str(tmp_path / "e.csv")).collect()] == ["a\nb"]
+    assert [r.record.strip() for r in malformed(rows, entity).collect()] == ["E2,C,t"]
+
+
 def test_bronze_skips_known_keys_but_not_repeats_in_a_file(spark, lake, folder):
     path = str(folder / "customers.csv")
     first = bronze.load_bronze(lake, ENTITIES["customers"], path)
