@@ -1,6 +1,6 @@
 """Business reports. Each takes gold tables and filters and returns a DataFrame.
 
-``fact`` is the order-line fact, ``customers`` / ``products`` the dimensions, ``ltv`` the customer
+``fact`` is the order-line fact, or for reports on overview and sales also the stored ``Summaries``; ``customers`` / ``products`` the dimensions, ``ltv`` the customer
 lifetime table. ``year`` and ``segments`` narrow a report; ``None`` means no filter.
 """
 
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import dates as D
 from tallyhouse.functions.numbers import counted, mean, mean_of, money, ratio
 from tallyhouse.operators.distinct import sales_rollup
+from tallyhouse.plans.summaries import Summaries, all_of, measures
 from tallyhouse.schemas import MONEY
 
 # Choices of the report pages.
@@ -25,12 +25,6 @@ PRODUCT_RANKS = ("gross_revenue", "units_sold", "gross_profit", "total_orders")
 AT_RISK_STATES = ("At Risk of Churn", "Churned")
 
 
-def _where(*conditions: Column | None) -> Column:
-    """All given conditions; true when there is none."""
-    given = [c for c in conditions if c is not None]
-    return reduce(lambda a, b: a & b, given) if given else F.lit(True)
-
-
 def _year(year: int | None) -> Column | None:
     """Orders of a year, as a range of months: the column the stored fact is partitioned by."""
     if year is None:
@@ -43,37 +37,47 @@ def _segments(segments: Iterable[str] | None) -> Column | None:
     return F.col("customer_segment").isin(*chosen) if chosen else None
 
 
-def _done(fact: DataFrame, *conditions: Column | None) -> DataFrame:
-    return fact.filter(_where(F.col("is_completed"), *conditions))
-
-
 def _pick(name: str, allowed: Iterable[str]) -> str:
     if name not in allowed:
         raise ValueError(f"{name!r} is not one of {sorted(allowed)}")
     return name
 
 
-_MEASURES = {"revenue": "gross_revenue", "profit": "gross_profit", "units": "quantity"}
+Sales = DataFrame | Summaries
+
+
+def _rollup(fact: Sales, keys: dict[str, Column], sums: Iterable[str], year: int | None = None, segments: Iterable[str] | None = None,
+            completed: bool = True, known: str | None = None, orders: str = "orders", customers: str | None = "customers") -> DataFrame:
+    """Sums, order and customer counts per key over the fact or its summaries. ``known``: a column that must not be NULL."""
+    wanted, done = [_year(year), _segments(segments)], F.col("is_completed") if completed else None
+    if isinstance(fact, Summaries):
+        state = F.col("customer_state").isNotNull() if known == "customer_state" else None
+        shipped = F.col("shipped") if known == "days_to_ship" else None
+        # Categories and customers are summarised over completed orders alone.
+        apart = all_of([*wanted, state])
+        whole = apart if "category" in keys else all_of([*wanted, state, shipped, done])
+        return fact.rollup(keys, list(sums), whole, apart, orders, customers)
+    lines = fact.filter(all_of([done, *wanted, F.col(known).isNotNull() if known else None]))
+    for name, key in keys.items():
+        lines = lines.withColumn(name, key)
+    every = measures()
+    return sales_rollup(lines, list(keys), {n: every[n] for n in sums}, orders, customers)
 
 
-def _sums(*names: str) -> dict[str, Column]:
-    return {n: F.col(_MEASURES[n]) for n in names}
+def _columns(*names: str) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
 
 
 # --- overview -------------------------------------------------------------------------------------
 
 
-def kpis(fact: DataFrame, year: int | None = None, segments: Iterable[str] | None = None) -> DataFrame:
+def kpis(fact: Sales, year: int | None = None, segments: Iterable[str] | None = None) -> DataFrame:
     """One row of headline figures.
 
     ``avg_order_value`` is the mean effective unit price per line, under the name the report gives it.
     """
-    unit_price = F.col("gross_revenue") / F.nullif(F.col("quantity"), F.lit(0)).cast("decimal(10,0)")
-    totals = sales_rollup(
-        _done(fact, _year(year), _segments(segments)), [],
-        {**_sums("revenue", "profit"), "prices": unit_price.cast("decimal(22,10)"),
-         "priced": F.when(unit_price.isNotNull(), 1).otherwise(0)},
-        orders="total_orders", customers="unique_customers")
+    totals = _rollup(fact, {}, ["revenue", "profit", "prices", "priced"], year, segments,
+                     orders="total_orders", customers="unique_customers")
     return totals.select(
         money(F.col("revenue")).alias("total_revenue"),
         F.coalesce("total_orders", F.lit(0)).alias("total_orders"), "unique_customers",
@@ -83,21 +87,17 @@ def kpis(fact: DataFrame, year: int | None = None, segments: Iterable[str] | Non
     )
 
 
-def revenue_trend(fact: DataFrame, year: int | None = None, segments: Iterable[str] | None = None) -> DataFrame:
+def revenue_trend(fact: Sales, year: int | None = None, segments: Iterable[str] | None = None) -> DataFrame:
     """Revenue, orders and customers per month."""
-    return sales_rollup(
-        _done(fact, _year(year), _segments(segments)), ["order_month", "month_name", "year"], _sums("revenue")
-    ).select(
+    return _rollup(fact, _columns("order_month", "month_name", "year"), ["revenue"], year, segments).select(
         F.col("order_month").alias("month"), "month_name", "year", money(F.col("revenue")).alias("revenue"),
         "orders", "customers",
     ).orderBy("month")
 
 
-def category_breakdown(fact: DataFrame, year: int | None = None, segments: Iterable[str] | None = None) -> DataFrame:
+def category_breakdown(fact: Sales, year: int | None = None, segments: Iterable[str] | None = None) -> DataFrame:
     """Completed sales per category, highest revenue first."""
-    return sales_rollup(
-        _done(fact, _year(year), _segments(segments)), ["category"], _sums("revenue", "profit", "units"), customers=None
-    ).select(
+    return _rollup(fact, _columns("category"), ["revenue", "profit", "units"], year, segments, customers=None).select(
         "category", money(F.col("revenue")).alias("revenue"), money(F.col("profit")).alias("profit"), "orders",
         F.col("units").alias("units_sold"),
     ).orderBy(F.desc_nulls_last("revenue"), "category")
@@ -109,10 +109,9 @@ def revenue_share(breakdown: DataFrame) -> DataFrame:
     return breakdown.select("category", "revenue", ratio(F.col("revenue"), total, 2, times=100).cast(MONEY).alias("share_pct"))
 
 
-def geo_sales(fact: DataFrame, year: int | None = None) -> DataFrame:
+def geo_sales(fact: Sales, year: int | None = None) -> DataFrame:
     """Completed sales per state; rows without a state are left out."""
-    lines = _done(fact, F.col("customer_state").isNotNull(), _year(year))
-    return sales_rollup(lines, ["customer_state"], _sums("revenue")).select(
+    return _rollup(fact, _columns("customer_state"), ["revenue"], year, known="customer_state").select(
         F.col("customer_state").alias("state"), money(F.col("revenue")).alias("revenue"), "customers", "orders",
     ).orderBy(F.desc_nulls_last("revenue"), "state")
 
@@ -120,32 +119,26 @@ def geo_sales(fact: DataFrame, year: int | None = None) -> DataFrame:
 # --- sales ----------------------------------------------------------------------------------------
 
 
-def time_series(fact: DataFrame, grain: str = "day", year: int | None = None,
+def time_series(fact: Sales, grain: str = "day", year: int | None = None,
                 segments: Iterable[str] | None = BOTH_SEGMENTS) -> DataFrame:
     """Completed sales per day, week or month."""
     column = GRAINS[_pick(grain, GRAINS)]
-    lines = _done(fact, _year(year), _segments(segments or BOTH_SEGMENTS))
-    return sales_rollup(lines, [column], _sums("revenue", "profit", "units")).select(
+    return _rollup(fact, _columns(column), ["revenue", "profit", "units"], year, segments or BOTH_SEGMENTS).select(
         F.col(column).alias("period"),
         money(F.col("revenue")).alias("revenue"), money(F.col("profit")).alias("profit"),
         "orders", "customers", "units", mean(F.col("revenue"), F.col("orders")).alias("aov"),
     ).orderBy("period")
 
 
-def order_status(fact: DataFrame, year: int | None = None, segments: Iterable[str] | None = BOTH_SEGMENTS) -> DataFrame:
+def order_status(fact: Sales, year: int | None = None, segments: Iterable[str] | None = BOTH_SEGMENTS) -> DataFrame:
     """Orders and revenue per status, all statuses."""
-    lines = fact.filter(_where(_year(year), _segments(segments or BOTH_SEGMENTS)))
-    return sales_rollup(lines, ["order_status"], _sums("revenue"), customers=None).select(
-        "order_status", "orders", money(F.col("revenue")).alias("revenue"),
-    ).orderBy(F.desc("orders"), "order_status")
+    totals = _rollup(fact, _columns("order_status"), ["revenue"], year, segments or BOTH_SEGMENTS, completed=False, customers=None)
+    return totals.select("order_status", "orders", money(F.col("revenue")).alias("revenue")).orderBy(F.desc("orders"), "order_status")
 
 
-def shipping(fact: DataFrame, year: int | None = None) -> DataFrame:
+def shipping(fact: Sales, year: int | None = None) -> DataFrame:
     """Orders, revenue and mean days to ship per method. The mean is over order lines."""
-    lines = _done(fact, F.col("days_to_ship").isNotNull(), _year(year))
-    per_method = sales_rollup(
-        lines, ["shipping_method"],
-        {**_sums("revenue"), "days": F.col("days_to_ship").cast("long"), "lines": F.lit(1).cast("long")}, customers=None)
+    per_method = _rollup(fact, _columns("shipping_method"), ["revenue", "days", "lines"], year, known="days_to_ship", customers=None)
     return per_method.select(
         "shipping_method", "orders",
         mean(F.col("days").cast("decimal(20,0)"), F.col("lines"), 1).alias("avg_days_to_ship"),
@@ -153,11 +146,10 @@ def shipping(fact: DataFrame, year: int | None = None) -> DataFrame:
     ).orderBy(F.desc("orders"), "shipping_method")
 
 
-def weekday_revenue(fact: DataFrame, year: int | None = None) -> DataFrame:
+def weekday_revenue(fact: Sales, year: int | None = None) -> DataFrame:
     """Completed orders and revenue per day of the week, Sunday = 0."""
-    lines = _done(fact, _year(year)).withColumns({
-        "dow": D.day_number(F.col("order_date")), "day_name": F.date_format("order_date", "EEE")})
-    return sales_rollup(lines, ["dow", "day_name"], _sums("revenue"), customers=None).select(
+    day = {"dow": D.day_number(F.col("order_date")), "day_name": F.date_format("order_date", "EEE")}
+    return _rollup(fact, day, ["revenue"], year, customers=None).select(
         "dow", "day_name", "orders", money(F.col("revenue")).alias("revenue"),
     ).orderBy("dow")
 
@@ -178,7 +170,7 @@ def series_summary(series: DataFrame) -> DataFrame:
 
 def rfm_segments(customers: DataFrame, segments: Iterable[str] | None = BOTH_SEGMENTS, min_orders: int = 1) -> DataFrame:
     """Customers and their value per RFM segment, tier and B2B/B2C."""
-    chosen = customers.filter(_where(_segments(segments or BOTH_SEGMENTS), F.col("completed_orders") >= min_orders))
+    chosen = customers.filter(all_of([_segments(segments or BOTH_SEGMENTS), F.col("completed_orders") >= min_orders]))
     return chosen.groupBy("rfm_segment", "customer_tier", "customer_segment").agg(
         F.count("customer_id").alias("customer_count"),
         mean_of(F.col("lifetime_value")).alias("avg_ltv"),
@@ -248,8 +240,8 @@ def at_risk(summary: DataFrame) -> DataFrame:
 
 
 def _sold(products: DataFrame, category: str | None = None) -> DataFrame:
-    return products.filter(_where(
-        F.col("units_sold") > 0, None if category is None else F.col("category") == category))
+    return products.filter(all_of([
+        F.col("units_sold") > 0, None if category is None else F.col("category") == category]))
 
 
 def top_products(products: DataFrame, n: int = 20, rank_by: str = "gross_revenue", category: str | None = None) -> DataFrame:

@@ -18,6 +18,9 @@ from tallyhouse.sources import files
 
 
 BUCKET_LIST = "_buckets.json"
+# Layers whose tables are plain folders: appended to, or replaced partition by partition.
+SUMMARIES = "summaries"
+PLAIN = ("bronze", SUMMARIES)
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
@@ -51,7 +54,7 @@ def bucket_list(spark: SparkSession, version: str) -> dict | None:
 
 @dataclass(frozen=True)
 class Lake:
-    """Three layers under one root folder."""
+    """The layers under one root folder."""
 
     spark: SparkSession
     root: str
@@ -61,13 +64,13 @@ class Lake:
 
     def has(self, layer: str, table: str) -> bool:
         path = self.path(layer, table)
-        if layer == "bronze":
+        if layer in PLAIN:
             return any(not n.startswith(("_", ".")) for n in files.child_names(self.spark, path))
         return current_version(self.spark, path) is not None
 
     def read(self, layer: str, table: str) -> DataFrame:
         path = self.path(layer, table)
-        if layer != "bronze":
+        if layer not in PLAIN:
             version = current_version(self.spark, path)
             if version is None:
                 raise FileNotFoundError(f"{layer}.{table} has no committed version under {path}")
