@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from checks.sql import query, total
 from tallyhouse.functions import dates as D
 from tallyhouse.operators import keys, publish, ranking
 from tallyhouse.operators.ranking import Scale
-from tallyhouse.plans import bronze, marketing, quality, reports, runs, silver
+from tallyhouse.plans import bronze, marketing, quality, refresh, reports, runs, silver
 from tallyhouse.schemas import ENTITIES
 
 QUERIES: dict = {}
@@ -138,6 +140,44 @@ def _gold(s, f) -> DataFrame:
 
 add("pipe4_gold_run", _gold, query(S.CUSTOMERS + [S.DATES, S.FACT], "SELECT * FROM fact"))
 
+
+
+def _refreshed(s, f) -> DataFrame:
+    """A gold run, then changed silver rows: late orders, two segments, costs of some products, lines; the refreshed fact."""
+    lake, r = new_lake(s), Retail(s, f).silver
+    then, now = (F.lit(f"2002-01-0{d} 00:00:00").cast("timestamp") for d in (1, 2))
+
+    def put(table: str, rows: DataFrame, where=F.lit(False), **columns) -> None:
+        new = {n: F.when(where, F.lit(v) if isinstance(v, str) else v).otherwise(F.col(n)).cast(rows.schema[n].dataType).alias(n) for n, v in columns.items()}
+        publish.rebuild(lake, "silver", table, rows.withColumns({**new, "_updated_at": F.when(where, now).otherwise(then)}))
+
+    for table in ("customers", "products", "orders", "order_items"):
+        put(table, getattr(r, table))
+    refresh.refresh_gold(lake, START, END, AS_OF)
+    put("customers", r.customers, F.col("customer_id").isin("CUST-000000007", "CUST-000000011"), customer_segment="B2X")
+    put("products", r.products, F.col("product_id").isin("PROD-000000005", "PROD-000000009"), cost_price=F.col("selling_price"))
+    put("orders", r.orders, F.col("order_date").between("1997-03-01", "1997-03-10"), order_date=F.lit("1998-01-15").cast("date"))
+    put("order_items", r.order_items, F.col("order_id").isin("ORD-000000001", "ORD-000000033"), quantity=F.lit(2))
+    refresh.refresh_gold(lake, START, END, AS_OF)
+    return lake.read("gold", "fact_orders")
+
+
+_CHANGED = """
+ord1 AS (SELECT * REPLACE (CASE WHEN order_date BETWEEN DATE '1997-03-01' AND DATE '1997-03-10' THEN DATE '1998-01-15' ELSE order_date END AS order_date) FROM ord),
+cust1 AS (SELECT * REPLACE (CASE WHEN customer_id IN ('CUST-000000007', 'CUST-000000011') THEN 'B2X' ELSE customer_segment END AS customer_segment) FROM cust),
+prod1 AS (SELECT * REPLACE (CASE WHEN product_id IN ('PROD-000000005', 'PROD-000000009') THEN selling_price ELSE cost_price END AS cost_price) FROM prod),
+item1 AS (SELECT * REPLACE (CASE WHEN order_id IN ('ORD-000000001', 'ORD-000000033') THEN CAST(2 AS INT) ELSE quantity END AS quantity) FROM item)"""
+
+
+def _with_changes() -> str:
+    """The fact's SQL over the changed relations in place of the silver ones."""
+    base, *models = S.CUSTOMERS + [S.DATES, S.FACT]
+    models = [re.sub(r"(FROM|JOIN) (ord|cust|prod|item)\b", r"\1 \g<2>1", m) for m in models]
+    return query([base, _CHANGED, *models], "SELECT * FROM fact")
+
+
+add("pipe4_refresh_gold", _refreshed, _with_changes())
+
 # --- rankings and aggregates over whole tables -----------------------------------------------------
 
 

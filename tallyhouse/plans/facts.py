@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_DAY_COLUMNS = ("date_id", "year", "quarter", "quarter_label", "month", "month_name", "week_of_year", "is_weekend")
-_CUSTOMER_COLUMNS = ("customer_segment", "state", "rfm_segment", "customer_tier")
+DAY_COLUMNS = ("date_id", "year", "quarter", "quarter_label", "month", "month_name", "week_of_year", "is_weekend")
+CUSTOMER_COLUMNS = ("customer_segment", "state", "rfm_segment", "customer_tier")
+PRODUCT_COLUMNS = ("category", "subcategory", "brand", "cost_price", "margin_pct")
+ITEM_COLUMNS = ("item_id", "order_id", "product_id", "quantity", "unit_price", "discount_pct", "line_total")
 
 
 def fact_orders(items: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
@@ -16,11 +18,11 @@ def fact_orders(items: DataFrame, orders: DataFrame, products: DataFrame, custom
     and the product join touch the lines. Spark picks broadcast or shuffle for each from the measured
     sizes. ``customers`` may be the staging view, when the segment and tier columns are not needed.
     """
-    of_customer = [c for c in _CUSTOMER_COLUMNS if c in customers.columns]
+    of_customer = [c for c in CUSTOMER_COLUMNS if c in customers.columns]
     headers = (
         orders.drop("ship_date", "total_amount", "updated_at")
         .join(customers.select("customer_id", *of_customer), "customer_id", "left")
-        .join(dates.select(F.col("date").alias("order_date"), *_DAY_COLUMNS), "order_date", "left")
+        .join(dates.select(F.col("date").alias("order_date"), *DAY_COLUMNS), "order_date", "left")
         .withColumnRenamed("state", "customer_state")
     )
     about = products.select("product_id", "category", "subcategory", "brand",

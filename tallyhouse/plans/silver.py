@@ -112,6 +112,13 @@ def oversize_values(rows: DataFrame, entity: str) -> DataFrame:
     return rows.select(F.lit(entity).alias("table"), F.col(key).alias("key"), F.inline(each))
 
 
+def new_rejects(lake: Lake, found: DataFrame) -> DataFrame:
+    """The rejected values that no earlier run stored: a row that waits for a parent is looked at by every run."""
+    if not lake.has("bronze", REJECTED):
+        return found
+    return found.join(lake.read("bronze", REJECTED).select(*found.columns), found.columns, "left_anti")
+
+
 # Parents come before the tables that refer to them.
 STEPS = (
     ("customers", clean_customers, ()),
@@ -175,7 +182,7 @@ def run_silver(lake: Lake, full: bool = False) -> DataFrame:
             if before != after:
                 log.warning("[%s] dropped %d invalid or orphan rows", table, before - after)
             if table in MEASURES:
-                oversize, rejected = counted_rows(oversize_values(rows, table).withColumn("run_id", F.lit(run)), f"{table}_rejected_{run}")
+                oversize, rejected = counted_rows(new_rejects(lake, oversize_values(rows, table)).withColumn("run_id", F.lit(run)), f"{table}_rejected_{run}")
                 append(lake, REJECTED, oversize)
                 if rows_of(rejected):
                     log.warning("[%s] rejected %d numbers that do not fit", table, rows_of(rejected))
