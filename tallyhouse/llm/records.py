@@ -94,7 +94,7 @@ class Encoder(dict):
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, f"<u{self.width}")
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
 
     def learn(self, texts: list[list[str]]) -> None:
         """Encodes the words of letters among the parts that are not known yet, many in one call.
