@@ -105,6 +105,57 @@ add("ext11_anova_f", lambda s, f: _rounded(analysis.anova_f(Retail(s, f).orders,
 FROM (SELECT count(*) AS k, sum(c) AS n, sum(c * power(m - g, 2)) AS between_, sum((c - 1) * s) AS within_
  FROM (SELECT count(*) AS c, avg(CAST(total_amount AS DOUBLE)) AS m, var_samp(CAST(total_amount AS DOUBLE)) AS s,
    (SELECT avg(CAST(total_amount AS DOUBLE)) FROM s_ord) AS g FROM s_ord GROUP BY shipping_method))"""))
+def _tail(a: str, b: str, x: str, source: str, columns: str) -> str:
+    """SQL of the incomplete beta function by its continued fraction, step by step; a branch for each side."""
+    return f"""
+src AS ({source}),
+arg AS (SELECT *, CAST({a} AS DOUBLE) AS a0, CAST({b} AS DOUBLE) AS b0, CAST({x} AS DOUBLE) AS x0 FROM src),
+side AS (SELECT *, x0 >= (a0 + 1) / (a0 + b0 + 2) AS other FROM arg),
+par AS (SELECT *, CASE WHEN other THEN b0 ELSE a0 END AS pa, CASE WHEN other THEN a0 ELSE b0 END AS pb, CASE WHEN other THEN 1 - x0 ELSE x0 END AS px FROM side),
+steps AS (
+ SELECT 0 AS m, pa, pb, px, CAST(1 AS DOUBLE) AS c, 1 / (1 - (pa + pb) * px / (pa + 1)) AS d, 1 / (1 - (pa + pb) * px / (pa + 1)) AS h FROM par
+ UNION ALL SELECT m + 1, pa, pb, px, 1 + odd / c1, 1 / (1 + odd * d1), h * c1 * d1 * (1 + odd / c1) / (1 + odd * d1) FROM (
+  SELECT *, 1 + even / c AS c1, 1 / (1 + even * d) AS d1, -(pa + k) * (pa + pb + k) * px / ((pa + 2 * k) * (pa + 2 * k + 1)) AS odd FROM (
+   SELECT *, CAST(m + 1 AS DOUBLE) AS k, (m + 1) * (pb - m - 1) * px / ((pa + 2 * m + 1) * (pa + 2 * m + 2)) AS even FROM steps WHERE m < 600))),
+done AS (SELECT h FROM steps WHERE m = 600)
+SELECT {columns}, round(CASE WHEN other THEN 1 - g ELSE g END, 9) AS p_value
+FROM (SELECT *, exp(pa * ln(px) + pb * ln(1 - px) - lgamma(pa) - lgamma(pb) + lgamma(pa + pb)) * h / pa AS g FROM par, done)"""
+
+
+_WELCH = """SELECT (m1 - m2) / sqrt(e1 + e2) AS t, power(e1 + e2, 2) / (e1 * e1 / (n1 - 1) + e2 * e2 / (n2 - 1)) AS df
+FROM (SELECT avg(v) FILTER (WHERE b) AS m1, avg(v) FILTER (WHERE NOT b) AS m2, count(*) FILTER (WHERE b) AS n1, count(*) FILTER (WHERE NOT b) AS n2,
+  var_samp(v) FILTER (WHERE b) / count(*) FILTER (WHERE b) AS e1, var_samp(v) FILTER (WHERE NOT b) / count(*) FILTER (WHERE NOT b) AS e2
+ FROM (SELECT CAST(lifetime_value AS DOUBLE) AS v, customer_segment = 'B2B' AS b FROM dimc))"""
+_ANOVA = """SELECT (between_ / (k - 1)) / (within_ / (n - k)) AS f, k - 1 AS df_between, CAST(n - k AS BIGINT) AS df_within
+FROM (SELECT count(*) AS k, sum(c) AS n, sum(c * power(m - g, 2)) AS between_, sum((c - 1) * s) AS within_
+ FROM (SELECT count(*) AS c, avg(CAST(total_amount AS DOUBLE)) AS m, var_samp(CAST(total_amount AS DOUBLE)) AS s,
+   (SELECT avg(CAST(total_amount AS DOUBLE)) FROM s_ord) AS g FROM s_ord GROUP BY shipping_method))"""
+
+
+def _with_tail(parts: list[str], a: str, b: str, x: str, statistic: str, columns: str) -> str:
+    return query(parts, "").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + "," + _tail(a, b, x, statistic, columns)
+
+
+add("ext11_welch_p", lambda s, f: _rounded(_rounded(analysis.welch_test(Retail(s, f).dim_customers, "customer_segment", "B2B", "B2C", "lifetime_value"), "t", "df", digits=4), "p_value", digits=9),
+    _with_tail(S.CUSTOMERS, "df / 2", "0.5", "df / (df + t * t)", _WELCH, "round(t, 4) AS t, round(df, 4) AS df"))
+add("ext11_anova_p", lambda s, f: _rounded(_rounded(analysis.anova_test(Retail(s, f).orders, "shipping_method", "total_amount"), "f", digits=4), "p_value", digits=9),
+    _with_tail(S.STAGED, "df_within / 2", "df_between / 2", "df_within / (df_within + df_between * f)", _ANOVA, "round(f, 4) AS f, df_between, df_within"))
+
+
+def _with_gaps(s, f):
+    """Days of the daily sales without every fifth day and one month."""
+    day = F.col("order_date")
+    return _daily(s, f).filter((F.dayofmonth(day) % 5 != 0) & (F.date_format(day, "yyyy-MM") != "1996-05"))
+
+
+def _mean_days(n: int) -> str:
+    return quotient(f"(SELECT sum({cents('g.gross_revenue')}) FROM gaps g WHERE g.order_date BETWEEN x.order_date - {n - 1} AND x.order_date)",
+                    f"least({n}, x.order_date - (SELECT min(order_date) FROM gaps) + 1) * 100", 2) + f" AS mean_{n}_days"
+
+
+add("ext7_calendar_means", lambda s, f: analysis.calendar_means(_with_gaps(s, f)), query(_DAYS + ["""
+gaps AS (SELECT * FROM daily WHERE day(order_date) % 5 <> 0 AND strftime(order_date, '%Y-%m') <> '1996-05')"""], f"""
+SELECT order_date, gross_revenue, {_mean_days(7)}, {_mean_days(30)} FROM gaps x"""))
 add("ext12_predicted_value", lambda s, f: analysis.predicted_value(Retail(s, f).ltv), query(S.CUSTOMERS + [S.LTV], """
 SELECT customer_id, churn_status, CAST(CASE WHEN churn_status IN ('Churned', 'Never Purchased') THEN 0 ELSE round(projected_annual_value * 2, 2) END AS DECIMAL(18,2)) AS predicted_value FROM ltv"""))
 

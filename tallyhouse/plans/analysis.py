@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import dates as D
 from tallyhouse.functions.numbers import counted, money, ratio
+from tallyhouse.functions.stats import p_of_f, p_of_t
 from tallyhouse.operators import scratch
 from tallyhouse.operators.order_stats import exact_quantiles, with_rank
 from tallyhouse.operators.ranking import Scale, global_running_sum, ntile_columns
@@ -38,6 +39,22 @@ def to_date_totals(daily: DataFrame) -> DataFrame:
         mean_over(7).alias("revenue_7d_avg"), mean_over(30).alias("revenue_30d_avg"))
 
 
+def calendar_means(daily: DataFrame, spans: Sequence[int] = (7, 30)) -> DataFrame:
+    """Mean revenue a calendar day over the last days, whether they have a row or not.
+
+    A day without a row counts as 0; before a whole span has passed the mean is over the days since the first row.
+    """
+    day = F.unix_date("order_date")
+    whole = Window.orderBy("order_date").rowsBetween(Window.unboundedPreceding, 0)
+
+    def mean_over(days: int) -> Column:
+        total = F.sum("gross_revenue").over(Window.orderBy(day).rangeBetween(1 - days, 0))
+        passed = F.least(F.lit(days), day - F.min(day).over(whole) + 1)
+        return ratio(F.coalesce(total, F.lit(0)), counted(passed)).cast(MONEY)
+
+    return daily.select("order_date", "gross_revenue", *[mean_over(n).alias(f"mean_{n}_days") for n in spans])
+
+
 def month_growth(daily: DataFrame) -> DataFrame:
     """Revenue per month beside the previous month and the same month a year before.
 
@@ -205,6 +222,16 @@ def anova_f(df: DataFrame, group: str, value: str) -> DataFrame:
     return s.select((F.col("between") / low / (F.col("within") / high)).alias("f"), low.alias("df_between"), high.alias("df_within"))
 
 
+def welch_test(df: DataFrame, group: str, first: str, second: str, value: str) -> DataFrame:
+    """``welch_t`` with the two-sided p-value; NULL where a group has fewer than two rows."""
+    return welch_t(df, group, first, second, value).withColumn("p_value", p_of_t(F.col("t"), F.col("df")))
+
+
+def anova_test(df: DataFrame, group: str, value: str) -> DataFrame:
+    """``anova_f`` with the p-value."""
+    return anova_f(df, group, value).withColumn("p_value", p_of_f(F.col("f"), F.col("df_between"), F.col("df_within")))
+
+
 # --- row quality -------------------------------------------------------------------------------------
 
 
