@@ -27,6 +27,7 @@ damaged file raises ValueError with its name and the offset.
 from __future__ import annotations
 
 import math
+import os
 import re
 import struct
 import zlib
@@ -85,6 +86,8 @@ class Encoder(dict):
     """Ids, as bytes, of the parts of texts between spaces; the library encodes a part when it is first met."""
 
     def __init__(self, tokenizer: str):
+        # Tasks run side by side already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(tokenizer)
@@ -97,15 +100,18 @@ class Encoder(dict):
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
 
     def learn(self, texts: list[list[str]]) -> None:
-        """Encodes the words of letters among the parts that are not known yet, many in one call.
+        """Encodes the parts that are not known yet, many in one call; words of letters as one text.
 
-        Each of them should end in one token that ends a word; where one doesn't, they are left to be met one by one.
+        Each word should end in one token that ends a word; where one doesn't, they are left to be met one by one.
         """
         new = [part for part in set().union(*texts) if len(part) <= LONGEST and part not in self]
-        words = {_bare(w[1]) for part in new if (w := _LETTERS.fullmatch(part))}
+        matched = [_LETTERS.fullmatch(part) for part in new]
+        words = {_bare(w[1]) for w in matched if w}
         words = sorted(w for w in words if w not in self)
-        if len(self) + len(words) > MEMO:
+        others = [part for part, w in zip(new, matched, strict=True) if not w]
+        if len(self) + len(words) + len(others) > MEMO:
             self.clear()
+        self.update(zip(others, (np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(others, add_special_tokens=False)), strict=True))
         for i in range(0, len(words), TOGETHER):
             some = words[i : i + TOGETHER]
             ids = self.ids(" ".join(some))
