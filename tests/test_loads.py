@@ -339,3 +339,12 @@ def test_numbers_that_do_not_fit_are_rejected(spark, lake, folder):
         ("products", "P5", "selling_price", "123456789.50"), ("products", "P6", "stock_quantity", "99999999999"),
         ("orders", "O7", "total_amount", "99999999999.00"), ("order_items", "I6", "quantity", "99999999999"),
         ("order_items", "I7", "line_total", "2000000000 x 99999999")}
+
+
+def test_rejected_values_are_stored_once(spark, lake, folder):
+    """Runs without new files look at the dropped rows again, and store nothing."""
+    (folder / "products.csv").write_text(FILES["products"] + "P9,Big,home,,Foo,1,99999999999,5,S9\n")
+    bronze.run_bronze(lake, str(folder))
+    for _ in range(3):
+        silver.run_silver(lake)
+    assert [(r.table, r.key, r.column) for r in lake.read("bronze", silver.REJECTED).collect()] == [("products", "P9", "selling_price")]
