@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.buckets import sweep, upsert_buckets
-from tallyhouse.sources.tables import Lake, drop_old_versions, next_version
+from tallyhouse.schemas import ENTITIES
+from tallyhouse.sources.tables import LOAD, Lake, drop_old_versions, next_version
+
+# Tables whose every append is a load in a folder of its own, so that what is new can be read alone.
+BY_LOAD = frozenset(e.bronze_table for e in ENTITIES.values())
 
 
 def counted_rows(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
@@ -21,7 +28,11 @@ def rows_of(seen: Observation, counter: str = "rows") -> int:
 
 
 def append(lake: Lake, table: str, df: DataFrame) -> None:
-    df.write.mode("append").parquet(lake.path("bronze", table))
+    """Add rows to a bronze table; to one of raw rows as a load, whose id sorts by time."""
+    path = lake.path("bronze", table)
+    if table in BY_LOAD:
+        path = f"{path}/{LOAD}={dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("append").parquet(path)
 
 
 def rebuild(lake: Lake, layer: str, table: str, df: DataFrame, partition_by: str | None = None,

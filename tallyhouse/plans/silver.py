@@ -5,24 +5,26 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import parse, text
 from tallyhouse.operators import scratch
-from tallyhouse.operators.keys import latest_per_key, with_parent
-from tallyhouse.operators.publish import append, counted_rows, rows_of, upsert
+from tallyhouse.operators.keys import latest_per_key, with_parent, without_known
+from tallyhouse.operators.publish import append, counted_rows, rebuild, rows_of, upsert
 from tallyhouse.plans import generated
 from tallyhouse.schemas import AMOUNT, CUSTOMER_KEY_PREFIX, ENTITIES, PRICE, conform
-from tallyhouse.sources.tables import Lake
+from tallyhouse.sources.tables import LOAD, Lake, current_version
 
 log = logging.getLogger(__name__)
 
 
 def last_written(bronze: DataFrame, entity: str) -> DataFrame:
-    """The last ingested row per key; within one load the last one in the file."""
-    return latest_per_key(bronze, ENTITIES[entity].key, F.desc("_ingested_at"), F.desc("_row_id"))
+    """The last ingested row per key; within one load the last one in the file. The later load decides between equal places."""
+    ties = [F.desc(LOAD)] if LOAD in bronze.columns else []
+    return latest_per_key(bronze, ENTITIES[entity].key, F.desc("_ingested_at"), F.desc("_row_id"), *ties)
 
 
 def clean_customers(rows: DataFrame) -> DataFrame:
@@ -59,8 +61,8 @@ def clean_products(rows: DataFrame) -> DataFrame:
     }), "products")
 
 
-def clean_orders(rows: DataFrame, customers: DataFrame) -> DataFrame:
-    """``customers`` is the silver table: orders of unknown customers are dropped."""
+def clean_orders(rows: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """``customers`` is the silver table: orders of unknown customers are dropped. Without it no parent is asked for."""
     c = F.col
     typed = rows.withColumns({
         "order_date": parse.clean_date(c("order_date")),
@@ -69,21 +71,24 @@ def clean_orders(rows: DataFrame, customers: DataFrame) -> DataFrame:
         "order_status": parse.standardize_status(c("order_status")),
     })
     valid = typed.dropna(subset=["order_id", "customer_id", "order_date"]).filter(c("total_amount") >= 0)
-    return conform(with_parent(valid, customers, "customer_id").withColumns({
+    known = valid if customers is None else with_parent(valid, customers, "customer_id")
+    return conform(known.withColumns({
         "days_to_ship": generated.days_to_ship(c("order_date"), c("ship_date")),
         "_updated_at": F.current_timestamp(),
     }), "orders")
 
 
-def clean_order_items(rows: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """``orders`` and ``products`` are silver tables: lines without either parent are dropped."""
+def clean_order_items(rows: DataFrame, orders: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
+    """``orders`` and ``products`` are silver tables: lines without either parent are dropped. A parent left out is not asked for."""
     c = F.col
     typed = rows.withColumns({
         "quantity": parse.clean_quantity(c("quantity")),
         "unit_price": parse.clean_money(c("unit_price"), PRICE),
         "discount_pct": parse.clean_percent(c("discount_pct")),
     }).dropna(subset=["quantity", "unit_price"])
-    return conform(with_parent(with_parent(typed, products, "product_id"), orders, "order_id").withColumns({
+    known = typed if products is None else with_parent(typed, products, "product_id")
+    known = known if orders is None else with_parent(known, orders, "order_id")
+    return conform(known.withColumns({
         "line_total": generated.line_total(c("quantity"), c("unit_price"), c("discount_pct")),
         "_updated_at": F.current_timestamp(),
     }).dropna(subset=["line_total"]), "order_items")
@@ -128,65 +133,119 @@ STEPS = (
 )
 
 
-MARKS = "silver_marks"
+# Loads that silver has taken in (a row each), with the latest stamp in them and the parents' versions of that run.
+MARKS = "silver_loads"
+_MARKS = "table string, load string, mark timestamp, parents string, at timestamp"
+# Layer of the bronze rows that are valid but lack a parent.
+WAITING = "waiting_rows"
 
 
-# The bronze row that each silver row was built from: key and place in the order of ``last_written``.
-BUILT = "built"
-PLACE = ("_ingested_at", "_row_id")
+def _place() -> Column:
+    """Place of a bronze row in the order of ``last_written``; a missing stamp comes first."""
+    return F.struct(F.col("_ingested_at").alias("stamp"), F.col("_row_id").alias("row"))
 
 
-def pending_rows(lake: Lake, table: str, full: bool = False) -> tuple[DataFrame, dt.datetime | None]:
-    """The last bronze rows of the keys that silver has to look at, and the mark up to which they go.
+def orphan_rows(rows: DataFrame, valid: DataFrame, cleaned: DataFrame, entity: str, parents: Sequence[str]) -> DataFrame:
+    """The rows that only a parent keeps out of silver: ``valid`` holds what the rules let through, ``cleaned`` what got in.
 
-    These are the keys whose last row is not the one that silver was built from: new and changed ones whenever
-    they were stamped, and those whose row was dropped, as it may have waited for a parent. Rows from the moment
-    of the last mark on are always among them, since others may have come with the same stamp. ``full``: all keys.
+    Rows that break a rule or hold a number that does not fit can never get in, nor can those whose reference is missing.
+    """
+    key = ENTITIES[entity].key
+    lacking = without_known(valid.dropna(subset=[ENTITIES[p].key for p in parents]), cleaned, key)
+    return rows.join(lacking.select(key), key, "left_semi").select(*rows.columns)
+
+
+def new_rows(lake: Lake, table: str, taken: Sequence[str], new: Sequence[str], mark: dt.datetime | None) -> tuple[DataFrame, dt.datetime | None]:
+    """The last row per key of the new loads, less those that an older load outdoes, and the latest stamp so far.
+
+    Only new loads are read where all their stamps lie after the mark. Rows without a stamp, or stamped before the mark
+    though appended after it, are held against key and place of the older loads' rows of the same keys.
     """
     entity = ENTITIES[table]
-    rows = lake.read("bronze", entity.bronze_table)
-    mark = rows.agg(F.max("_ingested_at")).first()[0]
-    marks = lake.read("bronze", MARKS).filter(F.col("table") == table) if lake.has("bronze", MARKS) else None
-    last = marks.agg(F.max("mark")).first()[0] if marks is not None else None
+    rows = lake.read_loads(entity.bronze_table, new)
+    first, last, unstamped = rows.agg(F.min("_ingested_at"), F.max("_ingested_at"), F.count_if(F.col("_ingested_at").isNull())).first()
     newest = last_written(rows, table)
-    if full or not lake.has("silver", table) or not lake.has(BUILT, table):
-        return newest, mark
-    built = lake.read(BUILT, table).select(*[F.col(c).alias(f"_built_{c}") for c in (entity.key, *PLACE)], F.lit(True).alias("_built"))
-    same = [F.col(c).eqNullSafe(F.col(f"_built_{c}")) for c in (entity.key, *PLACE)]
-    joined = newest.join(built, same[0], "left")
-    done = F.col("_built").isNotNull() & same[1] & same[2]
-    at_mark = F.coalesce(F.col("_ingested_at") >= F.lit(last), F.lit(False))
-    return joined.filter(~done | at_mark).select(*newest.columns), mark
+    if taken and (unstamped or (first is not None and (mark is None or first <= mark))):
+        older = lake.read_loads(entity.bronze_table, taken).select(entity.key, "_ingested_at", "_row_id")
+        places = with_parent(older, newest, entity.key).groupBy(entity.key).agg(F.max(_place()).alias("_older"))
+        placed = newest.join(places, entity.key, "left").filter(F.col("_older").isNull() | (_place() >= F.col("_older")))
+        newest = placed.select(*newest.columns)
+    return newest, max((m for m in (mark, last) if m is not None), default=None)
+
+
+def pending_rows(lake: Lake, table: str, parents: Sequence[str], full: bool = False) -> tuple[DataFrame | None, list[tuple]]:
+    """The bronze rows that silver has to look at, one per key, and the marks to store once it has; no rows if nothing is new.
+
+    These are the rows of loads that silver has not taken in, and the waiting rows, which a newer row of their key replaces.
+    Waiting rows alone are tried again only if a parent table has a new version. ``full``: the rows of all loads.
+    """
+    entity = ENTITIES[table]
+    loads = lake.loads(entity.bronze_table)
+    if not loads:
+        raise FileNotFoundError(f"bronze.{entity.bronze_table} has no finished load")
+    marks = lake.read("bronze", MARKS).filter(F.col("table") == table) if lake.has("bronze", MARKS) and lake.has("silver", table) else None
+    known = [] if full or marks is None else marks.collect()  # one row a load
+    taken = {m["load"] for m in known} - {None}
+    stamps = [m["mark"] for m in known if m["mark"] is not None]
+    mark = max(stamps, default=None)
+    new = [n for n in loads if n not in taken]
+    versions = "|".join(str(current_version(lake.spark, lake.path("silver", p))) for p in parents)
+    tried = max(known, key=lambda m: m["at"])["parents"] if known else None
+    waiting = lake.read(WAITING, table) if parents and not full and lake.has(WAITING, table) else None
+    now = dt.datetime.now()
+    if not new:
+        if waiting is None or tried == versions:
+            return None, []
+        return waiting, [(table, None, mark, versions, now)]
+    rows, mark = new_rows(lake, table, [n for n in loads if n in taken], new, mark)
+    if waiting is not None:
+        rows = last_written(rows.unionByName(waiting), table)
+    return rows, [(table, n, mark, versions, now) for n in new]
 
 
 def run_silver(lake: Lake, full: bool = False) -> DataFrame:
     """Clean and upsert what is new in the four tables; the first failure stops the run.
 
-    ``full`` cleans all bronze rows again, as after a change of the rules. Returns one row per table with the numbers of candidate, written and dropped rows. Numbers that do
-    not fit their column are appended to the table of rejected values, with the id of the run.
+    ``full`` cleans all bronze rows again, as after a change of the rules. Returns one row per table with the numbers of
+    candidate, written and dropped rows; dropped ones that only lack a parent wait for it. Numbers that do not fit their
+    column are appended to the table of rejected values, with the id of the run. A run that failed half-way is repeated with the same loads.
     """
     run = uuid.uuid4().hex
     stats = []
     for table, clean, parents in STEPS:
-        entity = ENTITIES[table]
-        pending, mark = pending_rows(lake, table, full)
         with scratch.scope(lake.spark):
-            # Read for the silver rows and for the rejected values.
-            rows, _ = scratch.store(pending, f"pending-{table}")
-            latest, seen = counted_rows(rows, f"{table}_in_{uuid.uuid4().hex}")
-            cleaned, kept = counted_rows(clean(latest, *[lake.read("silver", p) for p in parents]), f"{table}_out_{uuid.uuid4().hex}")
-            cleaned, _ = scratch.store(cleaned, f"clean-{table}")
-            upsert(lake, "silver", table, cleaned, entity.key)
-            upsert(lake, BUILT, table, rows.select(entity.key, *PLACE).join(cleaned.select(entity.key), entity.key, "left_semi"), entity.key)
-            before, after = rows_of(seen), rows_of(kept)
-            if before != after:
-                log.warning("[%s] dropped %d invalid or orphan rows", table, before - after)
-            if table in MEASURES:
-                oversize, rejected = counted_rows(new_rejects(lake, oversize_values(rows, table)).withColumn("run_id", F.lit(run)), f"{table}_rejected_{run}")
-                append(lake, REJECTED, oversize)
-                if rows_of(rejected):
-                    log.warning("[%s] rejected %d numbers that do not fit", table, rows_of(rejected))
-        if mark is not None:
-            append(lake, MARKS, lake.spark.createDataFrame([(table, mark)], "table string, mark timestamp").coalesce(1))
-        stats.append((table, before, after, before - after))
+            pending, marks = pending_rows(lake, table, parents, full)
+            counts = (0, 0) if pending is None else _take_in(lake, table, clean, parents, pending, run)
+        if marks:
+            append(lake, MARKS, lake.spark.createDataFrame(marks, _MARKS).coalesce(1))
+        stats.append((table, *counts, counts[0] - counts[1]))
     return lake.spark.createDataFrame(stats, "table string, candidates long, written long, dropped long")
+
+
+def _take_in(lake: Lake, table: str, clean, parents: Sequence[str], pending: DataFrame, run: str) -> tuple[int, int]:
+    """Put pending rows into silver, the waiting and the rejected ones aside; returns the numbers of candidates and written rows."""
+    entity = ENTITIES[table]
+    # Read for the silver rows, the waiting rows and the rejected values.
+    pending, seen = counted_rows(pending, f"{table}_in_{run}")
+    rows, _ = scratch.store(pending, f"pending-{table}")
+    if not parents:
+        cleaned, kept = counted_rows(clean(rows), f"{table}_out_{run}")
+    else:
+        valid, _ = scratch.store(clean(rows), f"valid-{table}")
+        known = valid
+        for p in parents:
+            known = with_parent(known, lake.read("silver", p), ENTITIES[p].key)
+        cleaned, kept = counted_rows(known.select(*valid.columns), f"{table}_out_{run}")
+    cleaned, _ = scratch.store(cleaned, f"clean-{table}")
+    upsert(lake, "silver", table, cleaned, entity.key)
+    if parents:
+        rebuild(lake, WAITING, table, orphan_rows(rows, valid, cleaned, table, parents))
+    before, after = rows_of(seen), rows_of(kept)
+    if before != after:
+        log.warning("[%s] %d invalid or orphan rows stay out", table, before - after)
+    if table in MEASURES:
+        oversize, rejected = counted_rows(new_rejects(lake, oversize_values(rows, table)).withColumn("run_id", F.lit(run)), f"{table}_rejected_{run}")
+        append(lake, REJECTED, oversize)
+        if rows_of(rejected):
+            log.warning("[%s] rejected %d numbers that do not fit", table, rows_of(rejected))
+    return before, after

@@ -10,6 +10,7 @@ lie, many of them written for earlier versions.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ BUCKET_LIST = "_buckets.json"
 # Layers whose tables are plain folders: appended to, or replaced partition by partition.
 SUMMARIES = "summaries"
 PLAIN = ("bronze", SUMMARIES)
+# Folder of one load inside a bronze table of raw rows; it reads as a column.
+LOAD = "load_id"
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
@@ -79,3 +82,14 @@ class Lake:
             if listed:
                 return self.spark.read.parquet(*listed["folders"].values())
         return self.spark.read.parquet(path)
+
+    def loads(self, table: str) -> list[str]:
+        """Ids of the finished loads of a bronze table, oldest first. A load that is being written is not among them."""
+        path = self.path("bronze", table)
+        folders = [n for n in files.child_names(self.spark, path) if n.startswith(f"{LOAD}=")]
+        return [n[len(LOAD) + 1:] for n in folders if files.exists(self.spark, f"{path}/{n}/_SUCCESS")]
+
+    def read_loads(self, table: str, loads: Sequence[str]) -> DataFrame:
+        """The rows of some loads; the folders of all others are not even listed."""
+        path = self.path("bronze", table)
+        return self.spark.read.option("basePath", path).parquet(*[f"{path}/{LOAD}={n}" for n in loads])

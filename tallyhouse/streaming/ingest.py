@@ -10,10 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.operators import scratch
 from tallyhouse.operators.changes import compact, current_rows, write_changes
-from tallyhouse.operators.keys import without_known
+from tallyhouse.operators.keys import with_parent
 from tallyhouse.operators.publish import append, upsert
 from tallyhouse.plans.bronze import fresh_rows
-from tallyhouse.plans.silver import last_written
+from tallyhouse.plans.silver import MEASURES, REJECTED, last_written, new_rejects, orphan_rows, oversize_values
 from tallyhouse.schemas import ENTITIES, Entity
 from tallyhouse.sources import files
 from tallyhouse.sources.tables import Lake
@@ -56,9 +56,10 @@ def stream_to_bronze(lake: Lake, entity: Entity, folder: str, checkpoint: str) -
 def stream_to_silver(lake: Lake, entity_name: str, clean: Callable[..., DataFrame], checkpoint: str, parents: Sequence[str] = ()) -> StreamingQuery:
     """Clean arriving bronze rows and write the last one per key as changes of the silver table.
 
-    ``clean`` also gets the current rows of the named silver parents. A row whose parent has not arrived is
-    not lost: the bronze rows of keys that no batch has put into silver yet wait in a table of their own and
-    are tried again with every batch, and by ``load_waiting`` when only parents have arrived. A later row of a waiting key replaces it.
+    ``clean`` cleans without parents; rows whose key is missing in the current rows of a named silver parent are not
+    lost: they wait in a table of their own and are tried again with every batch, and by ``load_waiting`` when only parents
+    have arrived. A later row of a waiting key replaces it. Rows that break a rule do not wait, and numbers that do not fit
+    go to the table of rejected values, as in a batch run.
     """
     entity = ENTITIES[entity_name]
     path = lake.path("bronze", entity.bronze_table)
@@ -85,11 +86,18 @@ def _load_silver(lake: Lake, entity: Entity, clean: Callable[..., DataFrame], pa
         rows = rows.unionByName(lake.spark.read.schema(batch.schema).parquet(f"{lake.path('waiting', entity.name)}/{earlier[-1]}"))
     with scratch.scope(lake.spark):
         rows, _ = scratch.store(last_written(rows, entity.name), f"{entity.name}-batch")
-        known = [current_rows(lake, "silver", p, ENTITIES[p].key) for p in parents]
-        cleaned, _ = scratch.store(clean(rows, *known), f"{entity.name}-clean")
+        valid, _ = scratch.store(clean(rows), f"{entity.name}-valid")
+        cleaned = valid
+        for p in parents:
+            cleaned = with_parent(cleaned, current_rows(lake, "silver", p, ENTITIES[p].key), ENTITIES[p].key).select(*valid.columns)
+        if parents:
+            cleaned, _ = scratch.store(cleaned, f"{entity.name}-clean")
         write_changes(lake, "silver", entity.name, cleaned, batch_id)
+        if entity.name in MEASURES:
+            rejects = new_rejects(lake, oversize_values(rows, entity.name))
+            append(lake, REJECTED, rejects.withColumn("run_id", F.lit(f"batch {batch_id}")))
         if parents:
-            without_known(rows, cleaned, entity.key).write.mode("overwrite").parquet(f"{waiting}{batch_id:012d}")
+            orphan_rows(rows, valid, cleaned, entity.name, parents).write.mode("overwrite").parquet(f"{waiting}{batch_id:012d}")
             for n in earlier[:-1]:
                 files.delete(lake.spark, f"{lake.path('waiting', entity.name)}/{n}")
 

@@ -6,10 +6,12 @@ from decimal import Decimal
 import pytest
 
 from tallyhouse.operators.changes import compact, current_rows
+from tallyhouse.operators.publish import rebuild
 from tallyhouse.plans import bronze, quality, reports, runs, silver
 from tallyhouse.schemas import ENTITIES, SILVER
 from tallyhouse.sources.csv_files import SchemaError, check_columns, scan_csv
 from tallyhouse.sources.sql import run_sql
+from tallyhouse.sources.tables import Lake
 from tallyhouse.streaming import ingest
 
 FILES = {
@@ -348,3 +350,73 @@ def test_rejected_values_are_stored_once(spark, lake, folder):
     for _ in range(3):
         silver.run_silver(lake)
     assert [(r.table, r.key, r.column) for r in lake.read("bronze", silver.REJECTED).collect()] == [("products", "P9", "selling_price")]
+
+
+def test_second_run_reads_new_loads_only(spark, lake, folder, monkeypatch):
+    """Loads in stamp order: bronze files that a run has taken in are not among those the next one reads."""
+    bronze.run_bronze(lake, str(folder))
+    silver.run_silver(lake)
+    before = {e.bronze_table: set(lake.loads(e.bronze_table)) for e in (ENTITIES[t] for t in SILVER)}
+    (folder / "orders.csv").write_text(FILES["orders"] + "O8,CUST-1,2023-03-07,,Express,Done,9,\n")
+    bronze.run_bronze(lake, str(folder))
+    opened = []
+    read_loads = Lake.read_loads
+    monkeypatch.setattr(Lake, "read_loads", lambda self, table, loads: opened.append((table, tuple(loads))) or read_loads(self, table, loads))
+    marks = lake.read("bronze", silver.MARKS).filter("table = 'orders'").agg({"mark": "max"}).first()[0]
+    new = [n for n in lake.loads("raw_orders") if n not in before["raw_orders"]]
+    rows, _ = silver.new_rows(lake, "orders", sorted(before["raw_orders"]), new, marks)
+    files = rows.inputFiles()
+    assert files and all(f"load_id={new[0]}" in f for f in files)
+    assert opened == [("raw_orders", tuple(new))]
+    opened.clear()
+    stats = {r.table: (r.candidates, r.written, r.dropped) for r in silver.run_silver(lake).collect()}
+    assert all(not before[table] & set(loads) for table, loads in opened)
+    # The order of the unknown customer waits and is looked at along with the new one.
+    assert stats["orders"][1] == 1 and "O8" in {r.order_id for r in lake.read("silver", "orders").collect()}
+    opened.clear()
+    silver.run_silver(lake)
+    assert opened == [] and silver.run_silver(lake).agg({"candidates": "sum"}).first()[0] == 0
+
+
+def test_only_orphans_wait(spark, lake, folder):
+    """An order without its customer waits; one with an unusable date or an amount that does not fit does not."""
+    extra = "O7,CUST-1,2023-03-01,,Express,Done,99999999999.00,\nO8,CUST-1,never,,Express,Done,1,\nO9,CUST-99,2023-03-01,,Express,Done,1,\n"
+    (folder / "orders.csv").write_text(FILES["orders"] + extra)
+    bronze.run_bronze(lake, str(folder))
+    silver.run_silver(lake)
+    waiting = {r.order_id for r in lake.read(silver.WAITING, "orders").collect()}
+    assert "O9" in waiting and not waiting & {"O7", "O8"}
+    (folder / "customers.csv").write_text(FILES["customers"] + "CUST-99,new,row,,,,,,,B2C,2023-01-01\n")
+    bronze.run_bronze(lake, str(folder))
+    stats = {r.table: r.written for r in silver.run_silver(lake).collect()}
+    assert stats["orders"] == 1 and "O9" in {r.order_id for r in lake.read("silver", "orders").collect()}
+    assert "O9" not in {r.order_id for r in lake.read(silver.WAITING, "orders").collect()}
+
+
+def test_a_newer_invalid_row_ends_the_wait(spark, lake, folder):
+    (folder / "orders.csv").write_text(FILES["orders"] + "O9,CUST-99,2023-03-01,,Express,Done,1,\n")
+    bronze.run_bronze(lake, str(folder))
+    silver.run_silver(lake)
+    (folder / "orders.csv").write_text(FILES["orders"].splitlines()[0] + "\nO9,CUST-99,never,,Express,Done,1,\n")
+    (folder / "customers.csv").write_text(FILES["customers"] + "CUST-99,new,row,,,,,,,B2C,2023-01-01\n")
+    bronze.run_bronze(lake, str(folder), mode="append_all")
+    silver.run_silver(lake)
+    assert "O9" not in {r.order_id for r in lake.read("silver", "orders").collect()}
+    assert "O9" not in {r.order_id for r in lake.read(silver.WAITING, "orders").collect()}
+
+
+def test_stream_rejects_equal_batch_rejects(spark, lake, folder, tmp_path):
+    """Three batches with an unusable date and an amount that does not fit: nothing of them waits, each is rejected once."""
+    bronze.run_bronze(lake, str(folder), ["customers"])
+    silver_customers = silver.clean_customers(silver.last_written(lake.read("bronze", "raw_customers"), "customers"))
+    rebuild(lake, "silver", "customers", silver_customers)
+    header = FILES["orders"].splitlines()[0]
+    for n in range(3):
+        (folder / "orders.csv").write_text(f"{header}\nW{n},CUST-1,2023-03-01,,Express,Done,99999999999.00,\nD{n},CUST-1,never,,Express,Done,1,\nU{n},CUST-99,2023-03-01,,Express,Done,1,\n")
+        bronze.run_bronze(lake, str(folder), ["orders"])
+        ingest.stream_to_silver(lake, "orders", silver.clean_orders, str(tmp_path / "s"), parents=["customers"]).awaitTermination()
+    streamed = sorted((r.key, r.column, r.value) for r in lake.read("bronze", silver.REJECTED).collect())
+    rows = silver.last_written(lake.read("bronze", "raw_orders"), "orders")
+    assert streamed == sorted((r.key, r.column, r.value) for r in silver.oversize_values(rows, "orders").collect()) and len(streamed) == 3
+    last = spark.read.parquet(lake.path("waiting", "orders")).groupBy("batch").agg({"order_id": "collect_set"}).orderBy("batch").collect()[-1]
+    assert set(last[1]) == {"U0", "U1", "U2"}
