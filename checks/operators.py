@@ -15,6 +15,7 @@ from checks.sql import query, total
 from tallyhouse.functions import dates as D
 from tallyhouse.operators import keys, publish, ranking
 from tallyhouse.operators.ranking import Scale
+from tallyhouse.operators.segments import segmented
 from tallyhouse.plans import bronze, marketing, quality, refresh, reports, runs, silver
 from tallyhouse.schemas import ENTITIES
 
@@ -194,6 +195,13 @@ add("win1_global_ntile", _tiles, query(S.STAGED, """SELECT order_id, CAST(ntile(
 add("win1_global_row_number", lambda s, f: ranking.global_row_number(
     Retail(s, f).orders.select("order_id", "order_date"), [F.col("order_date").desc(), F.col("order_id")]),
     query(S.STAGED, "SELECT order_id, order_date, row_number() OVER (ORDER BY order_date DESC, order_id) AS row_number FROM s_ord"))
+add("win2_segmented_scan", lambda s, f: segmented(
+    Retail(s, f).silver.raw("orders").select("o_orderkey", "o_orderpriority", "o_orderdate", F.col("o_totalprice").cast("decimal(15,2)").alias("price")),
+    {"o_orderdate": True, "o_orderkey": False}, "o_orderpriority", ties=1, rank="day_rank", percent="day_percent", row="place", tiles=("tenth", 10),
+    running=("price", "upto")).withColumn("upto", F.col("upto").cast("decimal(28,2)")),
+    """SELECT o_orderkey, o_orderpriority, o_orderdate, CAST(o_totalprice AS DECIMAL(15,2)) AS price, rank() OVER d AS day_rank, percent_rank() OVER d AS day_percent,
+ row_number() OVER w AS place, CAST(ntile(10) OVER w AS INT) AS tenth, CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) OVER (w ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,2)) AS upto
+FROM orders WINDOW d AS (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC), w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey)""")
 add("win2_global_running_sum", lambda s, f: ranking.global_running_sum(
     Retail(s, f).orders.select("order_id", "total_amount"), [F.col("order_id")], "total_amount").withColumn(
         "running_sum", F.col("running_sum").cast("decimal(18,2)")),

@@ -1,20 +1,19 @@
 """Exact ranks and quantiles over all rows or large groups.
 
-Equal values are counted before anything is sorted, so a value that a third of the rows share is one
-row in the sort; a window per group would put a large group into one task.
+Neither a large group nor a value that a third of the rows share comes into one task: ranks scan slices of a range order
+(``operators.segments``), quantiles count values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import ROUND_FLOOR, Decimal
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import scratch
-from tallyhouse.operators.ranking import global_running_sum
+from tallyhouse.operators.segments import segmented
 
 
 def with_rank(df: DataFrame, value: str, group: str | None = None, rank: str = "rank", percent: str = "percent_rank") -> DataFrame:
@@ -22,23 +21,7 @@ def with_rank(df: DataFrame, value: str, group: str | None = None, rank: str = "
 
     NULL values come last, and rows without a group form a group.
     """
-    keys = ([group] if group else []) + [value]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    placed = global_running_sum(counts, [F.col(k) for k in keys[:-1]] + [F.col(value).desc_nulls_last()], "_n", "_upto")
-    before = F.col("_upto") - F.col("_n")
-    groups = placed.groupBy(*keys[:-1]).agg(F.min(before).alias("_start"), F.sum("_n").alias("_size"))
-    if group:
-        groups = groups.withColumnRenamed(group, "_group")
-        ranks = placed.join(groups, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
-    else:
-        start, size = groups.first()
-        ranks = placed.withColumns({"_start": F.lit(start), "_size": F.lit(size)})
-    position = (before - F.col("_start")).cast("long")
-    ranks = ranks.select(*keys, (position + 1).alias(rank), F.when(F.col("_size") == 1, F.lit(0.0)).otherwise(
-        position.cast("double") / (F.col("_size") - 1).cast("double")).alias(percent))
-    named = ranks.withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(named[f"_{k}"]) for k in keys])
-    return df.join(named, same).drop(*[f"_{k}" for k in keys])
+    return segmented(df, {value: True}, group, rank=rank, percent=percent)
 
 
 # Bins of a histogram pass, and so many rows of one bin at most come to the driver, as values with counts.

@@ -13,8 +13,8 @@ from tallyhouse.functions import dates as D
 from tallyhouse.functions.numbers import counted, money, ratio
 from tallyhouse.functions.stats import p_of_f, p_of_t
 from tallyhouse.operators import scratch
-from tallyhouse.operators.order_stats import exact_quantiles, with_rank
-from tallyhouse.operators.ranking import Scale, global_running_sum, ntile_columns
+from tallyhouse.operators.order_stats import exact_quantiles
+from tallyhouse.operators.segments import segmented
 from tallyhouse.schemas import MONEY
 
 # --- time intelligence over one row per day ----------------------------------------------------------
@@ -80,7 +80,7 @@ def abc_classes(products: DataFrame, a: str = "0.20", b: str = "0.50") -> DataFr
     """A, B or C by the share of total revenue earned before the product, best first; C without revenue."""
     sold = products.filter(F.col("gross_revenue") > 0).select("product_id", "gross_revenue")
     total = sold.agg(F.sum("gross_revenue")).first()[0]
-    placed = global_running_sum(sold, [F.col("gross_revenue").desc(), F.col("product_id")], "gross_revenue", "upto")
+    placed = segmented(sold, {"gross_revenue": True, "product_id": False}, running=("gross_revenue", "upto"))
     before = F.col("upto") - F.col("gross_revenue")
     limits = [F.lit((Decimal(x) * (total or 0))).cast("decimal(38,6)") for x in (a, b)]
     classed = placed.select(
@@ -105,14 +105,12 @@ def xyz_classes(fact: DataFrame, x: float = 0.5, y: float = 1.0) -> DataFrame:
 def spend_ranks(customers: DataFrame) -> DataFrame:
     """Rank inside the state, percent rank and decile over all customers, by lifetime value.
 
-    Customers without a state are ranked among themselves, like those of any state. The customers are
-    stored first, since the ranks need them several times.
+    Customers without a state are ranked among themselves, like those of any state. Two arrangements, by state and
+    over all, give all four numbers.
     """
-    chosen, _ = scratch.store(customers.select("customer_id", "state", "lifetime_value"), "spend")
-    in_state = with_rank(chosen, "lifetime_value", "state", rank="state_rank", percent="state_percent_rank")
-    overall = with_rank(in_state, "lifetime_value", rank="overall_rank", percent="percent_rank")
-    decile = ntile_columns(chosen, "customer_id", {"decile": Scale(F.col("lifetime_value"), descending=True)}, 10)
-    return overall.withColumns(decile)
+    chosen = customers.select("customer_id", "state", "lifetime_value")
+    in_state = segmented(chosen, {"lifetime_value": True}, "state", rank="state_rank", percent="state_percent_rank")
+    return segmented(in_state, {"lifetime_value": True, "customer_id": False}, ties=1, rank="overall_rank", percent="percent_rank", tiles=("decile", 10))
 
 
 def predicted_value(ltv: DataFrame, months: int = 24) -> DataFrame:
