@@ -203,3 +203,28 @@ add("ext5_scd2", _scd2, query(S.SILVER + ["""
 k AS (SELECT customer_id, full_name, state, CAST(substr(customer_id, 6, 9) AS INT) AS i FROM cust)"""], """
 SELECT customer_id, full_name, state, DATE '1995-01-01' AS valid_from, CASE WHEN i % 2 = 1 THEN DATE '2000-06-15' END AS valid_to, i % 2 <> 1 AS is_current FROM k WHERE i % 5 <> 0
 UNION ALL SELECT customer_id, full_name, CASE WHEN i % 2 = 1 THEN 'MOVED' ELSE state END, DATE '2000-06-16', NULL, true FROM k WHERE i % 5 = 0 OR i % 2 = 1"""))
+
+
+def _lines_as_of(s, f):
+    """Order lines with their customer's attributes of the day, over four snapshots, two of them of one day."""
+    r = Retail(s, f)
+    customers = r.silver.customers.select("customer_id", "customer_segment", "state")
+    number, tracked = F.substring("customer_id", 6, 9).cast("int"), ["customer_segment", "state"]
+    moved = customers.withColumn("state", F.when(number % 3 == 0, F.lit("MOVED")).otherwise(F.col("state")))
+    versions = history.scd2_open(customers.filter(number % 5 != 0), tracked, F.lit("1992-06-01").cast("date"))
+    versions = history.scd2_apply(versions, moved, "customer_id", tracked, "1994-06-30")
+    for segment in ("WRONG", "KEY"):  # the second change of a day replaces the first
+        changed = moved.withColumn("customer_segment", F.when(number % 2 == 0, F.lit(segment)).otherwise(F.col("customer_segment")))
+        versions = history.scd2_apply(versions, changed, "customer_id", tracked, "1996-01-01")
+    lines = r.lines.select("item_id", "customer_id", "order_date")
+    return history.as_of_join(lines, versions, "customer_id", "order_date", {"customer_segment": "segment_then", "state": "state_then"})
+
+
+add("ext5_lines_as_of", _lines_as_of, query(S.SALES + ["""
+k AS (SELECT customer_id AS cid, customer_segment AS seg, state AS st, CAST(substr(customer_id, 6, 9) AS INT) AS i FROM cust)"""], """
+SELECT item_id, customer_id, order_date,
+ CASE WHEN order_date < DATE '1992-06-01' OR (i % 5 = 0 AND order_date < DATE '1994-06-30') THEN NULL
+  WHEN order_date >= DATE '1996-01-01' AND i % 2 = 0 THEN 'KEY' ELSE seg END AS segment_then,
+ CASE WHEN order_date < DATE '1992-06-01' OR (i % 5 = 0 AND order_date < DATE '1994-06-30') THEN NULL
+  WHEN order_date >= DATE '1994-06-30' AND i % 3 = 0 THEN 'MOVED' ELSE st END AS state_then
+FROM fact LEFT JOIN k ON customer_id = cid"""))

@@ -68,3 +68,30 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
         "valid_to": F.when(closing, F.date_sub(day, 1)).otherwise(F.col("valid_to")),
         "is_current": F.col("is_current") & ~closing}).drop("_new")
     return closed.unionByName(changed)
+
+
+def as_of_join(facts: DataFrame, history: DataFrame, key: str, day: str, columns: dict[str, str]) -> DataFrame:
+    """``facts`` with attributes of the version of their key that was valid on their day.
+
+    ``columns`` maps attributes of the history to the names they get. Of several versions valid on a day the one opened last
+    counts, and of those opened on one day the one that stays open or ends last. Attributes are NULL where no version was valid,
+    where the key is unknown, and where key or day is NULL; no fact is lost or doubled.
+
+    The versions of a key become one row with a list, so that this is an equi-join: it has no range condition to compare
+    pairs by, and adaptive execution can split a key with very many facts, which a window by key could not. A list has at most one
+    version a day of its key (``scd2_apply``).
+    """
+    far = F.lit("9999-12-31").cast("date")
+    version = F.struct(F.col("valid_from").alias("opened"), F.coalesce("valid_to", far).alias("ended"), *[F.col(c).alias(f"a{i}") for i, c in enumerate(columns)])
+    versions = history.filter(F.col("valid_from") <= F.coalesce("valid_to", far)).groupBy(F.col(key).alias("_key")).agg(F.collect_list(version).alias("_versions"))
+    joined = facts.join(versions, F.col(key) == F.col("_key"), "left")
+
+    def later(best: Column, v: Column) -> Column:
+        valid = F.col(day).between(v["opened"], v["ended"])
+        newer = best.isNull() | (F.struct(v["opened"], v["ended"]) > F.struct(best["opened"], best["ended"]))
+        return F.when(valid & newer, v).otherwise(best)
+
+    kind = history.select(version.alias("v")).schema["v"].dataType
+    found = F.aggregate(F.coalesce("_versions", F.array().cast(f"array<{kind.simpleString()}>")), F.lit(None).cast(kind), later)
+    out = joined.withColumn("_version", found)
+    return out.select(*facts.columns, *[F.col(f"_version.a{i}").alias(n) for i, n in enumerate(columns.values())])
