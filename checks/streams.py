@@ -75,6 +75,21 @@ add("str2_event_dedup", _events, _EVENTS)
 add("str2_event_dedup_by_table", _events_by_table, _EVENTS)
 
 
+def _events_by_day(spark, folder) -> DataFrame:
+    """Every event twice, first the later two thirds of the days, then all: copies inside the delay, after it and far behind."""
+    out, state, source = scratch.new_path(spark, "events"), _checkpoint(spark), scratch.new_path(spark, "incoming")
+    rows = spark.read.schema(RAW_SCHEMAS["events"]).parquet(f"{folder}/events.parquet").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("event_timestamp"))
+    for part in ("month(event_timestamp) % 3 > 0", "true", "event_id % 7 = 0"):
+        rows.filter(part).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        events.store_events_by_day(stream, out, state, "2 days").awaitTermination()
+    return _stored_events(spark, out)
+
+
+add("str2_events_by_day", _events_by_day, _EVENTS)
+
+
 def _silver(spark, folder) -> DataFrame:
     """Two loads of the customer text, streamed into silver in turn, with a compaction between."""
     lake, state = new_lake(spark), _checkpoint(spark)
@@ -105,6 +120,21 @@ add("str4_daily_totals", _totals, query(S.SALES, f"""SELECT order_date, count(*)
  {total('gross_revenue')} AS gross_revenue, {total('gross_profit')} AS gross_profit FROM fact WHERE is_completed GROUP BY 1"""))
 
 
+def _windowed(spark, folder) -> DataFrame:
+    """Stored lines in three arrivals: most orders, then older ones that their windows no longer take, then the rest."""
+    r, lake, source, state = Retail(spark, folder), new_lake(spark), scratch.new_path(spark, "incoming"), _checkpoint(spark)
+    lines = r.lines.filter("is_completed").select(F.col("order_date").cast("timestamp").alias("order_ts"), "quantity", "gross_revenue", "gross_profit",
+                                                  F.pmod(F.xxhash64("order_id"), F.lit(4)).alias("part"))
+    for part in ("part < 2", "part = 2 AND order_ts < '1996-01-01'", "part = 3 OR (part = 2 AND order_ts >= '1996-01-01')"):
+        lines.filter(part).drop("part").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(lines.drop("part").schema).parquet(source)
+        daily.write_windowed_totals(lake, stream, state).awaitTermination()
+    return daily.windowed_totals(lake)
+
+
+add("str4_windowed_totals", _windowed, SQL["str4_daily_totals"])
+
+
 def _refresh(spark, folder) -> DataFrame:
     """Daily sales of early orders, brought up to date for the days of the later ones."""
     r = Retail(spark, folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,7 @@ from tallyhouse.sources import files
 def distinct_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """First row per event id; copies up to ``delay`` apart are recognised, state is dropped after that.
 
-    Opt-in: rows later than the delay are lost here, so the batch load stays the authority. All copies of one id
+    Opt-in: rows later than the delay are lost here, ``store_events_by_day`` keeps them. All copies of one id
     meet in one task; where an id may have very many copies use ``store_distinct_events``.
     """
     return events.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
@@ -82,3 +82,70 @@ def compact_events(spark, path: str, keep_from: int) -> None:
         for n in batches:
             if n != last:
                 files.delete(spark, f"{path}/{bucket}/{n}")
+
+
+MARKS = "_marks"
+
+
+def _latest_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """The latest event time, in microseconds, of the batches before this one."""
+    names = [n for n in files.child_names(spark, f"{path}/{MARKS}") if int(n) < batch_id]
+    text = files.read_text(spark, f"{path}/{MARKS}/{names[-1]}") if names else ""
+    return int(text) if text else None
+
+
+def _mark(spark: SparkSession, path: str, batch_id: int, latest: int | None) -> None:
+    """Note the latest event time up to this batch; the batch before keeps its mark, for a repetition of this one."""
+    files.write_text(spark, f"{path}/{MARKS}/{batch_id:012d}", "" if latest is None else str(latest))
+    for name in files.child_names(spark, f"{path}/{MARKS}"):
+        if int(name) < batch_id - 1:
+            files.delete(spark, f"{path}/{MARKS}/{name}")
+
+
+def store_events_by_day(events: DataFrame, path: str, checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
+    """Events by day, each id once: recent copies are recognised by state, late rows by the stored rows of their day.
+
+    State holds the ids of the last ``delay`` only. What Spark's watermark keeps from it (rows more than ``delay`` behind the
+    latest event of the batches before, and rows without a time) also arrives without state, and is compared with the stored
+    rows of those days; a batch without such rows opens no stored row. The bound used here is the latest event time of all
+    earlier batches, which Spark's own watermark never exceeds, so no row falls between both ways, and one that takes both
+    is stored once.
+
+    Copies of an event carry its time. Where they carry other times, those up to ``delay`` apart and those that come late on a
+    day that has the event are recognised; ``store_distinct_events`` recognises all. The source is read once for each way. A
+    repeated batch overwrites its own folders, and a path belongs to one checkpoint.
+    """
+    timed = events.filter(F.col("event_timestamp").isNotNull())
+    arriving = distinct_events(timed, delay).withColumn("_by_state", F.lit(True)).unionByName(events.withColumn("_by_state", F.lit(False)))
+    day = F.coalesce(F.date_format("event_timestamp", "yyyy-MM-dd"), F.lit("none"))
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark, seen = batch.sparkSession, Observation()
+        latest = _latest_before(spark, path, batch_id)
+        late = F.col("event_timestamp").isNull()
+        if latest is not None:
+            late |= F.col("event_timestamp") <= F.timestamp_micros(F.lit(latest)) - F.expr(f"INTERVAL '{delay}'")
+        with scratch.scope(spark):
+            # The batch is computed once: a second pass over it would go through the state again.
+            watched = batch.observe(seen, F.max(F.unix_micros("event_timestamp")).alias("latest"))
+            taken = watched.filter(F.col("_by_state") | late).withColumns({"day": day, "batch": F.lit(batch_id).cast("long")})
+            rows, _ = scratch.store(taken, "events")
+            fresh, behind = rows.filter("_by_state").drop("_by_state"), rows.filter("NOT _by_state").drop("_by_state")
+            days = [r.day for r in behind.select("day").distinct().collect()]  # one row a day
+            if days:
+                behind = latest_per_key(behind, "event_id", F.asc("event_timestamp"))
+                known = fresh.select("event_id")
+                folders = [f"{path}/day={d}/{n}" for d in days for n in files.child_names(spark, f"{path}/day={d}")
+                           if n.startswith("batch=") and int(n[6:]) < batch_id]
+                if folders:
+                    known = known.unionByName(spark.read.option("basePath", path).schema(fresh.schema).parquet(*folders).select("event_id"))
+                known = known.withColumnRenamed("event_id", "_known")
+                fresh = fresh.unionByName(behind.join(known, F.col("event_id").eqNullSafe(F.col("_known")), "left_anti"))
+            fresh.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path)
+        times = [t for t in (latest, seen.get["latest"]) if t is not None]
+        _mark(spark, path, batch_id, max(times, default=None))
+
+    return (
+        arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        .outputMode("append").trigger(availableNow=True).start()
+    )
