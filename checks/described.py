@@ -91,6 +91,15 @@ flagged AS (SELECT order_id, total_amount, v, abs(v - mean) / sd > 1.6 AS z_outl
  v < q1 - 0.3 * (q3 - q1) OR v > q3 + 0.3 * (q3 - q1) AS fence_outlier, q1 - 0.3 * (q3 - q1) AS lo, q3 + 0.3 * (q3 - q1) AS hi FROM v, m, d)"""],
           """SELECT order_id, total_amount, z_outlier, modified_z_outlier, fence_outlier,
  CAST(z_outlier AS INT) + CAST(modified_z_outlier AS INT) + CAST(fence_outlier AS INT) >= 2 AS is_outlier, round(least(greatest(v, lo), hi), 4) AS capped FROM flagged"""))
+_SPREAD = ("q1", "median", "q3", "mad", "low_fence", "high_fence")
+add("ext10_describe_by_category", lambda s, f: _rounded(analysis.describe_by(Retail(s, f).lines, "category", "gross_revenue", fence=0.5), *_SPREAD, digits=4),
+    query(S.SALES + ["""
+v AS (SELECT category, CAST(gross_revenue AS DOUBLE) AS v FROM fact),
+q AS (SELECT category, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM v GROUP BY 1),
+d AS (SELECT category, quantile_cont(abs(v - median), 0.5) AS mad FROM v JOIN q USING (category) GROUP BY 1),
+b AS (SELECT category, count(*) FILTER (WHERE v < q1 - 0.5 * (q3 - q1) OR v > q3 + 0.5 * (q3 - q1)) AS beyond_fences FROM v JOIN q USING (category) GROUP BY 1)"""],
+          """SELECT category, n, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(mad, 4) AS mad,
+ round(q1 - 0.5 * (q3 - q1), 4) AS low_fence, round(q3 + 0.5 * (q3 - q1), 4) AS high_fence, beyond_fences FROM q JOIN d USING (category) JOIN b USING (category)"""))
 add("ext10_correlations", lambda s, f: _rounded(analysis.correlations(Retail(s, f).dim_products, ["selling_price", "units_sold", "gross_revenue"]), "correlation"),
     query(S.PRODUCTS, """SELECT 'selling_price' AS "left", 'units_sold' AS "right", round(corr(CAST(selling_price AS DOUBLE), CAST(units_sold AS DOUBLE)), 6) AS correlation FROM dimp
 UNION ALL SELECT 'selling_price', 'gross_revenue', round(corr(CAST(selling_price AS DOUBLE), CAST(gross_revenue AS DOUBLE)), 6) FROM dimp

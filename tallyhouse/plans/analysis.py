@@ -13,7 +13,7 @@ from tallyhouse.functions import dates as D
 from tallyhouse.functions.numbers import counted, money, ratio
 from tallyhouse.functions.stats import p_of_f, p_of_t
 from tallyhouse.operators import scratch
-from tallyhouse.operators.order_stats import exact_quantiles
+from tallyhouse.operators.order_stats import exact_quantiles, group_quantiles
 from tallyhouse.operators.segments import segmented
 from tallyhouse.schemas import MONEY
 
@@ -238,3 +238,18 @@ def quality_score(df: DataFrame, rules: Sequence[tuple[Column, int]], name: str
     total = sum(w for _, w in rules)
     met = reduce(lambda a, b: a + b, [F.when(rule, w).otherwise(0) for rule, w in rules])
     return df.withColumn(name, ratio(met.cast("decimal(10,0)"), F.lit(total).cast("decimal(10,0)"), 0, times=100).cast("int"))
+
+
+def describe_by(df: DataFrame, group: str, column: str, fence: float = 1.5) -> DataFrame:
+    """Count, exact quartiles, median absolute deviation and quartile fences of a column in each group, with its rows beyond them.
+
+    Groups of any number and size: the quartiles of all of them come from the same two passes.
+    """
+    rows, _ = scratch.store(df.select(F.col(group).alias("_group"), F.col(column).cast("double").alias("_v")), "describe-by")
+    q, _ = scratch.store(group_quantiles(rows, "_v", "_group", {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed("_group", "_of"), "quartiles")
+    both = rows.join(q, F.col("_group").eqNullSafe(F.col("_of")))
+    low, high = F.col("q1") - fence * (F.col("q3") - F.col("q1")), F.col("q3") + fence * (F.col("q3") - F.col("q1"))
+    mad = group_quantiles(both.select("_group", F.abs(F.col("_v") - F.col("median")).alias("_d")), "_d", "_group", {"mad": 0.5}).drop("n").withColumnRenamed("_group", "_mad_of")
+    beyond = both.groupBy("_group").agg(F.count_if((F.col("_v") < low) | (F.col("_v") > high)).alias("beyond_fences"))
+    return q.join(mad, F.col("_of").eqNullSafe(F.col("_mad_of"))).join(beyond, F.col("_of").eqNullSafe(F.col("_group"))).select(
+        F.col("_of").alias(group), "n", "q1", "median", "q3", "mad", low.alias("low_fence"), high.alias("high_fence"), "beyond_fences")

@@ -191,3 +191,24 @@ def test_quantiles_equal_a_sorted_list(spark, monkeypatch, few):
         want.append(low + (ordered[min(int(h) + 1, len(values) - 1)] - low) * (h - int(h)))
     assert order_stats.exact_quantiles(rows, "v", ps) == pytest.approx(want)
     assert order_stats.exact_quantiles(rows.filter("v IS NULL"), "v", [0.5]) == [None]
+
+
+@pytest.mark.parametrize("margin", [order_stats.MARGIN, 0.0])
+def test_group_quantiles_equal_sorted_lists(spark, monkeypatch, margin):
+    """Also where the bounds miss the places (no margin, coarse sketches), and a group holds a third of the rows."""
+    monkeypatch.setattr(order_stats, "MARGIN", margin)
+    monkeypatch.setattr(order_stats, "SKETCH", 1600 if margin else 8)
+    rnd = random.Random(7)
+    groups = {"hot": [rnd.gauss(0, 1) for _ in range(3000)], "same": [2.5] * 500, "wide": [1e300, -1e300, 0.0] + [rnd.random() * 1e-9 for _ in range(800)],
+              None: [1.0, 2.0, 4.0], "one": [7.0]} | {f"g{i}": [float(rnd.randint(0, 9)) for _ in range(i)] for i in range(1, 40)}
+    rows = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("hot", None), ("none", None), ("hot", float("nan"))], "g string, v double")
+    ps = {"low": 0.0, "q1": 0.25, "third": 0.333, "median": 0.5, "most": 0.999, "high": 1.0}
+    got = {r.g: r for r in order_stats.group_quantiles(rows.repartition(5), "v", "g", ps).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        ordered = sorted(vs)
+        for name, p in ps.items():
+            h = p * (len(vs) - 1)
+            low, high = ordered[int(h)], ordered[min(int(h) + 1, len(vs) - 1)]
+            assert got[g][name] == pytest.approx(low + (high - low) * (h - int(h))) and got[g].n == len(vs)
+    assert order_stats.group_quantiles(rows.filter("v IS NULL"), "v", "g", ps).collect() == []
