@@ -3,12 +3,12 @@
 The best segmentation of a text has the largest sum of piece scores (of equal sums, the one whose last pieces are longest). The
 text goes by from left to right; alive are the boundaries of the last maximum-piece-length characters only, since no
 later piece can start before them. Where the backpointer paths of all alive boundaries meet in one boundary, the ids up to
-it are committed and everything before it is forgotten, so a text of any length needs a window of a few pieces.
+it are committed and everything before it is forgotten, so a text of any length needs a window of a few pieces. Only a long run
+of one sign for which there are pieces of many lengths (spaces, say) can keep paths apart up to its end; the window then is the run.
 
-Some boundaries are known to be such meeting points without looking: a boundary that no piece of the vocabulary spans. Pieces
-that mix letters and other characters, or have a space sign after another character, are looked for when the vocabulary
-is read; where there are none, the text falls into words, signs and spaces between which every path has a boundary, and
-the ids of these parts are remembered.
+A boundary that no piece of the vocabulary spans is always such a meeting point. Pieces that mix letters and other
+characters, or have a space sign after another character, are looked for when the vocabulary is read; where there are none, the
+text falls into words, signs and spaces, and what was committed for one of these serves again where it comes again.
 
 Text is taken as it is: a space becomes the space sign, one more is put in front (and taken off again by `decode`). A
 character without a piece becomes its UTF-8 bytes, also the space sign itself, so every text comes back exactly.
@@ -17,7 +17,7 @@ The scores are those of the vocabulary file. A file made for byte-pair merges sc
 library applies the merges one by one and can segment a word differently, with the same decoded text.
 
 Defined results: a null text has null ids, an empty text none; equal rows give equal rows; empty tables work; other
-columns are kept by `encode_documents`, whatever their names.
+columns are kept, and one that is called like a column of the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -86,8 +86,15 @@ def load(path: str) -> Vocabulary:
 
 
 class Encoder:
+    """Encodes texts one after the other.
+
+    Every id comes out of `stretches`. Stretches between two sure boundaries are remembered with the ids that were committed for them.
+    """
+
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.met = vocabulary, {}
+        #: The longest window so far, in characters.
+        self.window = 0
 
     def encode(self, text: str) -> array:
         """The ids of a text, as 32-bit integers."""
@@ -100,96 +107,96 @@ class Encoder:
             ids = met.get(part)
             if ids is None:
                 if len(part) > LONG:
-                    for i in self.stream(part):
-                        out.append(i)
+                    for ids in self.stretches(part):
+                        out.extend(ids)
                     continue
+                ids = array("i")
+                for stretch in self.stretches(part):
+                    ids.extend(stretch)
                 if len(met) >= HELD:
                     met.clear()
-                ids = met[part] = array("i", self._word(part))
+                met[part] = ids
             out += ids
         return out
 
-    def stream(self, text: str) -> Iterator[int]:
-        """Ids of a text, committed as soon as all surviving paths agree on them."""
-        longest, unknown = self.v.longest, self.v.unknown
-        n, base = len(text), 0  # base: the last committed boundary
-        best: list[float] = [0.0]  # scores of the boundaries from base on
-        back: list[tuple[int, int]] = [(0, 0)]  # the boundary before and the piece between; piece -1: bytes
-        for start in range(n):
-            # All boundaries that a piece from here can reach, nearer ones first.
-            here, node, end = best[start - base], self.v.trie, start
-            while end < n and (step := node.get(text[end])) is not None:
-                (node, score, piece), end = step, end + 1
-                if piece >= 0:
-                    self._offer(best, back, base, start, end, here + score, piece)
-            if text[start] not in self.v.found:
-                self._offer(best, back, base, start, start + 1, here + unknown, -1)
-            if start - base >= 4 * longest:
-                meeting = self._meeting(best, back, base, start + 1)
-                if meeting > base:
-                    yield from self._path(text, back, base, meeting)
-                    gain = best[meeting - base]
-                    best = [s - gain for s in best[meeting - base :]]
-                    back = back[meeting - base :]
-                    base = meeting
-        yield from self._path(text, back, base, n)
-
-    def _word(self, text: str) -> list[int]:
-        """`stream` for a text of so few pieces that nothing would be committed before its end."""
-        n, root, found, unknown = len(text), self.v.trie, self.v.found, self.v.unknown
-        best = [0.0] + [float("-inf")] * n
-        came, last = [0] * (n + 1), [-1] * (n + 1)
-        for start in range(n):
-            here, node, end = best[start], root, start
-            for c in text[start:]:
-                step = node.get(c)
-                if step is None:
-                    break
-                node, score, piece = step
-                end += 1
-                score += here
-                if score > best[end]:
-                    best[end], came[end], last[end] = score, start, piece
-            if text[start] not in found and here + unknown > best[start + 1]:
-                best[start + 1], came[start + 1], last[start + 1] = here + unknown, start, -1
-        if -1 in last[1:]:
-            return self._path(text, list(zip(came, last, strict=True)), 0, n)
-        out = []
-        while n:
-            out.append(last[n])
-            n = came[n]
-        out.reverse()
-        return out
+    def stretches(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text, stretch by stretch, each committed as soon as all surviving paths agree on it.
 
-    @staticmethod
-    def _offer(best: list[float], back: list[tuple[int, int]], base: int, start: int, end: int, score: float, piece: int) -> None:
-        while len(best) <= end - base:
-            best.append(float("-inf"))
-            back.append((0, 0))
-        if score > best[end - base]:
-            best[end - base], back[end - base] = score, (start, piece)
+        That is so at once where no piece goes beyond the next boundary, as at the end of a word. Else the paths are followed
+        back when the window has grown to a few pieces, and again each time it has doubled.
+        """
+        longest, unknown, root, found, never = self.v.longest, self.v.unknown, self.v.trie, self.v.found, float("-inf")
+        n, base, look = len(text), 0, 4 * self.v.longest  # base: the last committed boundary
+        # By distance from base: the score of a boundary, the boundary before, the piece between (-1: bytes).
+        best, came, last = [0.0], [0], [-1]
+        for start in range(n):
+            at = start - base
+            here = best[at]
+            if here > never:
+                node, end = root, at
+                for c in text[start : start + longest]:
+                    step = node.get(c)
+                    if step is None:
+                        break
+                    node, score, piece = step
+                    end += 1
+                    if piece < 0:
+                        continue
+                    while len(best) <= end:
+                        best.append(never)
+                        came.append(0)
+                        last.append(-1)
+                    score += here
+                    if score > best[end]:
+                        best[end], came[end], last[end] = score, at, piece
+                if text[start] not in found:
+                    if len(best) == at + 1:
+                        best.append(never)
+                        came.append(0)
+                        last.append(-1)
+                    if here + unknown > best[at + 1]:
+                        best[at + 1], came[at + 1], last[at + 1] = here + unknown, at, -1
+            if len(best) == at + 2:
+                meeting = at + 1  # the only boundary that is alive
+            elif at + 1 >= look:
+                meeting = self._meeting(best, came, at + 1)
+                look = 4 * longest if meeting else 2 * look
+            else:
+                continue
+            if meeting:
+                self.window = max(self.window, len(best) - 1)
+                yield self._path(text, base, came, last, meeting)
+                gain = best[meeting]
+                best, came, last = [s - gain for s in best[meeting:]], [max(0, c - meeting) for c in came[meeting:]], last[meeting:]
+                base += meeting
 
     @staticmethod
-    def _meeting(best: list[float], back: list[tuple[int, int]], base: int, first: int) -> int:
+    def _meeting(best: list[float], came: list[int], first: int) -> int:
         """The boundary through which the paths of all reached boundaries from `first` on go; later ones come from these."""
-        paths = {b for b in range(first, base + len(best)) if best[b - base] > float("-inf")}
+        paths = {b for b in range(first, len(best)) if best[b] > float("-inf")}
         while len(paths) > 1:
             latest = max(paths)
             paths.remove(latest)
-            paths.add(back[latest - base][0])
+            paths.add(came[latest])
         return paths.pop()
 
-    def _path(self, text: str, back: list[tuple[int, int]], base: int, end: int) -> list[int]:
-        out: list[list[int]] = []
-        while end > base:
-            start, piece = back[end - base]
+    def _path(self, text: str, base: int, came: list[int], last: list[int], end: int) -> list[int]:
+        if -1 not in last[1 : end + 1]:
+            out = []
+            while end:
+                out.append(last[end])
+                end = came[end]
+            out.reverse()
+            return out
+        parts: list[list[int]] = []
+        while end:
+            piece, end = last[end], came[end]
             if piece >= 0:
-                out.append([piece])
+                parts.append([piece])
             else:
-                char = SPACE if text[start] == _LITERAL else text[start]
-                out.append([self.v.byte_ids[b] for b in char.encode()])
-            end = start
-        return [i for ids in reversed(out) for i in ids]
+                char = SPACE if text[base + end] == _LITERAL else text[base + end]
+                parts.append([self.v.byte_ids[b] for b in char.encode()])
+        return [i for ids in reversed(parts) for i in ids]
 
     def decode(self, ids: Sequence[int]) -> str:
         return b"".join(map(self.v.decoded.__getitem__, ids)).decode("utf-8", "replace")[1:]
@@ -228,6 +235,7 @@ def _encode(vocabulary, text_at: int, check: bool):
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", check: str | None = None) -> DataFrame:
     """The documents with the ids of their texts; `check` names a column that says whether they decode to the text."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary.given)
+    docs = docs.drop(ids, *([check] if check else []))
     types = [f.dataType.simpleString() for f in docs.schema] + ["array<int>"] + ["boolean"] * bool(check)
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate(types))
     rows = docs.mapInArrow(_encode(shared, docs.columns.index("text"), bool(check)), schema)
@@ -237,6 +245,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids",
 def decode_documents(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """The rows with the texts of their ids; null ids give null."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary.given)
+    rows = rows.drop(text)
     at = rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import random
+from array import array
 
 import pytest
 
@@ -44,13 +45,58 @@ def test_against_the_whole_lattice(vocabulary):
         assert ids == brute(vocabulary, t) and encoder.decode(ids) == t
         if t:
             s = sp.SPACE + t.replace(sp.SPACE, sp._LITERAL).replace(" ", sp.SPACE)
-            assert list(encoder.stream(s)) == ids
+            assert [i for stretch in encoder.stretches(s) for i in stretch] == ids
 
 
 def test_ids_are_committed_on_the_way(vocabulary):
-    stream = sp.Encoder(vocabulary).stream("international" * 2000)
+    stream = sp.Encoder(vocabulary).stretches("international" * 2000)
     taken = [next(stream) for _ in range(50)]
-    assert stream.gi_frame.f_locals["start"] < 3000 and len(stream.gi_frame.f_locals["best"]) < 8 * vocabulary.longest and taken
+    assert stream.gi_frame.f_locals["start"] < 10_000 and len(stream.gi_frame.f_locals["best"]) < 8 * vocabulary.longest and all(taken)
+
+
+def test_every_id_comes_from_a_committed_stretch(vocabulary):
+    class Watched(sp.Encoder):
+        seen = 0
+
+        def stretches(self, text):
+            for ids in super().stretches(text):
+                self.seen += len(ids)
+                yield ids
+
+    for t in texts():
+        encoder = Watched(vocabulary)  # nothing is remembered yet
+        ids = encoder.encode(t)
+        again = sum(len(encoder.met.get(p, ())) for p in repeats(vocabulary, t))
+        assert encoder.seen + again == len(ids)
+        seen = encoder.seen
+        assert encoder.encode(t) == ids and encoder.seen - seen <= seen
+
+
+def repeats(v, text):
+    """Parts of a text that are remembered from an earlier place of it."""
+    known = set()
+    for part in v.parts.findall(sp.SPACE + text.replace(sp.SPACE, sp._LITERAL).replace(" ", sp.SPACE)) if text else ():
+        if part in known:
+            yield part
+        known.add(part)
+
+
+def test_window_stays_short(vocabulary):
+    rng = random.Random(5)
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    for text in (letters, "abcdefgh " * 120_000, "é" * 200_000, "日本語" * 50_000):
+        encoder = sp.Encoder(vocabulary)
+        ids = encoder.encode(text)
+        assert encoder.decode(ids) == text
+        assert encoder.window <= 8 * vocabulary.longest
+    # Paths through a run of spaces stay apart: the window is the run, and the ids are still exact.
+    assert encoder.encode("x" + " " * 5_000 + "y") == array("i", brute(vocabulary, "x" + " " * 5_000 + "y"))
+
+
+def test_clashing_columns(spark, vocabulary):
+    rows = spark.createDataFrame([(1, "a b", "old", "older")], "doc_id long, text string, ids string, decoded string")
+    out = sp.decode_documents(sp.encode_documents(rows, vocabulary), vocabulary)
+    assert out.columns == ["doc_id", "text", "ids", "decoded"] and out.first().decoded == "a b"
 
 
 def test_the_library_decodes_the_ids(vocabulary):
