@@ -128,7 +128,9 @@ class Encoder:
         longest, unknown, root, found, never = self.v.longest, self.v.unknown, self.v.trie, self.v.found, float("-inf")
         n, base, look = len(text), 0, 4 * self.v.longest  # base: the last committed boundary
         # By distance from base: the score of a boundary, the boundary before, the piece between (-1: bytes).
-        best, came, last = [0.0], [0], [-1]
+        room = min(n, look + longest) + 1
+        best, came, last = [0.0] + [never] * room, [0] * (room + 1), [-1] * (room + 1)
+        top = 0  # the farthest boundary reached
         for start in range(n):
             at = start - base
             here = best[at]
@@ -140,40 +142,45 @@ class Encoder:
                         break
                     node, score, piece = step
                     end += 1
-                    if piece < 0:
-                        continue
-                    while len(best) <= end:
-                        best.append(never)
-                        came.append(0)
-                        last.append(-1)
                     score += here
                     if score > best[end]:
                         best[end], came[end], last[end] = score, at, piece
-                if text[start] not in found:
-                    if len(best) == at + 1:
-                        best.append(never)
-                        came.append(0)
-                        last.append(-1)
-                    if here + unknown > best[at + 1]:
-                        best[at + 1], came[at + 1], last[at + 1] = here + unknown, at, -1
-            if len(best) == at + 2:
-                meeting = at + 1  # the only boundary that is alive
+                        if end > top:
+                            top = end
+                if here + unknown > best[at + 1] and text[start] not in found:
+                    best[at + 1], came[at + 1], last[at + 1] = here + unknown, at, -1
+                    if at == top:
+                        top = at + 1
+            if top == at + 1:
+                meeting = top  # the only boundary that is alive
             elif at + 1 >= look:
-                meeting = self._meeting(best, came, at + 1)
+                meeting = self._meeting(best, came, at + 1, top)
                 look = 4 * longest if meeting else 2 * look
+                if not meeting:
+                    more = look + longest + 1 - len(best)
+                    best += [never] * more
+                    came += [0] * more
+                    last += [-1] * more
             else:
                 continue
             if meeting:
-                self.window = max(self.window, len(best) - 1)
+                if top > self.window:
+                    self.window = top
                 yield self._path(text, base, came, last, meeting)
-                gain = best[meeting]
-                best, came, last = [s - gain for s in best[meeting:]], [max(0, c - meeting) for c in came[meeting:]], last[meeting:]
                 base += meeting
+                if base == n:
+                    return
+                kept = top - meeting
+                gain, free = best[meeting], len(best) - 1 - kept
+                best = [s - gain for s in best[meeting : top + 1]] + [never] * free
+                came = [max(0, c - meeting) for c in came[meeting : top + 1]] + [0] * free
+                last = last[meeting : top + 1] + [-1] * free
+                top = kept
 
     @staticmethod
-    def _meeting(best: list[float], came: list[int], first: int) -> int:
+    def _meeting(best: list[float], came: list[int], first: int, top: int) -> int:
         """The boundary through which the paths of all reached boundaries from `first` on go; later ones come from these."""
-        paths = {b for b in range(first, len(best)) if best[b] > float("-inf")}
+        paths = {b for b in range(first, top + 1) if best[b] > float("-inf")}
         while len(paths) > 1:
             latest = max(paths)
             paths.remove(latest)
