@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import dates, numbers, parse, text
-from tallyhouse.plans import generated
+from tallyhouse.plans import generated, silver
+from tallyhouse.schemas import ENTITIES
 
 DAY = dt.date(2024, 3, 15)
 
@@ -95,3 +96,14 @@ def test_bands_order_and_null(spark):
     assert [tuple(r) for r in got] == [
         ("Out of Stock", "Negative Margin"), ("Low Stock", "Negative Margin"), ("Normal Stock", "Low Margin"),
         ("Well Stocked", "Medium Margin"), ("Well Stocked", "High Margin")]
+
+
+def test_lines_are_parsed_once(spark):
+    """A regular expression costs more than all else of a line: each number is looked for once, however many rules and filters name it."""
+    rows = spark.createDataFrame([("I1", "O1", "P1", "2.9", "1,000.50", "nan")], ", ".join(f"{c} string" for c in ENTITIES["order_items"].columns))
+    cleaned = silver.clean_order_items(rows)
+    plan = cleaned._sc._jvm.PythonSQLUtils.explainString(cleaned._jdf.queryExecution(), "simple")
+    physical = plan[plan.index("Physical Plan"):]
+    assert 3 <= physical.count("regexp_extract(") <= 4 and physical.count("RLIKE(") <= 2
+    row = cleaned.first()
+    assert (row.quantity, row.unit_price, row.discount_pct, row.line_total) == (2, Decimal("1000.50"), Decimal("0.00"), Decimal("2001.00"))

@@ -212,3 +212,15 @@ def test_group_quantiles_equal_sorted_lists(spark, monkeypatch, margin):
             low, high = ordered[int(h)], ordered[min(int(h) + 1, len(vs) - 1)]
             assert got[g][name] == pytest.approx(low + (high - low) * (h - int(h))) and got[g].n == len(vs)
     assert order_stats.group_quantiles(rows.filter("v IS NULL"), "v", "g", ps).collect() == []
+
+
+def test_shuffles_follow_the_rows(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with scratch.partitions_for(spark, 10_000_001):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "41"
+        with scratch.partitions_for(spark, 5):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "41"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with pytest.raises(ValueError), scratch.partitions_for(spark, 10_000_001):
+        raise ValueError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
