@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.segments import in_slices, segmented
+from tallyhouse.operators.segments import ROWS_PER_SLICE, in_slices, segmented
 
 
 def rows_of(df):
@@ -44,3 +44,11 @@ def test_empty_and_single(spark):
     assert segmented(none, {"v": True}, "g", rank="r").collect() == []
     one = spark.createDataFrame([("a", Decimal("1.50"))], "g string, v decimal(10,2)")
     assert [tuple(r) for r in segmented(one, {"v": True}, "g", percent="p", running=("v", "s"), tiles=("t", 3)).collect()] == [("a", Decimal("1.50"), 0.0, 1, Decimal("1.50"))]
+
+
+def test_a_task_holds_a_bounded_part(spark):
+    """Slices of the default size stay far below a task's memory: about 600 bytes a row, a few slices a task."""
+    assert ROWS_PER_SLICE <= 250_000
+    placed = in_slices(spark.range(4000).withColumn("v", F.col("id") % 5), {"v": False, "id": True}, None, 100)
+    each = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("id").alias("n"), F.count_distinct("_slice").alias("slices")).collect()
+    assert sum(r.n for r in each) == 4000 and max(r.n for r in each) <= 700
