@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import dirty
@@ -9,7 +10,7 @@ from checks import sql as S
 from checks.gold import _DAILY
 from checks.retail import Retail
 from checks.sql import cents, query, quotient, total
-from tallyhouse.operators import history
+from tallyhouse.operators import history, scratch
 from tallyhouse.plans import analysis, marketing
 
 QUERIES: dict = {}
@@ -57,7 +58,13 @@ m AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, {total('gro
 SELECT m.month, m.revenue, p.revenue AS previous_month, y.revenue AS last_year, {_growth('p.revenue')} AS mom_pct, {_growth('y.revenue')} AS yoy_pct
 FROM m LEFT JOIN m p ON p.month = m.month - INTERVAL 1 MONTH LEFT JOIN m y ON y.month = m.month - INTERVAL 12 MONTH"""))
 
-add("ext6_abc_classes", lambda s, f: analysis.abc_classes(Retail(s, f).dim_products), query(S.PRODUCTS, """
+def _abc(s, f) -> DataFrame:
+    r = Retail(s, f)
+    with scratch.partitions_for(s, r.silver.raw("lineitem").count()):
+        return analysis.abc_classes(r.dim_products)
+
+
+add("ext6_abc_classes", _abc, query(S.PRODUCTS, """
 SELECT product_id, gross_revenue, CASE WHEN 5 * (upto - gross_revenue) < whole THEN 'A' WHEN 2 * (upto - gross_revenue) < whole THEN 'B' ELSE 'C' END AS abc_class
 FROM (SELECT product_id, gross_revenue, sum(gross_revenue) OVER () AS whole,
   sum(gross_revenue) OVER (ORDER BY gross_revenue DESC, product_id ROWS UNBOUNDED PRECEDING) AS upto FROM dimp WHERE gross_revenue > 0)
