@@ -1,8 +1,12 @@
+import random
 import struct
 import zlib
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -11,6 +15,7 @@ from tallyhouse.llm import queries, records
 from tests.llm.conftest import ODD
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Path(FILE).read_text(encoding="utf-8")
 TRICKY = [
     (-5, "It's the CAFÉ's 3rd, don't!? é <|endoftext|> Ünï.\r\n'tis x y ̸= a'll"), (8, "the\nthe, The. THE!! the's 12 a1b2"),
     (2**40, "İstanbul ΣΑΣ ß ﬁ 漢字 한국어 \U0001f600\U0001f600 ... ,,the"), (10, " lead  and trail \n\n"), (9, "x" * 70 + " " + "y" * 70 + ","),
@@ -40,6 +45,54 @@ def test_index_is_that_of_whole_texts(docs, spark, tmp_path):
         assert of(records.build_index(spark, folder)) == brute(rows)
 
 
+class Counting(records.Encoder):
+    calls = 0
+
+    def ids(self, text):
+        self.calls += 1
+        return super().ids(text)
+
+
+def encoded(texts, encoder=None):
+    """Ids of every text from its frame, without the end id."""
+    held = SimpleNamespace(value={"tokenizer": TOKENIZER} | ({} if encoder is None else {"encoder": encoder}))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    frames = [f.as_py() + b"\n" for b in records._frames(held, None)(iter([batch])) for f in b["frame"]]
+    return [records.ids_of(records.payload_at(f, 0, "f"))[1].tolist() for f in frames]
+
+
+def whole(texts):
+    return [e.ids for e in Tokenizer.from_file(FILE).encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_words_with_signs_are_encoded_together():
+    """Different words with signs around them don't cost a call of the library each."""
+    a = [chr(97 + i) + chr(97 + j) + chr(97 + k) for i in range(26) for j in range(13) for k in range(13)]
+    texts = [f"{w}$$$ ({w}b)-c{w} \"{w}d\" é{w}&&& x{w}'s Ж{w}…" for w in a]
+    encoder = Counting(TOKENIZER)
+    assert encoded(texts, encoder) == whole(texts)
+    assert encoder.calls < len(a) * 1.2  # only the words before a sign that is not ASCII
+
+
+def test_odd_texts_in_any_order(monkeypatch):
+    monkeypatch.setattr(records, "SLICE", 2000)
+    monkeypatch.setattr(records, "MEMO", 300)
+    odd = [
+        "a", "B", "the", "S", "s", "t", "re", "LL", "É", "é", "e\u0301", "h\u0331", "H\u0331", "\u0338", "\u0327", "ſ", "K", "İ", "I\u0307", "ΣΑΣ", "ǅ", "½", "Ⅷ", "²",
+        "Ж", "漢", "가", "\u1100\u1161", "नमस्ते", "\U0001f600", "'", "'", "’", "!", "-", "_", "|", "<", ">", "=", "@", "[", "\\", "]", "^", "`", "{", "}", "~", "1", "23",
+        "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", " ", " ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u2028", "\x00", "x" * 70,
+    ]
+    draw = random.Random(12)
+    texts = ["".join(draw.choices(odd, k=draw.randrange(25))) for _ in range(6000)] + [None, "", "\n" * 5000]
+    assert encoded(texts) == whole(texts)
+
+
+def test_signs_beside_any_letter():
+    letters = [c for c in map(chr, range(128, 0x110000)) if c.isalnum() or not 0xD800 <= ord(c) < 0xE000 and ord(c) < 0x32000 and c.isprintable()]
+    texts = [" ".join(f"{c}! !{c} '{c} {c}' a{c}1 1{c}b" for c in letters[i : i + 100]) for i in range(0, len(letters), 100)]
+    assert encoded(texts) == whole(texts)
+
+
 def test_shuffled_and_single_reads(docs, spark, tmp_path):
     rows, folder = [(i, f"word number {i}\n" * (i % 7)) for i in range(300)], str(tmp_path / "r")
     records.write(docs(rows), folder, FILE, file_bytes=2000)
