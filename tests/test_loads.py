@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from tallyhouse.operators import scratch
 from tallyhouse.operators.changes import compact, current_rows
 from tallyhouse.operators.publish import rebuild
 from tallyhouse.plans import bronze, quality, reports, runs, silver
@@ -420,3 +421,13 @@ def test_stream_rejects_equal_batch_rejects(spark, lake, folder, tmp_path):
     assert streamed == sorted((r.key, r.column, r.value) for r in silver.oversize_values(rows, "orders").collect()) and len(streamed) == 3
     last = spark.read.parquet(lake.path("waiting", "orders")).groupBy("batch").agg({"order_id": "collect_set"}).orderBy("batch").collect()[-1]
     assert set(last[1]) == {"U0", "U1", "U2"}
+
+
+def test_silver_rows_are_stored_once(spark, lake, folder, monkeypatch):
+    """Rows held against their parents are a table already: the upsert does not store them again."""
+    bronze.run_bronze(lake, folder, strict=False)
+    labels, store = [], scratch.store
+    monkeypatch.setattr(scratch, "store", lambda df, label: (labels.append(label), store(df, label))[1])
+    silver.run_silver(lake)
+    assert "valid-order_items" in labels and not {"upsert-orders", "upsert-order_items"} & set(labels)
+    assert lake.read("silver", "order_items").count() > 0
