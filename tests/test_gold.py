@@ -1,12 +1,15 @@
 """Invariants of the gold tables, their plans, and agreement with SQL."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import compare, connect
+from checks.retail import AS_OF, END, START
 from tallyhouse.operators import scratch
 from tallyhouse.operators.publish import rebuild
-from tallyhouse.plans import cohorts, dimensions, marketing, reports
+from tallyhouse.plans import cohorts, dimensions, facts, marketing, reports, runs
 from tests.conftest import SF
 
 
@@ -168,3 +171,28 @@ def test_daily_sales_reads_the_fact_once(spark, retail, tmp_path):
     daily = marketing.day_totals(spark.read.parquet(str(tmp_path / "fact")))
     assert plan_of(daily).count("FileScan parquet") == 1
     assert sorted(map(tuple, marketing.top_category(retail.lines).collect())) == sorted(map(tuple, daily.select("order_date", "top_category").collect()))
+
+
+def test_narrow_lines_become_the_fact(retail):
+    """A gold run moves lines into months without the columns that a day gives."""
+    narrow = facts.narrow_lines(retail.items, retail.orders, retail.products, retail.dim_customers)
+    assert not {*facts.DAY_COLUMNS, *facts.CALENDAR, "cogs", "gross_profit"} & set(narrow.columns)
+    wide, fact = facts.widened(narrow, retail.dates), retail.fact
+    assert wide.dtypes == fact.dtypes and wide.exceptAll(fact).count() == 0 and fact.exceptAll(wide).count() == 0
+
+
+def test_shuffle_files_go_with_their_query(spark, retail, lake):
+    """Neither gold runs nor published tables leave the files of their shuffles on the disks."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files() -> int:
+        return blocks.getAllFiles().mkString("|").count("/shuffle_")
+
+    before = files()
+    for table in ("customers", "products", "orders", "order_items"):
+        rebuild(lake, "silver", table, getattr(retail.silver, table).repartition(3))
+    runs.run_gold(lake, START, END, AS_OF)
+    end = time.time() + 20
+    while files() > before and time.time() < end:
+        time.sleep(0.2)
+    assert files() <= before
